@@ -122,3 +122,47 @@ def q_dense_id(spark, d):
     out = dense_id(r, [F.col("_seq")], "RowID")
     return out.select("RowID", F.col("product_id").alias("ProductID"), F.col("seller_id").alias("SellerID"),
                       F.col("_seq.o").alias("OrderKey"), F.col("_seq.n").alias("LineNumber"))
+
+
+# ----------------------------------------------------------------- feedback
+from martlake.plans import feedback as fb  # noqa: E402
+
+
+def _raw_feedback(spark, d):
+    return B.raw_feedback(spark, d)
+
+
+@job("history")
+def q_history(spark, d):
+    return fb.history(_raw_feedback(spark, d))
+
+
+@job("user_dim")
+def q_user_dim(spark, d):
+    return fb.user_dim(_raw_feedback(spark, d))
+
+
+@job("priority_dedup")
+def q_priority_dedup(spark, d):
+    return fb.priority_user(_raw_feedback(spark, d))
+
+
+@job("general_feedback")
+def q_general_feedback(spark, d):
+    return fb.general_feedback(_raw_feedback(spark, d), B.AS_OF, B.FEEDBACK_TZ_OFFSET_HOURS)
+
+
+@job("unmasked_content")
+def q_unmasked_content(spark, d):
+    u = fb.unmasked_content(_raw_feedback(spark, d))
+    return u.select("ProductID", "UserID", "GeneralFeedbackID", "CreatedDate", "Title", "Content", "Upvote", "Rating")
+
+
+@job("feedback_detail")
+def q_feedback_detail(spark, d):
+    return fb.feedback_detail(_raw_feedback(spark, d))
+
+
+@job("strict_cast_quarantine")
+def q_strict_cast_quarantine(spark, d):
+    return fb.detail_quarantine(_raw_feedback(spark, d))
