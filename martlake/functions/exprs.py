@@ -73,3 +73,24 @@ def minus_days(ts: Column, days: Column) -> Column:
     """ts - days (days may be fractional); null days -> null."""
     secs = (days.cast("double") * 86400.0).cast("decimal(18,6)")
     return ts - F.make_dt_interval(secs=secs)
+
+
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable.
+
+    Catalyst substitutes column aliases into every reference when it pushes a
+    filter below a projection, so an expensive expression used several times
+    (a regex chain, a JSON parse) would be recomputed per use; a lambda binding
+    is evaluated once per row."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def select_where(df, columns: dict, keep) -> "DataFrame":
+    """``select(columns)`` keeping rows where ``keep(row_struct)`` holds, with each
+    computed column evaluated once per row.
+
+    Written as ``inline(filter(array(struct(...)), keep))``: a Generate node, which
+    Catalyst does not push filters below, so an expensive column that the
+    predicate reads is not recomputed inside a pushed-down Filter."""
+    s = F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in columns.items()])
+    return df.select(F.inline(F.filter(F.array(s), keep)))

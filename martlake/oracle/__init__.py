@@ -4,9 +4,10 @@ The SQL is written from the semantics, with windows and plain aggregates, not
 from the Spark code; it runs against the same Parquet tables registered as views.
 """
 
+from martlake.oracle.absa import SQL as _ABSA
 from martlake.oracle.feedback import SQL as _FEEDBACK
 from martlake.oracle.product import SQL as _PRODUCT
 
 ORACLE: dict[str, str] = {}
-for _part in (_PRODUCT, _FEEDBACK):
+for _part in (_PRODUCT, _FEEDBACK, _ABSA):
     ORACLE.update(_part)

@@ -166,3 +166,107 @@ def q_feedback_detail(spark, d):
 @job("strict_cast_quarantine")
 def q_strict_cast_quarantine(spark, d):
     return fb.detail_quarantine(_raw_feedback(spark, d))
+
+
+# --------------------------------------------------------------- text, ABSA
+from martlake.functions import text as T  # noqa: E402
+from martlake.operators import absa as X  # noqa: E402
+from martlake.plans import absa as ab  # noqa: E402
+
+
+def _review_text(spark, d):
+    return B.review_text(spark, d)
+
+
+def _meaningful(spark, d):
+    return ab.meaningful_reviews(_review_text(spark, d))
+
+
+def _parsed(spark, d):
+    return ab.parse_responses(ab.aspect_responses(_meaningful(spark, d)))
+
+
+def _scored(spark, d):
+    return ab.scored_terms(_parsed(spark, d))
+
+
+@job("clean_text")
+def q_clean_text(spark, d):
+    r = _review_text(spark, d)
+    return r.select("GeneralFeedbackID", T.clean_text("Content").alias("Content"))
+
+
+@job("mask_phone")
+def q_mask_phone(spark, d):
+    r = _review_text(spark, d)
+    return r.select("GeneralFeedbackID", T.mask_phones("Content").alias("Content"))
+
+
+@job("meaningful_text")
+def q_meaningful_text(spark, d):
+    return _meaningful(spark, d).select("GeneralFeedbackID", "ID", "Content")
+
+
+def noisy_responses(responses: DataFrame) -> DataFrame:
+    """Model output as it arrives in practice: some documents wrapped in prose,
+    some cut off half way (derived deterministically from the review id)."""
+    r, g = F.col("response"), F.col("GeneralFeedbackID")
+    noisy = (F.when(g % 3 == 1, F.concat(F.lit("Kết quả:\n"), r, F.lit("\nHết.")))
+              .when(g % 7 == 0, F.substring(r, 1, (F.length(r) / 2).cast("int")))
+              .otherwise(r))
+    return responses.select("GeneralFeedbackID", "ID", noisy.alias("response"))
+
+
+@job("recover_json")
+def q_recover_json(spark, d):
+    resp = noisy_responses(ab.aspect_responses(_meaningful(spark, d)))
+    doc = X.recover_json(F.col("response"))
+    return resp.select("GeneralFeedbackID", doc.isNotNull().alias("Recovered"),
+                       F.size(doc["Aspects"]).cast("bigint").alias("Aspects"))
+
+
+@job("aspect_terms")
+def q_aspect_terms(spark, d):
+    p = _parsed(spark, d).select("GeneralFeedbackID", F.explode("Aspects").alias("a"))
+    terms = X.normalize_terms(F.col("a.AspectTerms"))
+    return p.select("GeneralFeedbackID", F.col("a.AspectCategory").alias("AspectCategory"),
+                    F.size(terms).cast("bigint").alias("NTerms"), F.array_join(terms, "|").alias("Terms"))
+
+
+@job("aspect_explode")
+def q_aspect_explode(spark, d):
+    e = X.explode_aspects(_parsed(spark, d))
+    return e.select("GeneralFeedbackID", "AspectCategory", "AspectTerms")
+
+
+@job("context_window")
+def q_context_window(spark, d):
+    return _scored(spark, d).select("GeneralFeedbackID", "AspectCategory", "AspectTerms", "Context")
+
+
+@job("score_context")
+def q_score_context(spark, d):
+    s = _scored(spark, d)
+    return s.select("GeneralFeedbackID", "AspectCategory", "AspectTerms",
+                    *[F.round(F.col("scores")[n], 6).alias(n) for n in X.LABELS])
+
+
+@job("dominant_sentiment")
+def q_dominant_sentiment(spark, d):
+    return _scored(spark, d).select("GeneralFeedbackID", "AspectCategory", "AspectTerms",
+                                    "DominantLabel", "DominantScore")
+
+
+@job("polarity")
+def q_polarity(spark, d):
+    return _scored(spark, d).select("GeneralFeedbackID", "AspectCategory", "AspectTerms", "Polarity")
+
+
+@job("sentiment_distribution")
+def q_sentiment_distribution(spark, d):
+    return ab.sentiment_distribution(_scored(spark, d))
+
+
+@job("absa_nested")
+def q_absa_nested(spark, d):
+    return ab.nest(_scored(spark, d))

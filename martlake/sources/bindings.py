@@ -208,19 +208,23 @@ raw_category AS (
 
 # ------------------------------------------------------------------ raw_text
 def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ABSA input (GeneralFeedbackID, Content): every line of every document.
-    Whole documents are split on newline; no line is dropped or truncated."""
+    """ABSA input (GeneralFeedbackID, ID, Content): every line of every document
+    (ID = the source document). Whole documents are split on newline; no line
+    is dropped or truncated."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     x = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    gid = (F.col("doc_id") * LINE_ID_FACTOR + F.col("pos")).cast("bigint")
     return x.select(
-        (F.col("doc_id") * LINE_ID_FACTOR + F.col("pos")).cast("bigint").alias("GeneralFeedbackID"),
+        gid.alias("GeneralFeedbackID"),
+        F.col("doc_id").alias("ID"),
         F.col("line").alias("Content"),
+        gid.alias("_seq"),
     )
 
 
 REVIEW_TEXT_SQL = f"""
 review_text AS (
-  SELECT CAST(doc_id * {LINE_ID_FACTOR} + pos AS BIGINT) AS GeneralFeedbackID, line AS Content
+  SELECT CAST(doc_id * {LINE_ID_FACTOR} + pos AS BIGINT) AS GeneralFeedbackID, doc_id AS ID, line AS Content
   FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
            generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
