@@ -270,3 +270,53 @@ def q_sentiment_distribution(spark, d):
 @job("absa_nested")
 def q_absa_nested(spark, d):
     return ab.nest(_scored(spark, d))
+
+
+# ---------------------------------------------------- category, load, merge
+from martlake.operators import hierarchy as H  # noqa: E402
+from martlake.operators import merge as M  # noqa: E402
+from martlake.plans import category as cat  # noqa: E402
+from martlake.plans.product import brand_filter  # noqa: E402
+
+# The brands a brand-scoped run loads (the feature is the filter).
+BRANDS = ["Brand#1", "Brand#2", "Brand#3"]
+
+
+@job("collapse_single_category")
+def q_collapse_single_category(spark, d):
+    return H.collapse_single_category(B.raw_category(spark, d).drop("_seq"))
+
+
+@job("fill_hierarchy")
+def q_fill_hierarchy(spark, d):
+    return H.fill_levels(H.collapse_single_category(B.raw_category(spark, d).drop("_seq")))
+
+
+@job("category_dims")
+def q_category_dims(spark, d):
+    return cat.category_dimensions_long(B.raw_category(spark, d))
+
+
+@job("upsert_category")
+def q_upsert_category(spark, d):
+    result, _ = M.upsert(B.customer_existing(spark, d), B.customer_incoming(spark, d), ["CustKey"])
+    return result.withColumnRenamed("_action", "Action")
+
+
+@job("insert_distinct")
+def q_insert_distinct(spark, d):
+    first, second = B.sales_loads(spark, d)
+    result, _ = M.insert_distinct(first, second)
+    return result
+
+
+@job("reference_product")
+def q_reference_product(spark, d):
+    valid, _ = cat.reference_product(B.listing(spark, d))
+    return valid
+
+
+@job("brand_filter")
+def q_brand_filter(spark, d):
+    valid, _ = cat.reference_product(B.listing(spark, d))
+    return brand_filter(valid, BRANDS)

@@ -236,3 +236,85 @@ review_text AS (
 def with_bindings(*ctes: str) -> str:
     """``WITH`` prefix for oracle SQL using the given binding CTEs."""
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+
+# ------------------------------------------------------- load / merge inputs
+def customer_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table before a load: every customer, plus a later re-written
+    copy of every 10th customer (a duplicated key; the later copy wins)."""
+    c = read_table(spark, sf_dir, "customer")
+    base = c.select(F.col("c_custkey").alias("CustKey"), F.col("c_name").alias("Name"),
+                    F.col("c_nationkey").cast("bigint").alias("NationKey"), F.col("c_acctbal").alias("AcctBal"),
+                    F.col("c_mktsegment").alias("Segment"),
+                    F.struct(F.lit(0).alias("copy"), F.col("c_custkey").alias("k")).alias("_seq"))
+    again = c.filter(F.col("c_custkey") % 10 == 0).select(
+        F.col("c_custkey").alias("CustKey"), F.concat(F.col("c_name"), F.lit(" (v2)")).alias("Name"),
+        F.col("c_nationkey").cast("bigint").alias("NationKey"), F.col("c_acctbal").alias("AcctBal"),
+        F.col("c_mktsegment").alias("Segment"),
+        F.struct(F.lit(1).alias("copy"), F.col("c_custkey").alias("k")).alias("_seq"))
+    return base.unionByName(again)
+
+
+def customer_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load: every customer re-keyed to 2 x key (half the keys update stored
+    rows, half are new), balance missing for every 3rd row (old value kept),
+    every 11th key missing (never matches), every 7th row sent twice."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    key = F.when(k % 11 == 0, F.lit(None).cast("bigint")).otherwise(k * 2)
+    one = c.select(key.alias("CustKey"), F.upper("c_name").alias("Name"),
+                   F.when(k % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal") + 1.0).alias("AcctBal"),
+                   F.col("c_mktsegment").alias("Segment"), F.lit("load-2").alias("Source"))
+    two = c.filter(k % 7 == 0).select(key.alias("CustKey"), F.lower("c_name").alias("Name"),
+                                      (F.col("c_acctbal") + 2.0).alias("AcctBal"), F.lit(None).cast("string").alias("Segment"),
+                                      F.lit("load-2b").alias("Source"))
+    return one.unionByName(two)
+
+
+CUSTOMER_SQL = """
+customer_existing AS (
+  SELECT c_custkey AS CustKey, c_name AS Name, CAST(c_nationkey AS BIGINT) AS NationKey, c_acctbal AS AcctBal,
+         c_mktsegment AS Segment, 0 AS s_copy, c_custkey AS s_k FROM customer
+  UNION ALL
+  SELECT c_custkey, c_name || ' (v2)', CAST(c_nationkey AS BIGINT), c_acctbal, c_mktsegment, 1, c_custkey
+  FROM customer WHERE c_custkey % 10 = 0),
+customer_incoming AS (
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey * 2 END AS CustKey, upper(c_name) AS Name,
+         CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal + 1.0 END AS AcctBal, c_mktsegment AS Segment,
+         'load-2' AS Source FROM customer
+  UNION ALL
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey * 2 END, lower(c_name), c_acctbal + 2.0,
+         NULL, 'load-2b' FROM customer WHERE c_custkey % 7 = 0)"""
+
+
+def sales_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two loads of (order, part, supplier, quantity) rows: the second repeats
+    the rows with even line numbers exactly and changes the others."""
+    li = read_table(spark, sf_dir, "lineitem")
+    first = li.select(F.col("l_orderkey").alias("OrderKey"), F.col("l_partkey").alias("PartKey"),
+                      F.col("l_suppkey").alias("SuppKey"), F.col("l_quantity").alias("Quantity"))
+    second = li.select(F.col("l_orderkey").alias("OrderKey"), F.col("l_partkey").alias("PartKey"),
+                       F.col("l_suppkey").alias("SuppKey"),
+                       (F.col("l_quantity") + (F.col("l_linenumber") % 2).cast("double")).alias("Quantity"))
+    return first, second
+
+
+SALES_LOADS_SQL = """
+load_1 AS (SELECT l_orderkey AS OrderKey, l_partkey AS PartKey, l_suppkey AS SuppKey, l_quantity AS Quantity
+           FROM lineitem),
+load_2 AS (SELECT l_orderkey AS OrderKey, l_partkey AS PartKey, l_suppkey AS SuppKey,
+                  l_quantity + CAST(l_linenumber % 2 AS DOUBLE) AS Quantity FROM lineitem)"""
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows (sub_category_id, product_id, brand_name): one per lineitem."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_linenumber", "l_partkey")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    j = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    return j.select(F.col("l_linenumber").cast("bigint").alias("sub_category_id"),
+                    F.col("l_partkey").alias("product_id"), F.col("p_brand").alias("brand_name"))
+
+
+LISTING_SQL = """
+listing AS (SELECT CAST(l_linenumber AS BIGINT) AS sub_category_id, l_partkey AS product_id, p_brand AS brand_name
+            FROM lineitem JOIN part ON l_partkey = p_partkey)"""
