@@ -320,3 +320,52 @@ def q_reference_product(spark, d):
 def q_brand_filter(spark, d):
     valid, _ = cat.reference_product(B.listing(spark, d))
     return brand_filter(valid, BRANDS)
+
+
+# ------------------------------------------------------------------ sources
+from martlake.sources import csvio  # noqa: E402
+from martlake.sources import payloads as S  # noqa: E402
+
+# The category groups a run loads (the whitelist is the feature).
+GROUPS = ["11", "21", "31", "41"]
+
+
+@job("flatten_category_tree")
+def q_flatten_category_tree(spark, d):
+    menu, pages = B.category_landing(spark, d)
+    menu = S.parse(menu, "json", S.MENU)
+    pages = S.parse(pages, "json", S.CATEGORY_PAGE)
+    return S.flatten_category_tree(menu, pages, GROUPS)
+
+
+@job("flatten_listing")
+def q_flatten_listing(spark, d):
+    return S.flatten_listing(S.parse(B.listing_pages(spark, d), "json", S.LISTING_PAGE))
+
+
+@job("flatten_product")
+def q_flatten_product(spark, d):
+    return S.flatten_product(S.parse(B.product_docs(spark, d), "json", S.PRODUCT))
+
+
+@job("leaf_category")
+def q_leaf_category(spark, d):
+    docs = S.parse(B.product_docs(spark, d), "json", S.PRODUCT)
+    return docs.select(F.col("body.id").alias("product_id"), S.leaf_category().alias("category_id"))
+
+
+@job("flatten_reviews")
+def q_flatten_reviews(spark, d):
+    return S.flatten_reviews(S.parse(B.review_pages(spark, d), "json", S.REVIEW_PAGE))
+
+
+@job("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """Whole documents (quotes, commas, newlines inside) written as warehouse
+    CSV under the shared scratch folder and read back with an explicit schema."""
+    from martlake.session import scratch_path
+    import uuid
+    docs = B.read_table(spark, d, "documents").select("doc_id", "lang", "text")
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    csvio.write_csv(docs, path)
+    return csvio.read_csv(spark, path, docs.schema)

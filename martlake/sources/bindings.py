@@ -172,11 +172,12 @@ def raw_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived from part, with ragged levels: some masters have 0, 1, 2 or 3
     categories, some rows have no sub-category."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    g = F.col("p_partkey") % 5
-    m = F.col("p_partkey") % 500
+    # ids are unique across levels (the last digit names the level)
+    g = (F.col("p_partkey") % 5) * 10 + 1
+    m = (F.col("p_partkey") % 500) * 10 + 2
     csize = F.col("p_size") % 4
-    c = F.when(csize == 0, F.lit(None).cast("bigint")).otherwise(m * 10 + csize)
-    s = F.when(F.col("p_partkey") % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("p_partkey"))
+    c = F.when(csize == 0, F.lit(None).cast("bigint")).otherwise(((F.col("p_partkey") % 500) * 10 + csize) * 10 + 3)
+    s = F.when(F.col("p_partkey") % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("p_partkey") * 10 + 4)
     return p.select(
         g.alias("GroupID"),
         F.concat(F.lit("G"), g.cast("string")).alias("GroupName"),
@@ -193,14 +194,15 @@ def raw_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_CATEGORY_SQL = """
 raw_category AS (
   SELECT
-    p_partkey % 5 AS GroupID,
-    'G' || CAST(p_partkey % 5 AS VARCHAR) AS GroupName,
-    p_partkey % 500 AS MasterCategoryID,
-    'M' || CAST(p_partkey % 500 AS VARCHAR) AS MasterCategoryName,
-    CASE WHEN p_size % 4 = 0 THEN NULL ELSE (p_partkey % 500) * 10 + p_size % 4 END AS CategoryID,
-    CASE WHEN p_size % 4 = 0 THEN NULL ELSE 'C' || CAST((p_partkey % 500) * 10 + p_size % 4 AS VARCHAR) END AS CategoryName,
-    CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey END AS SubCategoryID,
-    CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'S' || CAST(p_partkey AS VARCHAR) END AS SubCategoryName,
+    (p_partkey % 5) * 10 + 1 AS GroupID,
+    'G' || CAST((p_partkey % 5) * 10 + 1 AS VARCHAR) AS GroupName,
+    (p_partkey % 500) * 10 + 2 AS MasterCategoryID,
+    'M' || CAST((p_partkey % 500) * 10 + 2 AS VARCHAR) AS MasterCategoryName,
+    CASE WHEN p_size % 4 = 0 THEN NULL ELSE ((p_partkey % 500) * 10 + p_size % 4) * 10 + 3 END AS CategoryID,
+    CASE WHEN p_size % 4 = 0 THEN NULL
+         ELSE 'C' || CAST(((p_partkey % 500) * 10 + p_size % 4) * 10 + 3 AS VARCHAR) END AS CategoryName,
+    CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey * 10 + 4 END AS SubCategoryID,
+    CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'S' || CAST(p_partkey * 10 + 4 AS VARCHAR) END AS SubCategoryName,
     p_partkey AS s_seq
   FROM part
 )"""
@@ -318,3 +320,108 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 LISTING_SQL = """
 listing AS (SELECT CAST(l_linenumber AS BIGINT) AS sub_category_id, l_partkey AS product_id, p_brand AS brand_name
             FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
+# ------------------------------------------------------------ landing JSON
+PAGE_SIZE = 20
+
+
+def _paged(df: DataFrame, parent: str, seq: Column, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Assign rows of each parent to ceil(n / page_size) pages by a hash of the
+    row's own order key, so every page holds about ``page_size`` rows even for
+    a parent holding a third of the data."""
+    n = df.groupBy(parent).agg(F.count(F.lit(1)).alias("_n"))
+    j = df.join(n, parent, "inner")
+    pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint")
+    return j.withColumn("_pages", pages).withColumn("page", F.pmod(F.xxhash64(seq), F.col("_pages")) + 1)
+
+
+def category_landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(menu, responses) as the crawler lands them: one menu document listing
+    every group, and per parent id (group, master, category) response pages
+    listing its children; a parent without children gets one empty page."""
+    rc = raw_category(spark, sf_dir)
+    groups = rc.select("GroupID", "GroupName").distinct()
+    menu = groups.select(F.struct(F.concat(F.lit("/danh-muc/c"), F.col("GroupID").cast("string")).alias("link"),
+                                  F.col("GroupName").alias("text")).alias("item")) \
+                 .agg(F.collect_list("item").alias("items")) \
+                 .select(F.to_json(F.struct(F.struct("items").alias("menu_block"))).alias("json"))
+    edges = (rc.select(F.col("GroupID").alias("parent_id"), F.col("MasterCategoryID").alias("id"),
+                       F.col("MasterCategoryName").alias("name"))
+               .unionByName(rc.select(F.col("MasterCategoryID").alias("parent_id"), F.col("CategoryID").alias("id"),
+                                      F.col("CategoryName").alias("name")))
+               .unionByName(rc.filter(F.col("CategoryID").isNotNull())
+                              .select(F.col("CategoryID").alias("parent_id"), F.col("SubCategoryID").alias("id"),
+                                      F.col("SubCategoryName").alias("name"))))
+    edges = edges.filter(F.col("parent_id").isNotNull()).distinct()
+    child = edges.filter(F.col("id").isNotNull())
+    paged = _paged(child, "parent_id", F.struct("id", "name"))
+    full = (paged.groupBy("parent_id", "page")
+                 .agg(F.sort_array(F.collect_list(F.struct("id", "name"))).alias("data")))
+    empty = (edges.groupBy("parent_id").agg(F.count("id").alias("k")).filter(F.col("k") == 0)
+                  .select("parent_id", F.lit(1).cast("bigint").alias("page"),
+                          F.array().cast("array<struct<id:bigint,name:string>>").alias("data")))
+    pages = full.unionByName(empty).select("parent_id", "page", F.to_json(F.struct("data")).alias("json"))
+    return menu, pages
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing response pages (category_id, page, json) from the product rows."""
+    rp = raw_product(spark, sf_dir).select(F.col("sub_category_id").alias("category_id"),
+                                           F.col("product_id").alias("id"), "brand_name", "_seq")
+    paged = _paged(rp, "category_id", F.col("_seq"))
+    g = paged.groupBy("category_id", "page", "_pages").agg(F.collect_list(F.struct("id", "brand_name")).alias("data"))
+    body = F.struct(F.struct(F.col("_pages").cast("int").alias("last_page")).alias("paging"), "data")
+    return g.select("category_id", "page", F.to_json(body).alias("json"))
+
+
+def product_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One product response per snapshot, with the listing context
+    (sub_category_id, brand_name) next to it."""
+    r = raw_product(spark, sf_dir)
+    seller = F.when(F.col("seller_id") != 0, F.struct(
+        F.col("seller_id").alias("id"), F.col("seller_name").alias("name"),
+        F.col("seller_link").alias("link"), F.col("seller_image_url").alias("logo")))
+    crumbs = F.when(F.col("product_id") % 3 == 0, F.array(F.struct(F.lit(1).cast("bigint").alias("category_id")))) \
+              .otherwise(F.array(F.struct(F.lit(1).cast("bigint").alias("category_id")),
+                                 F.struct(F.col("sub_category_id").alias("category_id")),
+                                 F.struct(F.col("product_id").alias("category_id"))))
+    body = F.struct(
+        F.col("product_id").alias("id"), F.col("product_name").alias("name"), F.col("product_url").alias("short_url"),
+        F.col("pricing_current").alias("price"), F.col("pricing_original").alias("original_price"),
+        F.col("product_image_url").alias("thumbnail_url"), "inventory_status", "inventory_type",
+        F.col("created_date").alias("day_ago_created"), F.col("quantity_sold").alias("all_time_quantity_sold"),
+        F.struct(F.col("brand_id").alias("id"), F.col("brand_name").alias("name"),
+                 F.col("brand_slug").alias("slug")).alias("brand"),
+        seller.alias("current_seller"),
+        F.struct((F.col("product_id") % 100 + 1000).alias("id"),
+                 (F.col("sub_category_id") % 2 == 0).alias("is_leaf")).alias("categories"),
+        crumbs.alias("breadcrumbs"))
+    return r.select("sub_category_id", "brand_name", F.to_json(body).alias("json"))
+
+
+def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review response pages (product_id, page, json): product-level star counts
+    (stars without reviews omitted) and review count on every page; a review
+    whose author is user 0 has no author object."""
+    rf = raw_feedback(spark, sf_dir)
+    stats = rf.groupBy("ProductID").agg(
+        *[F.count_if(F.col("review_rating") == i).alias(f"s{i}") for i in range(1, 6)],
+        F.count(F.lit(1)).alias("n"))
+    stars = F.map_filter(F.create_map(*[x for i in range(1, 6) for x in
+                                        (F.lit(str(i)), F.struct(F.col(f"s{i}").cast("bigint").alias("count")))]),
+                         lambda k, v: v["count"] > 0)
+    author = F.when(F.col("user_id") != 0, F.struct(
+        F.col("user_id").alias("id"), F.col("username").alias("name"), F.col("joined_time").alias("created_time"),
+        F.struct(F.struct(F.col("total_reviews").alias("total_review"),
+                          F.col("total_upvotes").alias("total_thank")).alias("summary")).alias("contribute_info")))
+    review = F.struct(F.col("review_id").alias("id"), F.col("review_title").alias("title"),
+                      F.col("review_content").alias("content"), F.col("review_upvote").alias("thank_count"),
+                      F.col("review_rating").alias("rating"), F.col("review_created_at").alias("created_at"),
+                      author.alias("created_by"))
+    paged = _paged(rf.select("ProductID", review.alias("r"), "_seq"), "ProductID", F.col("_seq"))
+    g = paged.groupBy("ProductID", "page", "_pages").agg(F.collect_list("r").alias("data"))
+    g = g.join(stats, "ProductID", "inner")
+    body = F.struct(F.struct(F.col("_pages").cast("int").alias("last_page")).alias("paging"),
+                    stars.alias("stars"), F.col("n").cast("bigint").alias("reviews_count"), "data")
+    return g.select(F.col("ProductID").alias("product_id"), "page", F.to_json(body).alias("json"))
