@@ -44,8 +44,9 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def quality_report(df: DataFrame, table: str, key: Sequence[str], casts: Mapping[str, str] | None = None) -> DataFrame:
-    """One row: total rows, rows with a null key part, rows whose key occurs more
-    than once, and strict-cast failures per column: a keyed aggregation (partial,
+    """Rows (table, metric, value): total rows, rows with a null key part, rows
+    whose key occurs more than once, and strict-cast failures per column
+    (``bad_<column>``): a keyed aggregation (partial,
     so hot keys combine map-side) followed by a global one over its output."""
     key = list(key)
     null_key: Column = F.lit(False)
@@ -61,4 +62,6 @@ def quality_report(df: DataFrame, table: str, key: Sequence[str], casts: Mapping
             F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).cast("bigint").alias("dup_key_rows")]
     for c in (casts or {}):
         aggs.append(F.coalesce(F.sum(f"bad_{c}"), F.lit(0)).cast("bigint").alias(f"bad_{c}"))
-    return per_key.agg(*aggs).select(F.lit(table).alias("table"), "*")
+    wide = per_key.agg(*aggs).select(F.lit(table).alias("table"), "*")
+    metrics = [c for c in wide.columns if c != "table"]
+    return wide.unpivot(["table"], metrics, "metric", "value")

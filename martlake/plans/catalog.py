@@ -369,3 +369,68 @@ def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
     csvio.write_csv(docs, path)
     return csvio.read_csv(spark, path, docs.schema)
+
+
+# ------------------------------------------------------ metrics and marts
+from martlake.operators import marts as MT  # noqa: E402
+from martlake.operators.quality import quality_report, stage_counts  # noqa: E402
+
+
+@job("run_metrics")
+def q_run_metrics(spark, d):
+    """Row counts at each stage of the product load."""
+    from martlake.operators.snapshots import daily_last
+    raw = _raw_product(spark, d)
+    clean = prod.product_clean(raw, B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
+    daily = daily_last(clean, "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
+    return stage_counts({"extracted": raw, "transformed": clean, "daily": daily,
+                         "product": prod.product_dim(clean), "seller": prod.seller_dim(raw)})
+
+
+@job("dq_report")
+def q_dq_report(spark, d):
+    f = quality_report(_raw_feedback(spark, d), "raw_feedback", ["review_id"],
+                       {"review_rating": "bigint", "review_created_at": "bigint", "joined_time": "timestamp"})
+    p = quality_report(_raw_product(spark, d), "raw_product", ["product_id", "seller_id"],
+                       {"created_date": "bigint", "quantity_sold": "bigint", "seller_image_url": "string"})
+    return f.unionByName(p)
+
+
+@job("review_summary")
+def q_review_summary(spark, d):
+    return MT.review_summary(fb.feedback_detail(_raw_feedback(spark, d)))
+
+
+def _daily_prices(spark, d):
+    r = _raw_product(spark, d).select(F.col("product_id").alias("ProductID"), F.col("_seq.d").alias("ts"),
+                                      "pricing_current", "pricing_original", "_seq")
+    return MT.daily_price(r, "ProductID", "ts", ["_seq"], "pricing_current", "pricing_original")
+
+
+@job("price_change")
+def q_price_change(spark, d):
+    out = MT.price_change(_daily_prices(spark, d), "ProductID")
+    return out.withColumn("Day", date_text("Day"))
+
+
+@job("kpi_direction")
+def q_kpi_direction(spark, d):
+    from martlake.operators.snapshots import daily_last
+    daily = daily_last(_clean(spark, d), "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
+    return MT.kpi_direction(daily, "ProductID", "QuantitySold").withColumn("Day", date_text("Day"))
+
+
+@job("incremental_upsert")
+def q_incremental_upsert(spark, d):
+    """General-feedback rows land as 4 files; a file-source stream merges them
+    one file per micro-batch (append-distinct); a second run finds nothing new."""
+    import uuid
+    from martlake.session import scratch_path
+    from martlake.streaming.incremental import run_incremental
+    base = scratch_path(spark, f"incremental-{uuid.uuid4().hex}")
+    rows = fb.general_feedback_rows(_raw_feedback(spark, d), B.AS_OF, B.FEEDBACK_TZ_OFFSET_HOURS)
+    rows.repartition(4, "GeneralFeedbackID").write.parquet(f"{base}/landing")
+    for _ in range(2):
+        run_incremental(spark, f"{base}/landing", rows.schema, f"{base}/target", f"{base}/checkpoint",
+                        max_files_per_trigger=1)
+    return spark.read.parquet(f"{base}/target")

@@ -49,6 +49,11 @@ def priority_user(raw: DataFrame) -> DataFrame:
 
 def general_feedback(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
     """Per review the page-level star counts, counts null -> 0, plus run time; distinct."""
+    return general_feedback_rows(raw, as_of, tz_offset_hours).dropDuplicates()
+
+
+def general_feedback_rows(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
+    """General-feedback rows before the distinct (one per raw review row)."""
     ref = reference_time(as_of, tz_offset_hours)
     g = raw.select(
         zero_if_null(F.col("review_id")).alias("GeneralFeedbackID"),
@@ -59,7 +64,7 @@ def general_feedback(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_
         zero_if_null(F.col("FiveStarCount")).alias("FiveStar"),
         zero_if_null(F.col("reviews_count")).alias("ReviewCount"),
         ts_text(ref).alias("LastUpdated"))
-    return g.dropDuplicates()
+    return g
 
 
 def detail_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
