@@ -37,14 +37,14 @@ def daily_price(snapshots: DataFrame, key: str, ts: str, order: list, current: s
 
 def price_change(daily: DataFrame, key: str) -> DataFrame:
     """Change of the current price versus the previous observed day of the same
-    key (null on the first day) and the discount off the original price."""
+    key (null on the first day) and the discount off the original price.
+    Values keep full precision; rounding is left to presentation."""
     w = Window.partitionBy(key).orderBy("Day")
     prev = F.lag("CurrentPrice", 1).over(w)
     cur, orig = F.col("CurrentPrice"), F.col("OriginalPrice")
     return daily.select(
-        key, "Day", F.round(cur, 2).alias("CurrentPrice"), F.round(prev, 2).alias("PreviousPrice"),
-        F.round(cur - prev, 2).alias("Change"),
-        F.round(F.when(orig > 0, F.lit(1.0) - cur / orig), 4).alias("Discount"))
+        key, "Day", cur.alias("CurrentPrice"), prev.alias("PreviousPrice"), (cur - prev).alias("Change"),
+        F.when(orig > 0, F.lit(1.0) - cur / orig).alias("Discount"))
 
 
 def kpi_direction(daily: DataFrame, key: str, value: str, levels: int = HEAT_LEVELS) -> DataFrame:
