@@ -122,12 +122,13 @@ def explode_aspects(parsed: DataFrame) -> DataFrame:
 
 def context_window(text, term, chars: int = CONTEXT_CHARS) -> Column:
     """``text[max(0, f-20) : min(len, f+len(term)+20)]`` with f = first index of
-    the term (-1 when missing), using Python slice rules."""
+    the term (-1 when missing), using Python slice rules; null text or term -> null."""
     t, w = F.col(text) if isinstance(text, str) else text, F.col(term) if isinstance(term, str) else term
     f = F.instr(t, w) - 1
     start = F.greatest(F.lit(0), f - chars)
     end = F.least(F.length(t), f + F.length(w) + chars)
-    return F.when(end > start, F.substring(t, start + 1, end - start)).otherwise(F.lit(""))
+    window = F.when(end > start, F.substring(t, start + 1, end - start)).otherwise(F.lit(""))
+    return F.when(t.isNotNull() & w.isNotNull(), window)  # greatest/least skip nulls
 
 
 def _count_words(c: Column, words: Sequence[str]) -> Column:
