@@ -51,9 +51,20 @@ def epoch_to_text(c) -> Column:
     return F.date_format(F.timestamp_seconds(col(c)), TS_FORMAT)
 
 
-def lenient_timestamp(c) -> Column:
-    """Free-form date text -> timestamp; unparsable -> null."""
-    return F.try_to_timestamp(col(c).cast("string"))
+EPOCH_UNITS = {"s": F.timestamp_seconds, "ms": F.timestamp_millis, "us": F.timestamp_micros}
+
+
+def lenient_timestamp(c, numeric_unit: str | None = None) -> Column:
+    """Free-form date text -> timestamp; unparsable -> null.
+
+    With ``numeric_unit`` ('s', 'ms' or 'us') a value that is a whole number is
+    read as an epoch in that unit instead (the unit is never guessed)."""
+    c = col(c)
+    parsed = F.try_to_timestamp(c.cast("string"))
+    if numeric_unit is None:
+        return parsed
+    num = c.cast("string").try_cast("bigint")
+    return F.when(num.isNotNull(), EPOCH_UNITS[numeric_unit](num)).otherwise(parsed)
 
 
 def ts_text(c) -> Column:

@@ -398,7 +398,7 @@ def q_dq_report(spark, d):
 
 @job("review_summary")
 def q_review_summary(spark, d):
-    return MT.review_summary(fb.feedback_detail(_raw_feedback(spark, d)))
+    return MT.review_summary(fb.feedback_detail_rows(_raw_feedback(spark, d)))
 
 
 def _daily_prices(spark, d):

@@ -88,12 +88,17 @@ def unmasked_content(raw: DataFrame) -> DataFrame:
     return least_masked(valid, DETAIL_KEYS, "Content")
 
 
-def feedback_detail(raw: DataFrame) -> DataFrame:
-    """Least-masked rows, first per review in key order, then a dense
-    FeedbackDetailID in (product, user, review, created) order."""
+def feedback_detail_rows(raw: DataFrame) -> DataFrame:
+    """Least-masked rows, first per review in (product, user, created) order;
+    the detail table without its ordinal id (enough for aggregates)."""
     a6 = unmasked_content(raw).drop(SEQ)
-    first = keep_first(a6, ["GeneralFeedbackID"], [F.col("ProductID"), F.col("UserID"), F.col("CreatedDate")])
-    out = dense_id(first, [F.col(c) for c in DETAIL_KEYS], "FeedbackDetailID")
+    return keep_first(a6, ["GeneralFeedbackID"], [F.col("ProductID"), F.col("UserID"), F.col("CreatedDate")])
+
+
+def feedback_detail(raw: DataFrame) -> DataFrame:
+    """:func:`feedback_detail_rows` plus a dense FeedbackDetailID in
+    (product, user, review, created) order."""
+    out = dense_id(feedback_detail_rows(raw), [F.col(c) for c in DETAIL_KEYS], "FeedbackDetailID")
     return out.select("FeedbackDetailID", "ProductID", "UserID", "GeneralFeedbackID", "Title", "Content",
                       "Upvote", "Rating", "CreatedDate")
 

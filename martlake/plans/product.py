@@ -101,15 +101,18 @@ def brand_dim(raw: DataFrame) -> DataFrame:
     return keep_first(b, ["BrandID"], [F.col(SEQ)]).drop(SEQ)
 
 
-def seller_dim(raw: DataFrame, prefix: str = SELLER_IMAGE_PREFIX) -> DataFrame:
+def seller_dim(raw: DataFrame, prefix: str = SELLER_IMAGE_PREFIX, strict_suffix: bool = False) -> DataFrame:
     """Seller rows: id null -> 0, image URL null -> 'nan' then prefixed unless it
     starts with http; duplicated ids lose rows whose image URL contains 'nan';
-    first row per id."""
+    first row per id. ``strict_suffix`` drops only URLs that are the null
+    marker itself (prefix + 'nan'), so a real URL containing 'nan' survives."""
     s = raw.select(zero_if_null(F.col("seller_id")).alias("SellerID"),
                    F.col("seller_name").cast("string").alias("Name"),
                    F.col("seller_link").cast("string").alias("Link"),
                    with_prefix(nan_if_null("seller_image_url"), prefix).alias("ImageURL"), SEQ)
-    out = drop_marked_duplicates(s, "SellerID", F.col("ImageURL").contains("nan"))
+    url = F.col("ImageURL")
+    marked = (url == F.lit(prefix + "nan")) | (url == F.lit("nan")) if strict_suffix else url.contains("nan")
+    out = drop_marked_duplicates(s, "SellerID", marked)
     return out.drop(SEQ)
 
 
