@@ -121,6 +121,15 @@ SELECT GeneralFeedbackID, AspectCategory, AspectTerms, round(Negative, 6) AS Neg
     "dominant_sentiment": _W + """
 SELECT GeneralFeedbackID, AspectCategory, AspectTerms, DominantLabel, DominantScore FROM pl""",
     "polarity": _W + "SELECT GeneralFeedbackID, AspectCategory, AspectTerms, Polarity FROM pl",
+    "absa_nested": _W.replace(
+        "unnest(CASE WHEN len(terms) = 0 THEN [NULL::VARCHAR] ELSE terms END) AS AspectTerms",
+        "unnest(CASE WHEN len(terms) = 0 THEN [NULL::VARCHAR] ELSE terms END) AS AspectTerms,\n"
+        "         unnest(range(greatest(len(terms), 1))) AS tpos", 1) + """
+SELECT GeneralFeedbackID, ID, Content,
+       CAST(to_json(list(struct_pack(AspectCategory := AspectCategory, AspectTerms := AspectTerms,
+                                     Polarity := Polarity, DominantScore := DominantScore)
+                         ORDER BY apos, tpos)) AS VARCHAR) AS Aspects
+FROM pl GROUP BY GeneralFeedbackID, ID, Content""",
     "sentiment_distribution": _W + """
 SELECT Polarity, count(*) AS Aspects FROM pl WHERE Polarity IS NOT NULL GROUP BY Polarity""",
 }

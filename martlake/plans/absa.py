@@ -68,6 +68,13 @@ def sentiment_distribution(scored: DataFrame) -> DataFrame:
                   .groupBy("Polarity").agg(F.count(F.lit(1)).cast("bigint").alias("Aspects")))
 
 
+def aspects_json(nested: DataFrame) -> DataFrame:
+    """The nested result with ``Aspects`` as the JSON text the sink writes
+    (null fields kept, so every aspect object has the same four keys)."""
+    return nested.select("GeneralFeedbackID", "ID", "Content",
+                         F.to_json("Aspects", {"ignoreNullFields": "false"}).alias("Aspects"))
+
+
 def write_nested_json(nested: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Result sink: newline-delimited JSON, one review per line."""
     nested.write.mode(mode).json(path)

@@ -269,7 +269,8 @@ def q_sentiment_distribution(spark, d):
 
 @job("absa_nested")
 def q_absa_nested(spark, d):
-    return ab.nest(_scored(spark, d))
+    """One row per review; its aspects as the JSON array the result sink writes."""
+    return ab.aspects_json(ab.nest(_scored(spark, d)))
 
 
 # ---------------------------------------------------- category, load, merge
