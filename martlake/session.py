@@ -57,11 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object-store) folder there; it is used as is.
-    Only when it is unset (local tests) a private scratch folder is created.
+    Only in local mode, when it is unset (tests), a private scratch folder is
+    created; on a cluster an unset folder is an error, never a machine-local one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS or object "
+                               "store) for checkpoints and intermediate tables")
         d = tempfile.mkdtemp(prefix="martlake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
