@@ -333,10 +333,23 @@ GROUPS = ["11", "21", "31", "41"]
 
 @job("flatten_category_tree")
 def q_flatten_category_tree(spark, d):
+    """The category responses are landed as newline-delimited JSON files (as
+    the crawler writes them) and read back with an explicit schema; the
+    flattener then works on the landed files, not on the plan that made them."""
+    import uuid
+    from pyspark.sql.types import LongType, StructField, StructType
+    from martlake.session import scratch_path
+    base = scratch_path(spark, f"landing-category-{uuid.uuid4().hex}")
     menu, pages = B.category_landing(spark, d)
-    menu = S.parse(menu, "json", S.MENU)
-    pages = S.parse(pages, "json", S.CATEGORY_PAGE)
-    return S.flatten_category_tree(menu, pages, GROUPS)
+    menu.select(F.concat(F.lit('{"body":'), "json", F.lit("}"))).write.text(f"{base}/menu")
+    pages.select(F.concat(F.lit('{"parent_id":'), F.col("parent_id").cast("string"), F.lit(',"page":'),
+                          F.col("page").cast("string"), F.lit(',"body":'), "json", F.lit("}"))) \
+         .write.text(f"{base}/pages")
+    menu_docs = S.read_landing(spark, f"{base}/menu", StructType([StructField("body", S.MENU)]))
+    page_docs = S.read_landing(spark, f"{base}/pages", StructType([
+        StructField("parent_id", LongType()), StructField("page", LongType()),
+        StructField("body", S.CATEGORY_PAGE)]))
+    return S.flatten_category_tree(menu_docs, page_docs, GROUPS)
 
 
 @job("flatten_listing")
@@ -366,7 +379,7 @@ def q_csv_roundtrip(spark, d):
     CSV under the shared scratch folder and read back with an explicit schema."""
     from martlake.session import scratch_path
     import uuid
-    docs = B.read_table(spark, d, "documents").select("doc_id", "lang", "text")
+    docs = B.read_table(spark, d, "documents", spread=True).select("doc_id", "lang", "text")
     path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
     csvio.write_csv(docs, path)
     return csvio.read_csv(spark, path, docs.schema)

@@ -14,9 +14,13 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy Parquet scan; later selects/filters are pushed into the scan."""
-    return spread_small_scan(spark.read.parquet(table_path(sf_dir, name)))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Lazy Parquet scan; later selects/filters are pushed into the scan.
+
+    ``spread``: for tables whose rows get heavy per-row work before the first
+    shuffle (see :func:`spread_small_scan`); dimension tables are left as read."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_small_scan(df) if spread else df
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
