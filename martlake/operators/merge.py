@@ -108,14 +108,18 @@ def new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
     """Overwrite ``path`` even when ``df`` reads from it.
 
-    A reliable checkpoint (in the cluster's shared ``spark.checkpoint.dir``)
-    materialises the result first and cuts its lineage, so the plan no longer
-    reads ``path`` when the overwrite deletes it; an executor lost during the
-    write re-reads the checkpoint, not the half-deleted table."""
+    Only when the plan reads files under ``path`` (``inputFiles``), a reliable
+    checkpoint (in the cluster's shared ``spark.checkpoint.dir``) materialises
+    the result first and cuts its lineage, so the plan no longer reads ``path``
+    when the overwrite deletes it; an executor lost during the write re-reads
+    the checkpoint, not the half-deleted table. Otherwise the result is written
+    directly, without materialising it twice."""
     from martlake.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    frozen = df.checkpoint(eager=True)
-    w = frozen.write.mode("overwrite").format(fmt)
+    target = path.rstrip("/") + "/"
+    if any(target in f for f in df.inputFiles()):
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    w = df.write.mode("overwrite").format(fmt)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)

@@ -313,8 +313,16 @@ def q_insert_distinct(spark, d):
 
 @job("reference_product")
 def q_reference_product(spark, d):
+    """Listing -> ReferenceProduct, loaded by full overwrite (twice, as two
+    scheduled refreshes would: the second replaces the first, nothing doubles)."""
+    import uuid
+    from martlake.operators.merge import overwrite_table
+    from martlake.session import scratch_path
     valid, _ = cat.reference_product(B.listing(spark, d))
-    return valid
+    path = scratch_path(spark, f"reference-product-{uuid.uuid4().hex}")
+    for _ in range(2):
+        overwrite_table(valid, path)
+    return spark.read.parquet(path)
 
 
 @job("brand_filter")
