@@ -81,3 +81,15 @@ def test_meaningful_reviews_first_row_per_id(spark):
     assert rows(ab.meaningful_reviews(r)) == []          # id 1 keeps its first row (junk), others junk/blank
     r2 = r.withColumn("_seq", F.when(F.col("ID") == 1, 0).otherwise(F.col("_seq")))
     assert rows(ab.meaningful_reviews(r2)) == [(1, 1, "hàng tốt lắm")]
+
+
+def test_nested_json_sink_round_trip(spark, tmp_path):
+    reviews = spark.createDataFrame([(1, 1, "sản phẩm tốt, giao hàng chậm")],
+                                    "GeneralFeedbackID bigint, ID bigint, Content string")
+    nested = ab.nest(ab.scored_terms(ab.parse_responses(ab.aspect_responses(reviews))))
+    path = str(tmp_path / "absa")
+    ab.write_nested_json(nested, path)
+    back = spark.read.schema(nested.schema).json(path).collect()
+    assert [tuple(r) for r in back] == [tuple(r) for r in nested.collect()]
+    text = ab.aspects_json(nested).collect()[0]["Aspects"]
+    assert json.loads(text)[0]["AspectCategory"] == X.PRODUCT_ASPECT
