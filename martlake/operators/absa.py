@@ -95,8 +95,10 @@ def recover_json(response: Column, schema: StructType = ASPECT_SCHEMA, key: str
         return let(F.from_json(text, schema),
                    lambda d: F.when(F.try_parse_json(text).isNotNull() & d[key].isNotNull(), d).otherwise(fallback))
 
-    return let(response, lambda r: let(F.regexp_extract(r, r"(?s)\{.*\}", 0),
-                                       lambda ext: parsed(r, parsed(ext, F.lit(None).cast(schema)))))
+    # The brace extraction sits in the fallback branch, so it runs only for
+    # responses that do not parse as they are.
+    return let(response, lambda r: parsed(r, let(F.regexp_extract(r, r"(?s)\{.*\}", 0),
+                                                 lambda ext: parsed(ext, F.lit(None).cast(schema)))))
 
 
 def normalize_terms(raw: Column) -> Column:
