@@ -105,7 +105,8 @@ def new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(existing, cond, "left_anti").dropDuplicates()
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
+def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
+                    **options) -> str:
     """Overwrite ``path`` even when ``df`` reads from it.
 
     Only when the plan reads files under ``path`` (``inputFiles``), a reliable
@@ -113,13 +114,16 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -
     the result first and cuts its lineage, so the plan no longer reads ``path``
     when the overwrite deletes it; an executor lost during the write re-reads
     the checkpoint, not the half-deleted table. Otherwise the result is written
-    directly, without materialising it twice."""
+    directly, without materialising it twice. With ``partition_by`` only the
+    partitions present in ``df`` are replaced (dynamic partition overwrite)."""
     from martlake.session import ensure_checkpoint_dir
     target = path.rstrip("/") + "/"
     if any(target in f for f in df.inputFiles()):
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)

@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martlake.operators.merge import new_rows, overwrite_table, upsert
@@ -31,27 +32,70 @@ def _exists(spark: SparkSession, path: str, schema: StructType) -> DataFrame | N
         return None
 
 
+MAX_PRUNE_VALUES = 1000   # partition values a micro-batch may name for static pruning
+
+
+def touched_partitions(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` in the partitions the batch writes to.
+
+    The batch's distinct partition values (partition metadata, bounded by
+    ``MAX_PRUNE_VALUES`` and counted before anything is fetched) become a
+    literal filter, which Spark turns into static partition pruning: a
+    micro-batch reads only what it can collide with, not the whole target.
+    Beyond the bound a semi join on the partition columns is used (correct,
+    without pruning). Null partition values match by ``IS NULL``."""
+    cols = list(partition_by)
+    values = batch.select(*cols).distinct()
+    if values.count() > MAX_PRUNE_VALUES:
+        hit = existing.join(values.dropna(), cols, "left_semi")
+        null_part = F.lit(False)
+        for c in cols:
+            null_part = null_part | F.col(c).isNull()
+        return hit.unionByName(existing.filter(null_part))
+    cond = F.lit(False)
+    for row in values.collect():
+        term = F.lit(True)
+        for c in cols:
+            term = term & (F.col(c).isNull() if row[c] is None else F.col(c) == F.lit(row[c]))
+        cond = cond | term
+    return existing.filter(cond)
+
+
 def merge_batch(batch: DataFrame, target: str, mode: str = "append-distinct",
-                keys: Sequence[str] | None = None) -> None:
-    """Merge one micro-batch (or any batch) into the Parquet table ``target``."""
+                keys: Sequence[str] | None = None, partition_by: Sequence[str] | None = None) -> None:
+    """Merge one micro-batch (or any batch) into the Parquet table ``target``.
+
+    ``partition_by``: the target is partitioned by these columns and a batch
+    only reads and rewrites the partitions it touches (for ``upsert`` they must
+    be part of ``keys``, so a key never moves between partitions)."""
     spark = batch.sparkSession
+    parts = list(partition_by or [])
+    if mode == "upsert" and not set(parts) <= set(keys or []):
+        raise ValueError("partition columns must be part of the upsert keys")
     existing = _exists(spark, target, batch.schema)
+
+    def append(df: DataFrame) -> None:
+        w = df.write.mode("append")
+        (w.partitionBy(*parts) if parts else w).parquet(target)
+
     if existing is None:
-        batch.dropDuplicates().write.mode("append").parquet(target) if mode == "append-distinct" \
-            else batch.write.mode("append").parquet(target)
+        append(batch.dropDuplicates() if mode == "append-distinct" else batch)
         return
+    if parts:
+        existing = touched_partitions(existing, batch, parts)
     if mode == "append-distinct":
-        new_rows(existing, batch).write.mode("append").parquet(target)
+        append(new_rows(existing, batch))
     elif mode == "upsert":
         result, _ = upsert(existing, batch, list(keys or []))
-        overwrite_table(result.drop("_action"), target)
+        overwrite_table(result.drop("_action"), target, partition_by=parts or None)
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
 
 def run_incremental(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
                     mode: str = "append-distinct", keys: Sequence[str] | None = None,
-                    fmt: str = "parquet", max_files_per_trigger: int | None = None) -> None:
+                    fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                    partition_by: Sequence[str] | None = None) -> None:
     """Process every landing file not processed before, then stop
     (``trigger(availableNow=True)``): a scheduled incremental load."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -59,7 +103,7 @@ def run_incremental(spark: SparkSession, source: str, schema: StructType, target
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source)
     q = (stream.writeStream
-               .foreachBatch(lambda df, _batch_id: merge_batch(df, target, mode, keys))
+               .foreachBatch(lambda df, _batch_id: merge_batch(df, target, mode, keys, partition_by))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True)
                .start())

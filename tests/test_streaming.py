@@ -28,3 +28,28 @@ def test_upsert_incremental(spark, tmp_path):
     run_incremental(spark, f"{base}/landing", spark.createDataFrame([], schema).schema, f"{base}/t", f"{base}/ck",
                     mode="upsert", keys=["k"])
     assert rows(spark.read.parquet(f"{base}/t")) == [(1, "A"), (2, "b"), (3, "c")]
+
+
+def test_partitioned_target_reads_and_rewrites_touched_partitions(spark, tmp_path):
+    base = str(tmp_path)
+    schema = "day string, k bigint, v string"
+    st = spark.createDataFrame([], schema).schema
+    spark.createDataFrame([("d1", 1, "a"), ("d1", 1, "a"), ("d2", 2, "b"), (None, 3, "c")], schema) \
+         .write.parquet(f"{base}/landing")
+    run_incremental(spark, f"{base}/landing", st, f"{base}/t", f"{base}/ck", partition_by=["day"])
+    spark.createDataFrame([("d1", 1, "a"), ("d3", 4, "d"), (None, 3, "c")], schema) \
+         .write.mode("append").parquet(f"{base}/landing")
+    run_incremental(spark, f"{base}/landing", st, f"{base}/t", f"{base}/ck", partition_by=["day"])
+    got = rows(spark.read.schema(st).parquet(f"{base}/t").select("day", "k", "v"))
+    assert got == [("d1", 1, "a"), ("d2", 2, "b"), ("d3", 4, "d"), (None, 3, "c")]
+
+    # keyed upsert over a partitioned target: untouched partitions are not rewritten
+    t2 = f"{base}/u"
+    spark.createDataFrame([("d1", 1, "a"), ("d2", 2, "b")], schema).write.parquet(f"{base}/l2")
+    run_incremental(spark, f"{base}/l2", st, t2, f"{base}/ck2", mode="upsert", keys=["day", "k"],
+                    partition_by=["day"])
+    spark.createDataFrame([("d1", 1, None), ("d1", 5, "e")], schema).write.mode("append").parquet(f"{base}/l2")
+    run_incremental(spark, f"{base}/l2", st, t2, f"{base}/ck2", mode="upsert", keys=["day", "k"],
+                    partition_by=["day"])
+    got = rows(spark.read.schema(st).parquet(t2).select("day", "k", "v"))
+    assert got == [("d1", 1, "a"), ("d1", 5, "e"), ("d2", 2, "b")]
