@@ -98,6 +98,8 @@ def insert_distinct(existing: DataFrame | None, incoming: DataFrame) -> tuple[Da
 def new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming rows not already present (null-safe on every column)."""
     cols = [c for c in incoming.columns if c in existing.columns]
+    if not cols:                      # nothing comparable: every row is new (never a keyless join)
+        return incoming.dropDuplicates()
     cond = None
     for c in cols:
         x = incoming[c].eqNullSafe(existing[c])
