@@ -84,3 +84,9 @@ def dense_id(df: DataFrame, order: Sequence, id_col: str, start: int = 1,
     out = tagged.join(F.broadcast(offsets), "_pid")
     ident = (F.col("_off") + (F.col("_mid") - F.col("_base")) + F.lit(start)).cast("bigint")
     return out.select(ident.alias(id_col), *[F.col(c) for c in df.columns])
+
+
+def tag_run(df: DataFrame, run_id: str | None, col_name: str = "RunID") -> DataFrame:
+    """Add the run's id as a column (ordinal ids are dense over one run's whole
+    batch; the run id tells runs apart). ``None`` leaves ``df`` unchanged."""
+    return df if run_id is None else df.withColumn(col_name, F.lit(run_id))

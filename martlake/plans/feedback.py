@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.exprs import epoch_to_text, lenient_timestamp, reference_time, ts_text, unknown_if_null, zero_if_null
 from martlake.operators.dedup import earliest_dated, least_masked, priority_pick
-from martlake.operators.order import SEQ, dense_id, distinct_rows, keep_first
+from martlake.operators.order import SEQ, dense_id, distinct_rows, keep_first, tag_run
 from martlake.operators.quality import strict_cast
 
 DEFAULT_TZ_OFFSET_HOURS = 0
@@ -17,14 +17,14 @@ DETAIL_KEYS = ["ProductID", "UserID", "GeneralFeedbackID", "CreatedDate"]
 DETAIL_STRICT = {"ProductID": "bigint", "GeneralFeedbackID": "bigint", "Upvote": "bigint", "Rating": "bigint"}
 
 
-def history(raw: DataFrame) -> DataFrame:
+def history(raw: DataFrame, run_id: str | None = None) -> DataFrame:
     """Distinct (user, totals) rows, user 0 dropped, numbered by first arrival."""
     h = raw.select(zero_if_null(F.col("user_id")).alias("UserID"),
                    zero_if_null(F.col("total_reviews")).alias("TotalReview"),
                    zero_if_null(F.col("total_upvotes")).alias("TotalUpvote"), SEQ)
     h = distinct_rows(h).filter(F.col("UserID") != 0)
     h = dense_id(h, [F.col(SEQ)], "HistoryID")
-    return h.select("HistoryID", "UserID", "TotalReview", "TotalUpvote")
+    return tag_run(h.select("HistoryID", "UserID", "TotalReview", "TotalUpvote"), run_id)
 
 
 def _user_rows(raw: DataFrame, fill_name: bool) -> DataFrame:
@@ -95,12 +95,13 @@ def feedback_detail_rows(raw: DataFrame) -> DataFrame:
     return keep_first(a6, ["GeneralFeedbackID"], [F.col("ProductID"), F.col("UserID"), F.col("CreatedDate")])
 
 
-def feedback_detail(raw: DataFrame) -> DataFrame:
+def feedback_detail(raw: DataFrame, run_id: str | None = None) -> DataFrame:
     """:func:`feedback_detail_rows` plus a dense FeedbackDetailID in
     (product, user, review, created) order."""
     out = dense_id(feedback_detail_rows(raw), [F.col(c) for c in DETAIL_KEYS], "FeedbackDetailID")
-    return out.select("FeedbackDetailID", "ProductID", "UserID", "GeneralFeedbackID", "Title", "Content",
-                      "Upvote", "Rating", "CreatedDate")
+    out = out.select("FeedbackDetailID", "ProductID", "UserID", "GeneralFeedbackID", "Title", "Content",
+                     "Upvote", "Rating", "CreatedDate")
+    return tag_run(out, run_id)
 
 
 def detail_quarantine(raw: DataFrame) -> DataFrame:

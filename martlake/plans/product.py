@@ -10,7 +10,7 @@ from martlake.functions.exprs import (
     date_text, nan_if_null, reference_time, ts_text, with_prefix, zero_float_if_null, zero_if_null,
 )
 from martlake.operators.dedup import drop_marked_duplicates
-from martlake.operators.order import SEQ, dense_id, distinct_rows, keep_first
+from martlake.operators.order import SEQ, dense_id, distinct_rows, keep_first, tag_run
 from martlake.operators.snapshots import created_at, daily_last, day_change, last_updated, spread_day_change
 
 # Fixed values (the image host is deployment configuration; pass your own)
@@ -75,23 +75,26 @@ def product_sale(clean: DataFrame) -> DataFrame:
                        date_text("LastUpdated").alias("LastUpdated"))
 
 
-def inventory_snapshot(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
+def inventory_snapshot(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS,
+                       run_id: str | None = None) -> DataFrame:
     """Every raw row with a dense InventoryID in arrival order and the run time."""
     ref = reference_time(as_of, tz_offset_hours)
     r = raw.select(zero_if_null(F.col("product_id")).alias("ProductID"),
                    F.col("inventory_status").alias("Status"), F.col("inventory_type").alias("Type"), SEQ)
     r = dense_id(r, [F.col(SEQ)], "InventoryID")
-    return r.select("InventoryID", "ProductID", "Status", "Type", ts_text(ref).alias("LastUpdated"))
+    return tag_run(r.select("InventoryID", "ProductID", "Status", "Type", ts_text(ref).alias("LastUpdated")), run_id)
 
 
-def pricing_snapshot(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
+def pricing_snapshot(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS,
+                     run_id: str | None = None) -> DataFrame:
     """Every raw row with a dense PricingID, prices null -> 0.0, and the run time."""
     ref = reference_time(as_of, tz_offset_hours)
     r = raw.select(zero_if_null(F.col("product_id")).alias("ProductID"),
                    zero_float_if_null("pricing_current").alias("CurrentPrice"),
                    zero_float_if_null("pricing_original").alias("OriginalPrice"), SEQ)
     r = dense_id(r, [F.col(SEQ)], "PricingID")
-    return r.select("PricingID", "ProductID", "CurrentPrice", "OriginalPrice", ts_text(ref).alias("LastUpdated"))
+    out = r.select("PricingID", "ProductID", "CurrentPrice", "OriginalPrice", ts_text(ref).alias("LastUpdated"))
+    return tag_run(out, run_id)
 
 
 def brand_dim(raw: DataFrame) -> DataFrame:

@@ -61,3 +61,12 @@ def test_partition_count_invariance(spark):
             assert out["1"][k] == out["7"][k], k
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_run_id_tags_id_tables(spark):
+    from martlake.plans.feedback import history
+    from martlake.plans.product import inventory_snapshot
+    from martlake.sources import bindings as B
+    inv = inventory_snapshot(B.raw_product(spark, SF_SMALL), B.AS_OF, run_id="2002-01-01#1")
+    assert inv.columns[-1] == "RunID" and inv.filter(F.col("RunID") != "2002-01-01#1").count() == 0
+    assert "RunID" not in history(B.raw_feedback(spark, SF_SMALL)).columns
