@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -62,34 +62,43 @@ def touched_partitions(existing: DataFrame, batch: DataFrame, partition_by: Sequ
 
 
 def merge_batch(batch: DataFrame, target: str, mode: str = "append-distinct",
-                keys: Sequence[str] | None = None, partition_by: Sequence[str] | None = None) -> None:
+                keys: Sequence[str] | None = None, partition_by: Sequence[str] | None = None) -> dict:
     """Merge one micro-batch (or any batch) into the Parquet table ``target``.
 
     ``partition_by``: the target is partitioned by these columns and a batch
     only reads and rewrites the partitions it touches (for ``upsert`` they must
-    be part of ``keys``, so a key never moves between partitions)."""
+    be part of ``keys``, so a key never moves between partitions).
+
+    Returns the load counts, collected with ``DataFrame.observe`` while the
+    write runs (no extra pass): ``written`` for appends; ``updated``,
+    ``inserted`` and ``kept`` for an upsert."""
     spark = batch.sparkSession
     parts = list(partition_by or [])
     if mode == "upsert" and not set(parts) <= set(keys or []):
         raise ValueError("partition columns must be part of the upsert keys")
     existing = _exists(spark, target, batch.schema)
 
-    def append(df: DataFrame) -> None:
-        w = df.write.mode("append")
+    def append(df: DataFrame) -> dict:
+        obs = Observation()
+        w = df.observe(obs, F.count(F.lit(1)).alias("written")).write.mode("append")
         (w.partitionBy(*parts) if parts else w).parquet(target)
+        return dict(obs.get)
 
     if existing is None:
-        append(batch.dropDuplicates() if mode == "append-distinct" else batch)
-        return
+        return append(batch.dropDuplicates() if mode == "append-distinct" else batch)
     if parts:
         existing = touched_partitions(existing, batch, parts)
     if mode == "append-distinct":
-        append(new_rows(existing, batch))
-    elif mode == "upsert":
+        return append(new_rows(existing, batch))
+    if mode == "upsert":
         result, _ = upsert(existing, batch, list(keys or []))
+        obs = Observation()
+        act = F.col("_action")
+        result = result.observe(obs, *[F.count_if(act == a).alias(n) for a, n in
+                                       (("update", "updated"), ("insert", "inserted"), ("keep", "kept"))])
         overwrite_table(result.drop("_action"), target, partition_by=parts or None)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
+        return dict(obs.get)
+    raise ValueError(f"unknown mode {mode!r}")
 
 
 def run_incremental(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,

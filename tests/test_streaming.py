@@ -53,3 +53,15 @@ def test_partitioned_target_reads_and_rewrites_touched_partitions(spark, tmp_pat
                     partition_by=["day"])
     got = rows(spark.read.schema(st).parquet(t2).select("day", "k", "v"))
     assert got == [("d1", 1, "a"), ("d1", 5, "e"), ("d2", 2, "b")]
+
+
+def test_merge_batch_reports_observed_counts(spark, tmp_path):
+    from martlake.streaming.incremental import merge_batch
+    t = str(tmp_path / "t")
+    b1 = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k bigint, v string")
+    assert merge_batch(b1, t) == {"written": 2}
+    b2 = spark.createDataFrame([(2, "b"), (3, "c")], "k bigint, v string")
+    assert merge_batch(b2, t) == {"written": 1}
+    b3 = spark.createDataFrame([(3, None), (4, "d")], "k bigint, v string")
+    assert merge_batch(b3, t, mode="upsert", keys=["k"]) == {"updated": 1, "inserted": 1, "kept": 2}
+    assert rows(spark.read.parquet(t)) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
