@@ -337,7 +337,7 @@ def _cut_runs(buckets: int):
                     doc, hs, start = key[t], hashed[t], at - off[t]
                     later = settle_names(a, c, doc, hs, start)  # the others are the first of their name here
                     done = _stretches(later, doc, hs, start)
-                    rows = [(-1, 2, b"", *[x.astype(k).tobytes() for x, k in zip(done, ("<i8", "<i8", "<i4", "<i4"), strict=True)], b"")]
+                    rows = [(int(doc[0]) % buckets, 2, b"", *[x.astype(k).tobytes() for x, k in zip(done, ("<i8", "<i8", "<i4", "<i4"), strict=True)], b"")]
                     new = ~later
                     rows += [(k, 1, x[0], x[1], x[2], x[3], b"", x[4]) for k, x in _packed(
                         _bucket(a[new], buckets), [a[new], doc[new], hs[new], start[new].astype("<i4"), c[new]])]
@@ -408,16 +408,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _send_hashes(buckets), "bucket long, hashes binary, docs binary, numbers binary")
     repeated = (sent.groupBy("bucket").applyInArrow(_repeated, "key long, number long")
                 .groupBy("key").agg(F.collect_list("number").alias("numbers")))
-    # Left joins with the text side first in both places, so that its one shuffle serves both.
-    runs = (base.join(repeated.hint("shuffle_hash"), "key", "left").select("key", "text", "hashed", "numbers")
+    # Left joins with all columns of the text side in both places, so that its one shuffle serves both.
+    runs = (base.join(repeated.hint("shuffle_hash"), "key", "left")
             .mapInArrow(_cut_runs(buckets), "bucket long, kind int, hashes binary, docs binary, texts binary, "
                                             "starts binary, counts binary, data binary"))
-    # What tasks have settled themselves (bucket -1) is unpacked where it is.
-    schema = "key long, hashed long, start int, windows int"
-    found = runs.filter("bucket >= 0").groupBy("bucket").applyInArrow(_settle, schema)
-    own = runs.filter("bucket < 0").mapInArrow(lambda bs: (x for b in bs if b.num_rows for x in _settle(pa.Table.from_batches([b])).to_batches()), schema)
-    per_doc = found.unionByName(own).groupBy("key").agg(F.collect_list(F.struct("hashed", "start", "windows")).alias("found"))
-    last = base.join(per_doc.hint("shuffle_hash"), "key", "left").select("doc_id", "text", "hashed", "found")
+    found = runs.groupBy("bucket").applyInArrow(_settle, "key long, hashed long, start int, windows int")
+    per_doc = found.groupBy("key").agg(F.collect_list(F.struct("hashed", "start", "windows")).alias("found"))
+    last = base.join(per_doc.hint("shuffle_hash"), "key", "left")
     return last.mapInArrow(_remove, with_fields(
         last, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
 
