@@ -8,10 +8,13 @@ are opened cell by cell until every coordinate has a dart, about k ln k + 2k dar
 number of elements. Two signatures agree in a coordinate with a probability equal to the weighted Jaccard similarity.
 
 Bands of ROWS coordinates are joined. Documents with the same element set are one node first. Nodes of a bucket
-of at most SMALL are all compared; in a larger bucket (near copies by the thousand) each is
-compared with the bucket's first node, those that are not similar to it form the bucket anew, and so on until none is left. So
-pairs grow in proportion to rows. Every pair is verified on the texts themselves (similarity >= THRESHOLD), each text
-read once as a join partner, hot partners split by skew joins. Classes are the connected components of the verified
+of at most SMALL are all compared. In a larger bucket (copies of one text by the thousand) every node is compared with
+LEADERS of its nodes, the most central ones: those that share the most buckets, as an original does with its copies. Nodes
+are similar to no leader go on among themselves if they can be similar to any: elements that no other such node has are
+lost to every pair, which bounds a node's similarity from above, and rules out copies whose edits are their own.
+The others form the bucket anew, with twice the leaders, until none is left; nothing is capped or dropped.
+So pairs grow in proportion to rows. Every pair is verified on the
+texts themselves (similarity >= THRESHOLD), hot partners split by skew joins. Classes are the connected components of the verified
 links, found by alternating star contraction on tables written to the shared folder.
 
 Defined cases: a text without words (null, empty) is alone in its class; rows with equal element sets are one class; a null
@@ -36,6 +39,8 @@ ROWS, BANDS = 5, 20
 COORDINATES = ROWS * BANDS
 #: Nodes of a bucket that are compared with each other.
 SMALL = 8
+#: Nodes that all others of a larger bucket are compared with, in the first round.
+LEADERS = 4
 #: Documents whose darts are thrown at once.
 GROUP = 256
 
@@ -128,10 +133,7 @@ def _sketch(weights: str):
                     text, h, uses = elements(Words(*text_bytes(part.column("text"))))
                     weight = _weight(uses, weights)
                     sig = signatures(text, h, weight, len(part))
-                    band = np.full((len(part), BANDS), 0x2545F4914F6CDD1D, np.uint64)
-                    band += np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                    for r in range(ROWS):
-                        band = mix64(band + sig[:, r::ROWS])
+                    band = _bands(sig)
                     # Order-free 128-bit name of the weighted set.
                     own = mix64(h + uses.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) * np.uint64(weights == "count"))
                     cut = np.searchsorted(text, np.arange(len(part) + 1))
@@ -145,70 +147,128 @@ def _sketch(weights: str):
     return run
 
 
+def _bands(sig: np.ndarray) -> np.ndarray:
+    """[text, band] hashes of ROWS coordinates each."""
+    out = np.full((len(sig), BANDS), 0x2545F4914F6CDD1D, np.uint64)
+    out += np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for r in range(ROWS):
+        out = mix64(out + sig[:, r::ROWS])
+    return out
+
+
+def _weighted_sets(part: pa.RecordBatch, weights: str) -> tuple[list, list]:
+    """The weighted sets of the texts on both sides of pairs (a, b), each distinct text read once."""
+    memo: dict[bytes, tuple] = {}
+    sides = [part.column("a").to_pylist(), part.column("b").to_pylist()]
+    for names, col in zip(sides, ("text_a", "text_b"), strict=True):
+        at = {x: i for i, x in enumerate(names) if x not in memo}
+        if at:
+            text, h, uses = elements(Words(*text_bytes(part.column(col).take(pa.array(list(at.values()))))))
+            cut = np.searchsorted(text, np.arange(len(at) + 1))
+            for x, lo, hi in zip(at, cut[:-1], cut[1:], strict=True):
+                memo[x] = h[lo:hi], _weight(uses[lo:hi], weights)
+    return [memo[x] for x in sides[0]], [memo[x] for x in sides[1]]
+
+
 def _verify(weights: str, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in slices(b.column("text_b"), 1 << 20):
                 part = b.slice(lo, hi - lo)
-                memo: dict[bytes, tuple] = {}
-                a, z = part.column("a").to_pylist(), part.column("b").to_pylist()
-                for names, col in ((a, "text_a"), (z, "text_b")):
-                    at = {x: i for i, x in reversed(list(enumerate(names)))}
-                    todo = [x for x in dict.fromkeys(names) if x not in memo]
-                    if not todo:
-                        continue
-                    text, h, uses = elements(Words(*text_bytes(part.column(col).take(pa.array([at[x] for x in todo])))))
-                    cut = np.searchsorted(text, np.arange(len(todo) + 1))
-                    for x, lo2, hi2 in zip(todo, cut[:-1], cut[1:], strict=True):
-                        memo[x] = h[lo2:hi2], _weight(uses[lo2:hi2], weights)
-                keep = [i for i in range(len(a)) if similarity(memo[a[i]], memo[z[i]]) >= threshold]
-                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.binary()), pa.array([z[i] for i in keep], pa.binary())],
-                                                 ["a", "b"])
+                left, right = _weighted_sets(part, weights)
+                ok = pa.array([similarity(x, y) >= threshold for x, y in zip(left, right, strict=True)], pa.bool_())
+                yield part.select(["a", "b"]).filter(ok)
+    return run
+
+
+def _elements(weights: str):
+    """node, the weight of its elements, and the elements with their weights."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in slices(b.column("text")):
+                part = b.slice(lo, hi - lo)
+                text, h, uses = elements(Words(*text_bytes(part.column("text"))))
+                w = _weight(uses, weights)
+                off = pa.array(np.searchsorted(text, np.arange(len(part) + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.array(np.bincount(text, w, len(part))), pa.ListArray.from_arrays(off, pa.array(h.view(np.int64))),
+                     pa.ListArray.from_arrays(off, pa.array(w))], ["node", "mass", "elements", "weights"])
     return run
 
 
 # -- links and classes ----------------------------------------------------------------------------------
 
-def _pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs a < b of the small buckets, (bucket, a, b) of the larger ones with their first node a)."""
-    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).filter("n > 1")
-    few = (members.join(size.filter(F.col("n") <= SMALL).select("bucket"), "bucket")
-           .groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("nodes")))
+def _with_texts(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the text of a document of each node."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = nodes.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    return (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+            .select("a", "b", "text_a", "text_b"))
+
+
+def _shared(members: DataFrame) -> DataFrame:
+    """Members (bucket, node) of buckets with several nodes, with the number of nodes."""
+    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return scratch_table(members.join(size, "bucket").select("bucket", "node", "n"), "near-members")
+
+
+def _small_pairs(members: DataFrame) -> DataFrame:
+    """All pairs a < b of buckets of at most SMALL nodes."""
+    few = members.filter(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
     pair = F.expr("flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> struct(x AS a, y AS b))))")
-    small = few.select(F.explode(pair).alias("p")).select("p.a", "p.b")
-    large = (members.withColumnRenamed("node", "b").join(size.filter(F.col("n") > SMALL).select("bucket", "a"), "bucket")
-             .filter("a <> b").select("bucket", "a", "b"))
-    return small, large
+    return few.select(F.explode(pair).alias("p")).select("p.a", "p.b")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, weights: str, threshold: float) -> DataFrame:
-    """The similar ones of distinct pairs (a, b)."""
-    side = texts.select("node", "text")
-    both = (pairs.join(side.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(side.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"))
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(weights, threshold), "a binary, b binary")
+def _star_pairs(members: DataFrame, leaders: int) -> DataFrame:
+    """(bucket, a, b) of the nodes b of larger buckets with each of the bucket's leaders a.
+
+    A node's centrality is the number of nodes it shares buckets with; the most central node of each of
+    ``leaders`` hash classes of a bucket leads."""
+    large = members.filter(F.col("n") > SMALL)
+    central = large.groupBy("node").agg(F.sum("n").alias("c"))
+    best = (large.join(central, "node").groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("k"))
+            .agg(F.max(F.struct("c", "node")).alias("best")).select("bucket", F.col("best.node").alias("a")))
+    return large.select("bucket", F.col("node").alias("b")).join(best, "bucket").filter("a <> b")
+
+
+def _can_link(rejected: DataFrame, nodes: DataFrame, weights: str, threshold: float) -> DataFrame:
+    """Those of (bucket, node) whose similarity to another node of the bucket may reach the threshold.
+
+    With weight m, of which c is on elements that other rejected nodes have too, a node's similarity to
+    one of weight s is at most min(c, s) / (m + s - min(c, s)), greatest for the least s that is not below c."""
+    texts = (nodes.select("node", "text").join(rejected.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    sets = scratch_table(texts.mapInArrow(_elements(weights), "node binary, mass double, elements array<long>, weights array<double>"), "near-sets")
+    own = (sets.select("node", F.explode(F.arrays_zip("elements", "weights")).alias("e"))
+           .groupBy("e.elements").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("e.weights").alias("w"))
+           .filter("n = 1").groupBy("node").agg(F.sum("w").alias("own")))
+    mass = sets.select("node", "mass").join(own, "node", "left").select("node", "mass", (F.col("mass") - F.coalesce("own", F.lit(0.0))).alias("c"))
+    known = rejected.join(mass, "node")
+    least = known.groupBy("bucket").agg(F.min("mass").alias("least"))
+    s = F.greatest("least", "c")
+    return (known.join(least, "bucket").filter(F.col("c") >= threshold * (F.col("mass") + s - F.col("c")) - 1e-9).select("bucket", "node"))
 
 
 def links(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
     """Verified links (a, b) between nodes that connect every class."""
     nodes = sketches.filter("node is not null")
-    members = (nodes.select("node", "bands").dropDuplicates(["node"])
-               .select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", "node"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = scratch_table(members.join(shared, "bucket"), "near-members")
-    found = None
-    while True:
-        small, large = _pairs(members)
-        large = scratch_table(large, "near-stars")
-        pairs = scratch_table(small.unionByName(large.select("a", "b")).distinct(), "near-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = nodes.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-        ok = scratch_table(_verified(pairs, texts, weights, threshold), "near-links")
+    members = _shared(nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket")))
+    found, leaders = None, LEADERS
+    while not members.isEmpty():
+        stars = scratch_table(_star_pairs(members, leaders), "near-stars")
+        pairs = scratch_table(_small_pairs(members).unionByName(stars.select("a", "b")).distinct(), "near-pairs")
+        ok = scratch_table(_with_texts(pairs, nodes).mapInArrow(_verify(weights, threshold), "a binary, b binary"), "near-links")
         found = ok if found is None else found.unionByName(ok)
-        left = large.join(ok, ["a", "b"], "left_anti").select("bucket", F.col("b").alias("node"))
-        if left.isEmpty():
-            return found
-        members = scratch_table(left, "near-members")
+        # Nodes that are similar to no leader of their bucket; a leader has been compared with all of it.
+        led = stars.select("bucket", F.col("a").alias("b")).distinct().withColumn("lead", F.lit(1))
+        rejected = (stars.join(ok.withColumn("ok", F.lit(1)), ["a", "b"], "left").groupBy("bucket", "b").agg(F.max("ok").alias("ok"))
+                    .filter("ok is null").join(led, ["bucket", "b"], "left_anti").select("bucket", F.col("b").alias("node")))
+        rejected = scratch_table(rejected, "near-rejected")
+        if rejected.isEmpty():
+            break
+        members = _shared(_can_link(rejected, nodes, weights, threshold))
+        leaders *= 2
+    return sketches.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0) if found is None else found
 
 
 def components(edges: DataFrame) -> DataFrame:
