@@ -103,18 +103,18 @@ def recover_json(response: Column, schema: StructType = ASPECT_SCHEMA, key: str
 
 def normalize_terms(raw: Column) -> Column:
     """AspectTerms text -> array<string>: a JSON list -> its elements, a bare
-    non-empty string -> one term, null / '' / '[]' -> empty."""
+    non-empty string (also one that only starts like a list) -> one term, null / '' / '[]' -> empty."""
     empty = F.array().cast("array<string>")
     return (F.when(raw.isNull() | (raw == ""), empty)
-             .when(F.ltrim(raw).startswith("["), F.coalesce(F.from_json(raw, "array<string>"), empty))
+             .when(F.ltrim(raw).startswith("["), F.coalesce(F.from_json(raw, "array<string>"), F.array(raw)))
              .otherwise(F.array(raw)))
 
 
 def explode_aspects(parsed: DataFrame) -> DataFrame:
     """One row per (review, aspect, term). An aspect with no terms keeps one row
     with a null term; a bare string is one term; a JSON list gives one row per
-    element. ``apos``/``tpos`` keep the positions for re-nesting."""
-    a = parsed.select("GeneralFeedbackID", "ID", "Content", F.posexplode("Aspects").alias("apos", "aspect"))
+    element; a review without aspects keeps one row with a null ``apos``. ``apos``/``tpos`` keep the positions for re-nesting."""
+    a = parsed.select("GeneralFeedbackID", "ID", "Content", F.posexplode_outer("Aspects").alias("apos", "aspect"))
     terms = normalize_terms(F.col("aspect.AspectTerms"))
     a = a.select("GeneralFeedbackID", "ID", "Content", "apos",
                  F.col("aspect.AspectCategory").alias("AspectCategory"), terms.alias("_terms"))

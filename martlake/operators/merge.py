@@ -3,6 +3,7 @@ safe overwrite of a table that may be the job's own input."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -107,26 +108,77 @@ def new_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(existing, cond, "left_anti").dropDuplicates()
 
 
+def _fs(spark, path: str):
+    """(file system, path) of a table, whatever store and form its path has."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _beside(spark, path: str, what: str) -> str:
+    """A hidden sibling of ``path`` (readers of the parent skip it)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{what}").toString()
+
+
+def table_exists(spark, path: str) -> bool:
+    """Whether a table is stored at ``path``; an overwrite that was cut off between its two
+    renames is undone first. Storage errors are raised, not read as absence."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return True
+    _, old = _fs(spark, _beside(spark, path, "old"))
+    return fs.exists(old) and fs.rename(old, p)
+
+
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                    **options) -> str:
-    """Overwrite ``path`` even when ``df`` reads from it.
-
-    Only when the plan reads files under ``path`` (``inputFiles``), a reliable
-    checkpoint (in the cluster's shared ``spark.checkpoint.dir``) materialises
-    the result first and cuts its lineage, so the plan no longer reads ``path``
-    when the overwrite deletes it; an executor lost during the write re-reads
-    the checkpoint, not the half-deleted table. Otherwise the result is written
-    directly, without materialising it twice. With ``partition_by`` only the
-    partitions present in ``df`` are replaced (dynamic partition overwrite)."""
-    from martlake.session import ensure_checkpoint_dir
-    target = path.rstrip("/") + "/"
-    if any(target in f for f in df.inputFiles()):
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    w = df.write.mode("overwrite").format(fmt)
+                    mark: str | None = None, **options) -> str:
+    """Overwrite ``path``, also when ``df`` reads from it.
+
+    The result is always written to a new sibling folder and only then takes the place of the
+    old table by two renames, so a failed write leaves the old table as it was, and
+    :func:`table_exists` mends a stop between the renames. With ``partition_by`` only the
+    partitions present in ``df`` are replaced, each by the same swap. ``mark`` is the name of an empty
+    file that is put into the new table (readers skip names with an underscore)."""
+    spark = df.sparkSession
+    new = _beside(spark, path, f"new-{uuid.uuid4().hex}")
+    w = df.write.format(fmt)
     if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*partition_by)
     for k, v in options.items():
         w = w.option(k, v)
-    w.save(path)
+    w.save(new)
+    fs, source = _fs(spark, new)
+    if partition_by and table_exists(spark, path):
+        for part in _partitions(fs, source, len(partition_by)):
+            own = "/".join(part.rstrip("/").split("/")[-len(partition_by):])
+            _swap(spark, fs, part, f"{path.rstrip('/')}/{own}")
+        fs.delete(source, True)
+    else:
+        table_exists(spark, path)
+        _swap(spark, fs, new, path)
+    if mark:
+        fs.create(_fs(spark, f"{path.rstrip('/')}/{mark}")[1], True).close()
     return path
+
+
+def _partitions(fs, root, depth: int) -> list[str]:
+    """Folders of the partitions below ``root``."""
+    found = [root]
+    for _ in range(depth):
+        found = [x.getPath() for f in found for x in fs.listStatus(f) if x.isDirectory()]
+    return [f.toString() for f in found]
+
+
+def _swap(spark, fs, new: str, path: str) -> None:
+    _, source = _fs(spark, new)
+    _, target = _fs(spark, path)
+    _, old = _fs(spark, _beside(spark, path, "old"))
+    if fs.exists(old):  # left by a stop after the second rename
+        fs.delete(old, True)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"{path} can't be moved aside")
+    if not fs.rename(source, target):
+        fs.rename(old, target)
+        raise OSError(f"{new} can't be moved to {path}")
+    fs.delete(old, True)

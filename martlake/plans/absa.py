@@ -65,7 +65,7 @@ def nest(scored: DataFrame) -> DataFrame:
     """One row per review with its aspects in input order (the JSON result)."""
     item = F.struct("apos", "tpos", "AspectCategory", "AspectTerms", "Polarity", "DominantScore")
     g = scored.groupBy("GeneralFeedbackID", "ID", "Content").agg(F.sort_array(F.collect_list(item)).alias("_a"))
-    aspects = F.transform("_a", lambda a: F.struct(a["AspectCategory"].alias("AspectCategory"),
+    aspects = F.transform(F.filter("_a", lambda a: a["apos"].isNotNull()), lambda a: F.struct(a["AspectCategory"].alias("AspectCategory"),
                                                    a["AspectTerms"].alias("AspectTerms"),
                                                    a["Polarity"].alias("Polarity"),
                                                    a["DominantScore"].alias("DominantScore")))

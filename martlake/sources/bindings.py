@@ -22,7 +22,7 @@ AS_OF = "2002-01-01 00:00:00"          # "now" of the run; after the last l_ship
 AS_OF_DATE = "2002-01-01"
 PRODUCT_TZ_OFFSET_HOURS = 7            # product tables: now + 7 h
 FEEDBACK_TZ_OFFSET_HOURS = 0           # general feedback: now, no offset
-LINE_ID_FACTOR = 1_000_000             # GeneralFeedbackID of a text line = doc_id * factor + line position
+LINE_ID_FACTOR = 1 << 31             # GeneralFeedbackID of a text line = doc_id * factor + line position
 
 
 def _fmt_ts(c: Column) -> Column:
@@ -32,7 +32,7 @@ def _fmt_ts(c: Column) -> Column:
 # ---------------------------------------------------------------- raw_product
 def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product snapshot per lineitem row; part supplies name and brand."""
-    li = read_table(spark, sf_dir, "lineitem", spread=True)
+    li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     k = F.col("l_orderkey")
@@ -98,7 +98,7 @@ raw_product AS (
 def raw_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review row per event; every 4th event also arrives a second time with
     a star-masked copy of its text (the crawler saw it twice)."""
-    ev = read_table(spark, sf_dir, "events", spread=True)
+    ev = read_table(spark, sf_dir, "events")
     e = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     base = ev.select(
@@ -213,7 +213,7 @@ def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ABSA input (GeneralFeedbackID, ID, Content): every line of every document
     (ID = the source document). Whole documents are split on newline; no line
     is dropped or truncated."""
-    d = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     x = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     gid = (F.col("doc_id") * LINE_ID_FACTOR + F.col("pos")).cast("bigint")
     return x.select(
@@ -292,7 +292,7 @@ customer_incoming AS (
 def sales_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two loads of (order, part, supplier, quantity) rows: the second repeats
     the rows with even line numbers exactly and changes the others."""
-    li = read_table(spark, sf_dir, "lineitem", spread=True)
+    li = read_table(spark, sf_dir, "lineitem")
     first = li.select(F.col("l_orderkey").alias("OrderKey"), F.col("l_partkey").alias("PartKey"),
                       F.col("l_suppkey").alias("SuppKey"), F.col("l_quantity").alias("Quantity"))
     second = li.select(F.col("l_orderkey").alias("OrderKey"), F.col("l_partkey").alias("PartKey"),
@@ -310,7 +310,7 @@ load_2 AS (SELECT l_orderkey AS OrderKey, l_partkey AS PartKey, l_suppkey AS Sup
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing rows (sub_category_id, product_id, brand_name): one per lineitem."""
-    li = read_table(spark, sf_dir, "lineitem", spread=True).select("l_linenumber", "l_partkey")
+    li = read_table(spark, sf_dir, "lineitem").select("l_linenumber", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.select(F.col("l_linenumber").cast("bigint").alias("sub_category_id"),

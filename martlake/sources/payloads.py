@@ -87,9 +87,13 @@ def flatten_category_tree(menu: DataFrame, pages: DataFrame, groups: Sequence[st
              .select(group_id_from_link("it.link").alias("gid"), F.col("it.text").alias("GroupName"))
              .filter(F.col("gid").isin(list(groups)))
              .select(F.col("gid").cast("bigint").alias("GroupID"), "GroupName"))
-    kids = pages.select("parent_id", F.explode_outer("body.data").alias("c")) \
-                .select("parent_id", F.col("c.id").alias("cid"), F.col("c.name").alias("cname"))
-    kids = kids.dropDuplicates(["parent_id", "cid", "cname"])
+    # A body that does not parse has no ``data``: a failed request.
+    kids = pages.filter("body.data is not null").select("parent_id", F.explode_outer("body.data").alias("c")) \
+                .select("parent_id", F.col("c").isNull().alias("none"), F.col("c.id").alias("cid"), F.col("c.name").alias("cname"))
+    kids = kids.dropDuplicates(["parent_id", "none", "cid", "cname"])
+    full = kids.filter(~F.col("none"))
+    # An empty page pads its parent only if no other page lists a child.
+    kids = full.unionByName(kids.filter("none").join(full.select("parent_id").distinct(), "parent_id", "left_anti")).drop("none")
 
     def level(rows: DataFrame, parent: str, cid: str, cname: str) -> DataFrame:
         k = kids.select(F.col("parent_id").alias("_p"), F.col("cid").alias(cid), F.col("cname").alias(cname))

@@ -14,29 +14,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Lazy Parquet scan; later selects/filters are pushed into the scan.
-
-    ``spread``: for tables whose rows get heavy per-row work before the first
-    shuffle (see :func:`spread_small_scan`); dimension tables are left as read."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread_small_scan(df) if spread else df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A small file with one row group is read by one task, and every per-row
-    expression up to the first shuffle (regex cleaning, JSON building) would
-    run on one core. Large inputs have many splits and are returned as they
-    are, so this never adds a shuffle to a big scan. Column pruning and
-    filters still reach the scan below the repartition.
-
-    Hash partitioning on the first column (not round-robin) keeps the row
-    placement deterministic when a task is retried after an executor loss,
-    without the sort a round-robin repartition needs for that, and keeps the
-    other columns prunable."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    return df.repartition(cores, df.columns[0]) if n < cores else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy Parquet scan; later selects/filters are pushed into the scan. The plan is the
+    same for any input size and cluster: how a file is split is the file layout's matter."""
+    return spark.read.parquet(table_path(sf_dir, name))

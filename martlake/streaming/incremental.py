@@ -7,8 +7,8 @@ nothing twice:
 
 * ``append-distinct``: only rows not yet in the target (null-safe anti join)
   are appended;
-* ``upsert``: the keyed null-aware upsert rewrites the target through a
-  checkpointed overwrite.
+* ``upsert``: the keyed null-aware upsert writes a new table beside the target, swaps the two,
+  and records the micro-batch in it; a recorded micro-batch is skipped.
 
 Offsets and the list of processed files live in the stream checkpoint, which
 must be on shared storage (by default under ``spark.checkpoint.dir``).
@@ -16,59 +16,55 @@ must be on shared storage (by default under ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martlake.operators.merge import new_rows, overwrite_table, upsert
+from martlake.operators.merge import new_rows, overwrite_table, table_exists, upsert
+from martlake.operators.order import SEQ
 
 
-def _exists(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - absent table on first load
+def _stored(spark: SparkSession, path: str, batch: StructType, parts: Sequence[str]) -> DataFrame | None:
+    """The stored table in its own schema (partition columns in the batch's types, not guessed from folder
+    names), with the order of its rows as ``_seq``; None if there is no table."""
+    if not table_exists(spark, path):
         return None
-
-
-MAX_PRUNE_VALUES = 1000   # partition values a micro-batch may name for static pruning
+    own = spark.read.parquet(path).schema
+    own = StructType([batch[f.name] if f.name in parts else f for f in own.fields])
+    order = F.struct("_metadata.file_modification_time", "_metadata.file_name", "_metadata.row_index")
+    return spark.read.schema(own).parquet(path).withColumn(SEQ, order)
 
 
 def touched_partitions(existing: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of ``existing`` in the partitions the batch writes to.
-
-    The batch's distinct partition values (partition metadata, bounded by
-    ``MAX_PRUNE_VALUES`` and counted before anything is fetched) become a
-    literal filter, which Spark turns into static partition pruning: a
-    micro-batch reads only what it can collide with, not the whole target.
-    Beyond the bound a semi join on the partition columns is used (correct,
-    without pruning). Null partition values match by ``IS NULL``."""
+    """Rows of ``existing`` in the partitions the batch writes to: a semi join on the partition
+    columns, which Spark can turn into dynamic partition pruning. Null partition values match each other."""
     cols = list(partition_by)
     values = batch.select(*cols).distinct()
-    if values.count() > MAX_PRUNE_VALUES:
-        hit = existing.join(values.dropna(), cols, "left_semi")
-        null_part = F.lit(False)
-        for c in cols:
-            null_part = null_part | F.col(c).isNull()
-        return hit.unionByName(existing.filter(null_part))
-    cond = F.lit(False)
-    for row in values.collect():
-        term = F.lit(True)
-        for c in cols:
-            term = term & (F.col(c).isNull() if row[c] is None else F.col(c) == F.lit(row[c]))
-        cond = cond | term
-    return existing.filter(cond)
+    null = F.lit(False)
+    for c in cols:
+        null = null | F.col(c).isNull()
+    named = values.filter(null).select(*[F.col(c).alias(f"_p_{c}") for c in cols])
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    return existing.join(values.dropna(), cols, "left_semi").unionByName(existing.filter(null).join(named, same, "left_semi"))
 
 
 def merge_batch(batch: DataFrame, target: str, mode: str = "append-distinct",
-                keys: Sequence[str] | None = None, partition_by: Sequence[str] | None = None) -> dict:
+                keys: Sequence[str] | None = None, partition_by: Sequence[str] | None = None,
+                batch_id: str | None = None) -> dict:
     """Merge one micro-batch (or any batch) into the Parquet table ``target``.
 
     ``partition_by``: the target is partitioned by these columns and a batch
     only reads and rewrites the partitions it touches (for ``upsert`` they must
     be part of ``keys``, so a key never moves between partitions).
 
+    ``batch_id``: recorded in the table by an upsert; a batch that the table has recorded is a replay
+    and changes nothing (null keys match no row, so they would be stored twice).
+
     Returns the load counts, collected with ``DataFrame.observe`` while the
     write runs (no extra pass): ``written`` for appends; ``updated``,
     ``inserted`` and ``kept`` for an upsert."""
@@ -76,7 +72,10 @@ def merge_batch(batch: DataFrame, target: str, mode: str = "append-distinct",
     parts = list(partition_by or [])
     if mode == "upsert" and not set(parts) <= set(keys or []):
         raise ValueError("partition columns must be part of the upsert keys")
-    existing = _exists(spark, target, batch.schema)
+    mark = f"_batch-{batch_id}" if batch_id and mode == "upsert" else None
+    existing = _stored(spark, target, batch.schema, parts)
+    if mark and existing is not None and table_exists(spark, f"{target.rstrip('/')}/{mark}"):
+        return {"updated": 0, "inserted": 0, "kept": 0}
 
     def append(df: DataFrame) -> dict:
         obs = Observation()
@@ -84,19 +83,22 @@ def merge_batch(batch: DataFrame, target: str, mode: str = "append-distinct",
         (w.partitionBy(*parts) if parts else w).parquet(target)
         return dict(obs.get)
 
+    if existing is None and mark:
+        overwrite_table(batch, target, partition_by=parts or None, mark=mark)
+        return {"written": spark.read.parquet(target).count()}
     if existing is None:
         return append(batch.dropDuplicates() if mode == "append-distinct" else batch)
     if parts:
         existing = touched_partitions(existing, batch, parts)
     if mode == "append-distinct":
-        return append(new_rows(existing, batch))
+        return append(new_rows(existing.drop(SEQ), batch))
     if mode == "upsert":
         result, _ = upsert(existing, batch, list(keys or []))
         obs = Observation()
         act = F.col("_action")
         result = result.observe(obs, *[F.count_if(act == a).alias(n) for a, n in
                                        (("update", "updated"), ("insert", "inserted"), ("keep", "kept"))])
-        overwrite_table(result.drop("_action"), target, partition_by=parts or None)
+        overwrite_table(result.drop("_action"), target, partition_by=parts or None, mark=mark)
         return dict(obs.get)
     raise ValueError(f"unknown mode {mode!r}")
 
@@ -111,8 +113,9 @@ def run_incremental(spark: SparkSession, source: str, schema: StructType, target
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source)
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     q = (stream.writeStream
-               .foreachBatch(lambda df, _batch_id: merge_batch(df, target, mode, keys, partition_by))
+               .foreachBatch(lambda df, n: merge_batch(df, target, mode, keys, partition_by, f"{stream_id}-{n}"))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True)
                .start())

@@ -93,3 +93,10 @@ def test_nested_json_sink_round_trip(spark, tmp_path):
     assert [tuple(r) for r in back] == [tuple(r) for r in nested.collect()]
     text = ab.aspects_json(nested).collect()[0]["Aspects"]
     assert json.loads(text)[0]["AspectCategory"] == X.PRODUCT_ASPECT
+
+
+def test_review_without_aspects_and_list_like_term(spark):
+    df = spark.createDataFrame([(1, 1, "abc", []), (2, 1, "[x] is fine", [("Quality", "[x")])],
+                               "GeneralFeedbackID bigint, ID bigint, Content string, Aspects array<struct<AspectCategory:string,AspectTerms:string>>")
+    got = {r.GeneralFeedbackID: r.Aspects for r in ab.nest(ab.scored_terms(df)).collect()}
+    assert got[1] == [] and [a.AspectTerms for a in got[2]] == ["[x"]

@@ -41,3 +41,20 @@ def test_overwrite_own_input(spark, tmp_path):
     df = spark.read.parquet(path)
     overwrite_table(df.selectExpr("id * 2 AS id"), path)
     assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_overwrite_swaps_in_a_whole_table(spark, tmp_path):
+    import pytest
+    from martlake.operators.merge import overwrite_table, table_exists
+    from pyspark.sql import functions as F
+    plain = str(tmp_path / "a table")
+    for path in (plain, f"file:{plain}", f"{plain}/"):
+        overwrite_table(spark.range(5), path)
+        overwrite_table(spark.read.parquet(path).filter("id < 4"), path)  # reads what it replaces
+        assert spark.read.parquet(plain).count() == 4
+    with pytest.raises(Exception):  # noqa: B017 - whatever the failing expression raises
+        overwrite_table(spark.read.parquet(plain).select(F.raise_error(F.lit("x")).cast("long").alias("id")), plain)
+    assert spark.read.parquet(plain).count() == 4
+    (tmp_path / "a table").rename(tmp_path / ".a table.old")  # stopped between the renames
+    assert table_exists(spark, plain) and spark.read.parquet(plain).count() == 4
+    assert not table_exists(spark, str(tmp_path / "none"))

@@ -64,3 +64,15 @@ def test_csv_round_trip_quotes_newlines_bom(spark, tmp_path):
     bom.write_bytes("﻿id,text\n1,x\n2,NA\n".encode("utf-8"))
     got = rows(csvio.read_csv(spark, str(bom), df.schema, na_values="NA"))
     assert got == [(1, "x"), (2, None)]
+
+
+def test_failed_and_empty_category_responses(spark):
+    from martlake.sources import payloads as P
+    menu = P.parse(spark.createDataFrame(
+        [('{"menu_block":{"items":[{"link":"https://x/c1","text":"G"}]}}',)], "raw string"), "raw", P.MENU)
+    pages = P.parse(spark.createDataFrame([
+        (1, '{"data":[{"id":10,"name":"m"},{"id":11,"name":"n"},{"id":12,"name":"o"}]}'), (1, '{"data":[]}'),
+        (10, "<html>502</html>"), (11, '{"data":[]}'), (12, '{"data":[{"id":20,"name":"c"}]}'), (12, '{"data":[]}'),
+        (20, '{"data":[{"id":30,"name":"s"}]}')], "parent_id bigint, raw string"), "raw", P.CATEGORY_PAGE)
+    got = {(r.MasterCategoryID, r.CategoryID, r.SubCategoryID) for r in P.flatten_category_tree(menu, pages, ["1"]).collect()}
+    assert got == {(11, None, None), (12, 20, 30)}

@@ -65,3 +65,16 @@ def test_merge_batch_reports_observed_counts(spark, tmp_path):
     b3 = spark.createDataFrame([(3, None), (4, "d")], "k bigint, v string")
     assert merge_batch(b3, t, mode="upsert", keys=["k"]) == {"updated": 1, "inserted": 1, "kept": 2}
     assert rows(spark.read.parquet(t)) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_upsert_keeps_old_columns_and_skips_a_replay(spark, tmp_path):
+    from martlake.streaming.incremental import merge_batch
+    t = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (None, "n", "z")], "k bigint, v string, extra string") \
+         .coalesce(1).write.parquet(t)
+    batch = spark.createDataFrame([(1, "A"), (None, "new"), (3, "c"), (3, "d")], "k bigint, v string")
+    for _ in range(2):
+        merge_batch(batch, t, mode="upsert", keys=["k"], batch_id="s-0")
+    got = rows(spark.read.parquet(t).select("k", "v", "extra"))
+    assert got == rows(spark.createDataFrame([(1, "A", "x"), (2, "b", "y"), (3, "c", None), (3, "d", None), (None, "n", "z"),
+                                              (None, "new", None)], "k bigint, v string, extra string"))
