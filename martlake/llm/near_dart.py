@@ -41,6 +41,8 @@ COORDINATES = ROWS * BANDS
 SMALL = 8
 #: Nodes that all others of a larger bucket are compared with, in the first round.
 LEADERS = 4
+#: Rows of the broadcast bitmap that says which nodes' texts are wanted: at most 64 bits each, whatever the input.
+BITMAP_WORDS = 1 << 18
 #: Documents whose darts are thrown at once.
 GROUP = 256
 
@@ -198,10 +200,22 @@ def _elements(weights: str):
 
 # -- links and classes ----------------------------------------------------------------------------------
 
+def _texts_of(wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of at least the wanted nodes, one row each; others are left out before the texts are shuffled.
+
+    The bitmap holds a bit of each wanted node's hash. A node whose bit is not set is not wanted; one whose bit is set may not be
+    either, so the caller joins on the node. A full bitmap lets all nodes through."""
+    h = F.xxhash64("node")
+    word = F.pmod(h, F.lit(BITMAP_WORDS)).cast("int")
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftright(xxhash64(node), 32), 64) AS INT))")
+    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return (nodes.select("node", "text", word.alias("word")).join(F.broadcast(bitmap), "word")
+            .filter(F.col("bits").bitwiseAND(bit) != 0).select("node", "text").dropDuplicates(["node"]))
+
+
 def _with_texts(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) with the text of a document of each node."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = nodes.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), nodes)
     return (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b"))
@@ -237,7 +251,7 @@ def _can_link(rejected: DataFrame, nodes: DataFrame, weights: str, threshold: fl
 
     With weight m, of which c is on elements that other rejected nodes have too, a node's similarity to
     one of weight s is at most min(c, s) / (m + s - min(c, s)), greatest for the least s that is not below c."""
-    texts = (nodes.select("node", "text").join(rejected.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    texts = _texts_of(rejected, nodes).join(rejected.select("node").distinct(), "node", "left_semi")
     sets = scratch_table(texts.mapInArrow(_elements(weights), "node binary, mass double, elements array<long>, weights array<double>"), "near-sets")
     own = (sets.select("node", F.explode(F.arrays_zip("elements", "weights")).alias("e"))
            .groupBy("e.elements").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("e.weights").alias("w"))
