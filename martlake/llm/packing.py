@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from martlake.llm.columns import id_text, slices
-from martlake.llm.pieces import Memo, once, safe_pieces
+from martlake.llm.pieces import Memo, byte_lengths, once, piece_ids, safe_pieces
 
 LENGTH = 2048
 BLOCK_TOKENS = 4 << 20
@@ -91,7 +91,8 @@ def _memo(path: str) -> Memo:
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        return Memo(lambda new: [np.asarray(e.ids, "<i4").tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)])
+        size = byte_lengths(t)
+        return Memo(lambda new: piece_ids(t, size, new))
     return once(("ids", path), make)
 
 

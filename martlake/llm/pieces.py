@@ -12,6 +12,8 @@ import os
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
+
 # Encoding runs inside a Spark task, which owns the cores that spark.task.cpus gives it.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
 os.environ.setdefault("RAYON_NUM_THREADS", "2")
@@ -19,6 +21,10 @@ os.environ.setdefault("RAYON_NUM_THREADS", "2")
 #: Unicode's White_Space characters, the class that the tokenizers library calls \s.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_LED = re.compile(f"[{_SPACE}]+[^{_SPACE}]")
+
+#: Pieces that are encoded as one string.
+JOINED = 256
 
 #: Distinct pieces that one Python worker remembers, and the longest that it does.
 MEMO_PIECES = 400_000
@@ -30,6 +36,41 @@ def safe_pieces(text: str) -> list[str]:
     return _PIECE.findall(text)
 
 
+def byte_lengths(tokenizer) -> np.ndarray:
+    """Bytes of text that each id of a byte-level vocabulary stands for (one character of its alphabet a byte)."""
+    vocab = tokenizer.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)
+    added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    for token, i in vocab.items():
+        out[i] = len(token.encode()) if token in added else len(token)
+    return out
+
+
+def piece_ids(tokenizer, size: np.ndarray, pieces: list[str]) -> list[bytes]:
+    """Ids (little-endian int32) of each piece, ``size`` being the tokenizer's :func:`byte_lengths`.
+
+    Pieces that begin with white space and go on are encoded ``JOINED`` at a time as one string, where
+    each may be cut off again, by bytes. Where a cut is not between two ids, and for all other pieces, each is encoded alone."""
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, "<i4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    out: list[bytes | None] = [None] * len(pieces)
+    led = [i for i, p in enumerate(pieces) if _LED.match(p)]
+    groups = [led[i:i + JOINED] for i in range(0, len(led), JOINED)]
+    for own, ids in zip(groups, encode(["".join([pieces[i] for i in g]) for g in groups]), strict=True):
+        ends, want = np.cumsum(size[ids]), np.cumsum([len(pieces[i].encode()) for i in own])
+        at = np.searchsorted(ends, want)
+        if ends[-1] != want[-1] or (ends[at] != want).any():
+            continue
+        raw, cut = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        for i, lo, hi in zip(own, cut, cut[1:]):
+            out[i] = raw[lo:hi]
+    alone = [i for i, x in enumerate(out) if x is None]
+    for i, ids in zip(alone, encode([pieces[i] for i in alone]), strict=True):
+        out[i] = ids.tobytes()
+    return out
+
+
 class Memo:
     """Piece -> value, made for many new pieces at once by ``make``."""
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from llm_cases import EDGE, edge, empty
 
 from martlake.llm import packing, sentencepieces, token_counts
-from martlake.llm.pieces import safe_pieces
+from martlake.llm.pieces import byte_lengths, piece_ids, safe_pieces
 
 BPE, MODEL = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 
@@ -36,6 +36,20 @@ def test_pieces_keep_the_tokens(text):
     assert [i for p in pieces for i in ids_of(lib, p)] == ids_of(lib, text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXT, st.sampled_from([" <|endoftext|>", "\x1cfoo", "!", "  ", " a", "'s"])), max_size=30))
+def test_joined_pieces_keep_their_ids(texts):
+    from tokenizers import Tokenizer
+    own = test_joined_pieces_keep_their_ids.__dict__
+    if "lib" not in own:
+        own["lib"] = Tokenizer.from_file(BPE)
+        own["size"] = byte_lengths(own["lib"])
+    new = [p for t in texts for p in safe_pieces(t)]
+    assert [np.frombuffer(x, "<i4").tolist() for x in piece_ids(own["lib"], own["size"], new)] == [ids_of(own["lib"], p) for p in new]
+    wrong = own["size"] + 1  # no cut fits: each piece alone
+    assert [np.frombuffer(x, "<i4").tolist() for x in piece_ids(own["lib"], wrong, new)] == [ids_of(own["lib"], p) for p in new]
+
+
 def test_counts(spark, library):
     got = sorted(map(str, token_counts.count_tokens(edge(spark), BPE, limit=10).collect()))
     from pyspark.sql import Row
