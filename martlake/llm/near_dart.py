@@ -10,10 +10,11 @@ number of elements. Two signatures agree in a coordinate with a probability equa
 Bands of ROWS coordinates are joined. Documents with the same element set are one node first. Nodes of a bucket
 of at most SMALL are all compared. In a larger bucket (copies of one text by the thousand) every node is compared with
 LEADERS of its nodes, the most central ones: those that share the most buckets, as an original does with its copies. Nodes
-are similar to no leader go on among themselves if they can be similar to any: elements that no other such node has are
+that are similar to no leader go on among themselves if they can be similar to any: elements that no other such node has are
 lost to every pair, which bounds a node's similarity from above, and rules out copies whose edits are their own.
-The others form the bucket anew, with twice the leaders, until none is left; nothing is capped or dropped.
-So pairs grow in proportion to rows. Every pair is verified on the
+The others form the bucket anew, with twice the leaders, until none is left. A node that is similar to a leader is settled
+and leaves the bucket: its links to nodes that go on, or that another leader settles, are seen only in other buckets that the
+two share, or if one of the two leads. So in a large bucket a link that no leader has can be missed. Pairs grow in proportion to rows. Every pair is verified on the
 texts themselves (similarity >= THRESHOLD), hot partners split by skew joins. Classes are the connected components of the verified
 links, found by alternating star contraction on tables written to the shared folder.
 
@@ -264,7 +265,7 @@ def _can_link(rejected: DataFrame, nodes: DataFrame, weights: str, threshold: fl
 
 
 def links(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
-    """Verified links (a, b) between nodes that connect every class."""
+    """Verified links (a, b) between nodes; those of large buckets connect nodes with leaders (see the module)."""
     nodes = sketches.filter("node is not null")
     members = _shared(nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket")))
     found, leaders = None, LEADERS
