@@ -10,7 +10,8 @@ dealt by content: the smallest hash of the K-byte strings inside a LENGTH-byte w
 equal windows, wherever they stand, and neighbouring windows mostly share it and travel as one run.
 
 1. Every document sends (smallest hash, document, run number) of its runs, packed in arrays, to the hash's bucket.
-   A hash that occurs once has no equal anywhere; only runs of repeated hashes go on.
+   A hash that occurs once has no equal in another run; only runs of repeated hashes go on, and runs in which the string
+   of the smallest hash stands more than once, as in periodic text: their windows may equal each other.
 2. Those runs are cut from the text and dealt to buckets by their hash. In a bucket equal runs are settled as wholes,
    the others by a suffix array (prefix doubling to LENGTH bytes) with its previous-factor array.
 3. A hash of more than ``HOT`` runs (a passage in a third of all documents) would fill its bucket. Its
@@ -86,6 +87,23 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return m[begin], begin, stop - begin, text
 
 
+def repeats_inside(data: np.ndarray, h: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Whether windows of one run may be equal: then the K-byte string of the smallest hash stands in it more than once."""
+    out = np.zeros(len(h), bool)
+    several = np.flatnonzero(count > 1)
+    if not len(several):
+        return out
+    every = np.arange(len(data) - K + 1)
+    g = range_hash(prefix_hash(data), every, every + K)
+    for lo in range(0, len(several), 1 << 14):
+        own = several[lo:lo + (1 << 14)]
+        n = count[own] + LENGTH - K
+        first = np.cumsum(n) - n
+        same = g[np.arange(n.sum()) + np.repeat(begin[own] - first, n)] == np.repeat(h[own], n)
+        out[own] = np.add.reduceat(same, first, dtype=np.int64) > 1
+    return out
+
+
 def truncated_suffix_array(data: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order of the windows of runs, by their first LENGTH bytes, and the rank of each window.
 
@@ -254,9 +272,10 @@ def _send_hashes(buckets: int):
         for b in batches:
             for lo, hi in slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
-                _, off = data_off = text_bytes(part.column("text"))
-                h, _, _, text = runs_of(*data_off)
+                data, off = text_bytes(part.column("text"))
+                h, begin, count, text = runs_of(data, off)
                 number = np.arange(len(h)) - np.searchsorted(text, text)
+                number = np.where(repeats_inside(data, h, begin, count), -1 - number, number)
                 held.append((h, part.column("key").to_numpy()[text], number.astype("<i4")))
                 if sum(len(x[0]) for x in held) * 20 > PACK_BYTES:
                     yield from flush()
@@ -267,16 +286,19 @@ def _send_hashes(buckets: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Runs whose hash occurs more than once: key, number (negative -1 - n if the hash is hot)."""
+    """Runs whose hash occurs more than once, or that came as -1 - n as they may repeat inside themselves: key, number
+    (negative -1 - n if the hash is hot)."""
     h, doc, number = _unpacked(table["hashes"], "<u8"), _unpacked(table["docs"], "<i8"), _unpacked(table["numbers"], "<i4")
     order = np.argsort(h, kind="stable")
     h = h[order]
     first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, np.int64)
     size = np.diff(np.append(first, len(h)))
     size = np.repeat(size, size)
-    own = order[size > 1]
+    on = (size > 1) | (number[order] < 0)
+    own = order[on]
     n = number[own].astype(np.int64)
-    n = np.where(size[size > 1] > HOT, -1 - n, n)
+    n = np.where(n < 0, -1 - n, n)
+    n = np.where(size[on] > HOT, -1 - n, n)
     return pa.table({"key": doc[own], "number": n})
 
 

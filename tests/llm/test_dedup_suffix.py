@@ -55,6 +55,15 @@ def test_against_brute_force(spark, monkeypatch, hot):
     assert sorted(tuple(r) for r in got) == sorted(brute(rows).values())
 
 
+def test_one_run_that_repeats_inside_itself(spark):
+    prose = corpus(5, 8)
+    rows = [(1, "-" * 200), (2, "ha " * 90), (3, prose[0][1] + "=" * 160 + prose[1][1]), (4, "+" * 101), (5, "*" * 100), (6, "#" * 355),
+            (7, "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" * 3), *[(10 + i, t) for i, t in prose]]
+    got = sorted(tuple(r) for r in S.repeat_report(table(spark, rows)).collect())
+    assert got == sorted(brute(rows).values())
+    assert [r[2] for r in got[:6]] == [199, 267, got[2][2], 100, 0, 354] and got[2][2] >= 159
+
+
 def test_edges(spark):
     rows = [(d, t) for d, t in EDGE if d is not None and d != 6] + [(None, EDGE[9][1][:500])]
     got = S.repeat_report(table(spark, rows)).collect()
