@@ -13,8 +13,10 @@ LEADERS of its nodes, the most central ones: those that share the most buckets,
 that are similar to no leader go on among themselves if they can be similar to any: elements that no other such node has are
 lost to every pair, which bounds a node's similarity from above, and rules out copies whose edits are their own.
 The others form the bucket anew, with twice the leaders, until none is left. A node that is similar to a leader is settled
-and leaves the bucket: its links to nodes that go on, or that another leader settles, are seen only in other buckets that the
-two share, or if one of the two leads. So in a large bucket a link that no leader has can be missed. Pairs grow in proportion to rows. Every pair is verified on the
+and leaves the bucket. What the leaders leave undecided is closed exactly: in every large bucket whose nodes are in several components
+by then, nodes outside its largest component are compared with all nodes of other components, except pairs that cannot reach the
+threshold by the triangle inequality (1 - similarity is a metric, and all distances to the first leaders are known) or by the weight
+of the elements that other such nodes have. So the classes are those of all pairs that share a bucket. Every pair is verified on the
 texts themselves (similarity >= THRESHOLD), hot partners split by skew joins. Classes are the connected components of the verified
 links, found by alternating star contraction on tables written to the shared folder.
 
@@ -173,14 +175,14 @@ def _weighted_sets(part: pa.RecordBatch, weights: str) -> tuple[list, list]:
     return [memo[x] for x in sides[0]], [memo[x] for x in sides[1]]
 
 
-def _verify(weights: str, threshold: float):
+def _verify(weights: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in slices(b.column("text_b"), 1 << 20):
                 part = b.slice(lo, hi - lo)
                 left, right = _weighted_sets(part, weights)
-                ok = pa.array([similarity(x, y) >= threshold for x, y in zip(left, right, strict=True)], pa.bool_())
-                yield part.select(["a", "b"]).filter(ok)
+                sim = pa.array([similarity(x, y) for x, y in zip(left, right, strict=True)], pa.float64())
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), sim], ["a", "b", "sim"])
     return run
 
 
@@ -236,44 +238,63 @@ def _small_pairs(members: DataFrame) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame, leaders: int) -> DataFrame:
-    """(bucket, a, b) of the nodes b of larger buckets with each of the bucket's leaders a.
+    """(bucket, k, a, b) of the nodes b of larger buckets with each of the bucket's leaders a, the k-th of them.
 
     A node's centrality is the number of nodes it shares buckets with; the most central node of each of
     ``leaders`` hash classes of a bucket leads."""
     large = members.filter(F.col("n") > SMALL)
     central = large.groupBy("node").agg(F.sum("n").alias("c"))
     best = (large.join(central, "node").groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("k"))
-            .agg(F.max(F.struct("c", "node")).alias("best")).select("bucket", F.col("best.node").alias("a")))
+            .agg(F.max(F.struct("c", "node")).alias("best")).select("bucket", "k", F.col("best.node").alias("a")))
     return large.select("bucket", F.col("node").alias("b")).join(best, "bucket").filter("a <> b")
 
 
-def _can_link(rejected: DataFrame, nodes: DataFrame, weights: str, threshold: float) -> DataFrame:
-    """Those of (bucket, node) whose similarity to another node of the bucket may reach the threshold.
-
-    With weight m, of which c is on elements that other rejected nodes have too, a node's similarity to
-    one of weight s is at most min(c, s) / (m + s - min(c, s)), greatest for the least s that is not below c."""
-    texts = _texts_of(rejected, nodes).join(rejected.select("node").distinct(), "node", "left_semi")
+def _masses(wanted: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
+    """(node, mass, c) of the wanted nodes: their weight, and how much of it is on elements that other wanted nodes have too."""
+    texts = _texts_of(wanted, nodes).join(wanted.select("node").distinct(), "node", "left_semi")
     sets = scratch_table(texts.mapInArrow(_elements(weights), "node binary, mass double, elements array<long>, weights array<double>"), "near-sets")
     own = (sets.select("node", F.explode(F.arrays_zip("elements", "weights")).alias("e"))
            .groupBy("e.elements").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("e.weights").alias("w"))
            .filter("n = 1").groupBy("node").agg(F.sum("w").alias("own")))
-    mass = sets.select("node", "mass").join(own, "node", "left").select("node", "mass", (F.col("mass") - F.coalesce("own", F.lit(0.0))).alias("c"))
-    known = rejected.join(mass, "node")
-    least = known.groupBy("bucket").agg(F.min("mass").alias("least"))
+    return sets.select("node", "mass").join(own, "node", "left").select("node", "mass", (F.col("mass") - F.coalesce("own", F.lit(0.0))).alias("c"))
+
+
+def _may_reach(known: DataFrame, threshold: float) -> DataFrame:
+    """Those of (bucket, node, mass, c, least) whose similarity to another node of the bucket may reach the threshold.
+
+    With weight m, of which c is on elements that other nodes have too, a node's similarity to
+    one of weight s is at most min(c, s) / (m + s - min(c, s)), greatest for the least s that is not below c."""
     s = F.greatest("least", "c")
-    return (known.join(least, "bucket").filter(F.col("c") >= threshold * (F.col("mass") + s - F.col("c")) - 1e-9).select("bucket", "node"))
+    return known.filter(F.col("c") >= threshold * (F.col("mass") + s - F.col("c")) - 1e-9)
 
 
-def links(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
-    """Verified links (a, b) between nodes; those of large buckets connect nodes with leaders (see the module)."""
-    nodes = sketches.filter("node is not null")
-    members = _shared(nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket")))
-    found, leaders = None, LEADERS
+def _can_link(rejected: DataFrame, nodes: DataFrame, weights: str, threshold: float) -> DataFrame:
+    """Those of (bucket, node) that may be similar to another of them in the bucket."""
+    known = rejected.join(_masses(rejected, nodes, weights), "node")
+    least = known.groupBy("bucket").agg(F.min("mass").alias("least"))
+    return _may_reach(known.join(least, "bucket"), threshold).select("bucket", "node")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
+    """(a, b, sim) of the pairs (a, b)."""
+    return scratch_table(_with_texts(pairs, nodes).mapInArrow(_verify(weights), "a binary, b binary, sim double"), "near-links")
+
+
+def links(nodes: DataFrame, weights: str, threshold: float) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
+    """Verified links (a, b) between nodes; the members of shared buckets; distances (bucket, k, node, d) to their first leaders.
+
+    The links of large buckets connect nodes with leaders (see the module); _open_pairs has the rest."""
+    first = members = _shared(nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket")))
+    found, far, leaders = None, None, LEADERS
     while not members.isEmpty():
         stars = scratch_table(_star_pairs(members, leaders), "near-stars")
         pairs = scratch_table(_small_pairs(members).unionByName(stars.select("a", "b")).distinct(), "near-pairs")
-        ok = scratch_table(_with_texts(pairs, nodes).mapInArrow(_verify(weights, threshold), "a binary, b binary"), "near-links")
+        sims = _verified(pairs, nodes, weights)
+        ok = sims.filter(F.col("sim") >= threshold).select("a", "b")
         found = ok if found is None else found.unionByName(ok)
+        if far is None:
+            far = (stars.join(sims, ["a", "b"]).select("bucket", "k", F.col("b").alias("node"), (1 - F.col("sim")).alias("d"))
+                   .unionByName(stars.select("bucket", "k", F.col("a").alias("node"), F.lit(0.0).alias("d")).distinct()))
         # Nodes that are similar to no leader of their bucket; a leader has been compared with all of it.
         led = stars.select("bucket", F.col("a").alias("b")).distinct().withColumn("lead", F.lit(1))
         rejected = (stars.join(ok.withColumn("ok", F.lit(1)), ["a", "b"], "left").groupBy("bucket", "b").agg(F.max("ok").alias("ok"))
@@ -283,7 +304,49 @@ def links(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
             break
         members = _shared(_can_link(rejected, nodes, weights, threshold))
         leaders *= 2
-    return sketches.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0) if found is None else found
+    return found, first, far
+
+
+def _open_pairs(members: DataFrame, far: DataFrame, labels: DataFrame, nodes: DataFrame, weights: str, threshold: float) -> DataFrame | None:
+    """Pairs (a, b) of nodes of a large bucket that are in different components and may reach the threshold; None if there are none.
+
+    All nodes of a bucket outside its largest component are paired with all of the bucket. A pair is left out only if its distances
+    to a leader differ by more than 1 - threshold, or if the weight that either has on shared elements is too small for both weights."""
+    label = (members.filter(F.col("n") > SMALL).select("bucket", "node").join(labels, "node", "left")
+             .withColumn("label", F.coalesce("label", "node")))
+    main = (label.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+            .agg(F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+            .select("bucket", F.col("main.label").alias("main")))
+    several = scratch_table(label.join(main, "bucket"), "near-open")
+    if several.isEmpty():
+        return None
+    k = range(LEADERS)
+    dist = far.groupBy("bucket", "node").agg(*[F.min(F.when(F.col("k") == i, F.col("d"))).alias(f"d{i}") for i in k])
+    known = several.join(_masses(several, nodes, weights), "node").join(dist, ["bucket", "node"], "left")
+    known = scratch_table(known, "near-known")
+    least = known.groupBy("bucket").agg(F.min("mass").alias("least"))
+    outside = _may_reach(known.filter("label <> main").join(least, "bucket"), threshold).drop("least")
+    x = outside.select("bucket", *[F.col(c).alias(f"x_{c}") for c in outside.columns if c != "bucket"])
+    both = known.join(x, "bucket").filter("label <> x_label").filter(
+        F.least("c", "x_c") * (1 + threshold) >= threshold * (F.col("mass") + F.col("x_mass")) - 1e-9)
+    for i in k:  # no distance: the bucket has no such leader
+        both = both.filter(F.coalesce(F.abs(F.col(f"d{i}") - F.col(f"x_d{i}")) <= 1 - threshold + 1e-9, F.lit(True)))
+    return scratch_table(both.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct(), "near-pairs")
+
+
+def linked(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
+    """(node, label) of every node that has a link to a node of a shared bucket; the label is the least node of its component."""
+    nodes = sketches.filter("node is not null")
+    found, members, far = links(nodes, weights, threshold)
+    if found is None:
+        return sketches.select("node", F.col("node").alias("label")).limit(0)
+    labels = components(found)
+    pairs = _open_pairs(members, far, labels, nodes, weights, threshold)
+    if pairs is not None and not pairs.isEmpty():
+        more = _verified(pairs, nodes, weights).filter(F.col("sim") >= threshold).select("a", "b")
+        if not more.isEmpty():
+            labels = components(found.unionByName(more))
+    return labels
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -325,7 +388,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, weights: str, threshol
     own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sketches = scratch_table(own.mapInArrow(_sketch(weights), with_fields(own, "text string, node binary, bands array<long>", "row")),
                              "near-sketches")
-    labels = components(links(sketches, weights, threshold))
+    labels = linked(sketches, weights, threshold)
     named = (sketches.select("row", F.col("row").getField(id_col).alias("id"), "node").join(labels, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     groups = (named.filter("label is not null").groupBy("label")

@@ -68,6 +68,38 @@ def test_classes(spark, monkeypatch, small):
     assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows)
 
 
+def test_chains_of_copies_in_a_large_group(spark, monkeypatch):
+    # One bucket of all nodes, so that only the comparison within it decides.
+    sketch = D._sketch
+
+    def one_bucket(weights):
+        run = sketch(weights)
+
+        def all_in_one(batches):
+            for b in run(batches):
+                bands = pa.array([[1] if x else [] for x in b.column("bands").to_pylist()], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), b.column("node"), bands], b.schema.names)
+        return all_in_one
+    monkeypatch.setattr(D, "_sketch", one_bucket)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+
+    def edited(w, k, tag):
+        w = list(w)
+        for j in rnd.sample(range(0, len(w), 6), k):
+            w[j] = f"{tag}{j}"
+        return w
+    rows = [(i, " ".join(edited(base, 1, f"a{i}x"))) for i in range(40)]
+    for i in range(12):  # copies of copies of the base text, linked to it by one copy in between
+        between = edited(base, 4, f"b{i}x")
+        rows += [(100 + i, " ".join(between)), (200 + i, " ".join(edited(between, 4, f"c{i}x")))]
+        rows += [(300 + i, " ".join(edited(base, 12, f"d{i}x")))]  # linked to nothing
+    want = brute(rows)
+    assert sum("True" in r for r in want) < 16
+    got = D.near_classes(table(spark, rows).repartition(4))
+    assert sorted(str(tuple(r)) for r in got.collect()) == want
+
+
 def test_edges(spark):
     assert sorted(str(tuple(r)) for r in D.near_classes(edge(spark)).collect()) == brute(EDGE)
     assert D.near_classes(empty(spark)).collect() == []
