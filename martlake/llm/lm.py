@@ -7,7 +7,8 @@ hash classes for all other words. The distribution is factored (class, then toke
 sums to one over the vocabulary and costs two small softmaxes.
 
 Word counts are taken over all documents. Training is data-parallel over all documents: in each round every
-task takes gradient steps (in numpy) on every ``STRIDE``-th position of each text it holds, from a common start,
+task takes gradient steps (in numpy) on every ``ROUNDS``-th position of each text it holds, from a common start, so that
+over the rounds every position of every text is a target once,
 and Spark sums the tasks' parameters, weighted by positions, coordinate by coordinate; only that
 sum (a fixed number of rows) reaches the driver. Scoring covers every position of every whole text.
 
@@ -32,7 +33,7 @@ VOCAB = CLASSES * PER_CLASS
 FREQUENT = 768
 EDGE = VOCAB
 SIDE, DIM, HIDDEN = 2, 16, 32
-STRIDE, ROUNDS, BATCH, RATE = 8, 2, 512, 0.05
+ROUNDS, BATCH, RATE = 2, 512, 0.05
 CHUNK = 1 << 16
 
 SHAPES = {"emb": (VOCAB + 1, DIM), "w1": (2 * SIDE * DIM, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
@@ -85,15 +86,29 @@ class Network:
         dc /= n
         g.wc[:], g.bc[:] = h.T @ dc, dc.sum(axis=0)
         dh = dc @ self.wc.T
-        for c, i in _by_class(cls):
-            dt = np.exp(_log_softmax(h[i] @ self.wt[c] + self.bt[c]))
-            dt[np.arange(len(i)), own[i]] -= 1
-            dt /= n
-            g.wt[c], g.bt[c] = h[i].T @ dt, dt.sum(axis=0)
-            dh[i] += dt @ self.wt[c].T
+        order = np.argsort(cls, kind="stable")
+        hs, cls = h[order], cls[order]
+        first = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
+        parts = list(zip(cls[first].tolist(), first.tolist(), np.append(first[1:], n).tolist(), strict=True))
+        dt = self.bt[cls]
+        for c, lo, hi in parts:
+            dt[lo:hi] += hs[lo:hi] @ self.wt[c]
+        dt = np.exp(_log_softmax(dt))
+        dt[np.arange(n), own[order]] -= 1
+        dt /= n
+        g.bt[cls[first]] = np.add.reduceat(dt, first, axis=0)
+        back = np.empty_like(hs)
+        for c, lo, hi in parts:
+            g.wt[c] = hs[lo:hi].T @ dt[lo:hi]
+            back[lo:hi] = dt[lo:hi] @ self.wt[c].T
+        dh[order] += back
         dz = dh * (1 - h * h)
         g.w1[:], g.b1[:] = x.T @ dz, dz.sum(axis=0)
-        np.add.at(g.emb, context, (dz @ self.w1.T).reshape(n, 2 * SIDE, DIM))
+        word = context.reshape(-1)
+        order = np.argsort(word, kind="stable")
+        word = word[order]
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        g.emb[word[first]] = np.add.reduceat((dz @ self.w1.T).reshape(-1, DIM)[order], first, axis=0)
         return g.flat
 
 
@@ -143,7 +158,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> tuple[Tokens, Network]:
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Tokens, Network]:
     """Fit the network on all documents."""
     sc = docs.sparkSession.sparkContext
     own = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -166,7 +181,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride: i
                     w = Words(*text_bytes(b.column("text").slice(lo, hi - lo)))
                     context, token, text = known.positions(w)
                     nth = np.arange(len(token)) - w.first[text]
-                    use = np.flatnonzero(nth % stride == (r * stride // 2) % stride)
+                    use = np.flatnonzero(nth % rounds == r)
                     use = np.random.default_rng(r).permutation(use)
                     for at in range(0, len(use), BATCH):
                         i = use[at:at + BATCH]

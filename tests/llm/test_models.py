@@ -176,6 +176,15 @@ def test_contexts_stay_in_their_text():
     assert context.tolist() == [[e, e, t[1], t[2]], [e, t[0], t[2], e], [t[0], t[1], e, e], [e] * 4]
 
 
+def test_every_position_is_trained(spark):
+    # Word k of every text has its own neighbours; only a network that was trained on position k can tell it from its frequency.
+    docs = [(i, " ".join(f"w{k}" for k in range(8))) for i in range(3000)]
+    tokens, net = lm.fit(table(spark, docs).repartition(1))
+    context, token, _ = tokens.positions(Words(*text_bytes(pa.array([docs[0][1]]))))
+    assert len(set(token.tolist())) == 8
+    assert (net.log_prob(context, token) > math.log(0.5)).all()
+
+
 def test_scoring_prefers_what_the_corpus_says(spark):
     base = "the cat sat on the mat and the dog sat on the rug".split()
     docs = [(i, " ".join(base * 20)) for i in range(40)]
