@@ -3,7 +3,8 @@
 A small network reads the two words on either side of a position and gives a distribution over all tokens
 for the word in the middle; a text's score is the sum of the log-probabilities of its words, each
 predicted from both sides. Tokens are the most frequent words of the corpus, each on its own, and
-hash classes for all other words. The distribution is factored (class, then token within the class), so it
+hash classes for all other words. Inside a hash class a word has its share of the class's uses in the corpus, whose counts stay in
+a table that is joined by word; words that the corpus does not have share one more use of their class. The distribution is factored (class, then token within the class), so it
 sums to one over the vocabulary and costs two small softmaxes.
 
 Word counts are taken over all documents. Training is data-parallel over all documents: in each round every
@@ -19,13 +20,14 @@ text sees an edge mark; with no words at all the network stays as it started; re
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.columns import Words, id_text, slices, text_bytes, with_fields
+from martlake.llm.columns import Words, id_text, scratch_table, slices, text_bytes, with_fields
 
 CLASSES = PER_CLASS = 32
 VOCAB = CLASSES * PER_CLASS
@@ -153,22 +155,33 @@ class Tokens:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for lo, hi in slices(b.column("text"), 16 << 20):
+        for lo, hi in slices(b.column("text")):
             h, n = np.unique(Words(*text_bytes(b.column("text").slice(lo, hi - lo))).hash, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Tokens, Network]:
+class Model(NamedTuple):
+    tokens: Tokens
+    net: Network
+    #: word, n: uses of every word of the corpus.
+    counts: DataFrame
+    #: Uses of each token.
+    uses: np.ndarray
+
+
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
     """Fit the network on all documents."""
     sc = docs.sparkSession.sparkContext
     own = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    counts = own.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = scratch_table(own.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     tokens = Tokens(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-    every = counts.agg(F.sum("n")).first()[0] or 0
     freq = np.zeros(VOCAB)
-    freq[:len(top)] = [r["n"] for r in top]
-    freq[FREQUENT:] = (every - freq.sum()) / (VOCAB - FREQUENT)
+    for r in counts.groupBy(F.pmod("word", F.lit(VOCAB - FREQUENT)).alias("c")).agg(F.sum("n").alias("n")).collect():
+        freq[FREQUENT + r["c"]] = r["n"]
+    for i, r in enumerate(top):
+        freq[i] = r["n"]
+        freq[FREQUENT + r["word"] % (VOCAB - FREQUENT)] -= r["n"]
     net = Network.start(freq)
     for r in range(rounds):
         sent = sc.broadcast((tokens, net.flat))
@@ -198,30 +211,42 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[
             v = np.zeros(SIZE + 1)
             v[got["i"]] = got["v"]
             net = Network((v[:-1] / v[-1]).astype(np.float32))
-    return tokens, net
+    return Model(tokens, net, counts, freq)
 
 
-def score(docs: DataFrame, model: tuple[Tokens, Network], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, log_likelihood (summed conditional log-probabilities) and mean_log_prob of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast((model[0], model[1].flat))
+    sent = docs.sparkSession.sparkContext.broadcast((model.tokens, model.net.flat, np.log(model.uses[FREQUENT:] + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, flat = sent.value
+        tokens, flat, of_class = sent.value
         net = Network(flat)
         for b in batches:
             for lo, hi in slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
-                context, token, text = tokens.positions(Words(*text_bytes(part.column("text"))))
+                w = Words(*text_bytes(part.column("text")))
+                context, token, text = tokens.positions(w)
                 s = np.zeros(len(part))
                 for at in range(0, len(token), CHUNK):
                     i = slice(at, at + CHUNK)
                     s += np.bincount(text[i], net.log_prob(context[i], token[i]).astype(np.float64), len(part))
+                rare = np.flatnonzero(token >= FREQUENT)
+                s -= np.bincount(text[rare], of_class[token[rare] - FREQUENT], len(part))
+                off = pa.array(np.searchsorted(text[rare], np.arange(len(part) + 1)), pa.int32())
                 n = np.bincount(text, minlength=len(part))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(s), pa.array(s / np.maximum(n, 1))],
-                                                 ["doc_id", "n_words", "log_likelihood", "mean_log_prob"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(s), pa.ListArray.from_arrays(off, pa.array(w.hash[rare].view(np.int64)))],
+                    ["doc_id", "n_words", "s", "rare"])
 
     own = id_text(docs, id_col, text_col)
-    return own.mapInArrow(run, with_fields(own, "n_words long, log_likelihood double, mean_log_prob double"))
+    scored = scratch_table(own.mapInArrow(run, with_fields(own, "n_words long, s double, rare array<long>"))
+                           .withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    # Words that stand for a hash class: log of their own uses; a word that the corpus does not have counts as used once.
+    uses = (scored.select("row", F.explode("rare").alias("word")).join(model.counts, "word")
+            .groupBy("row").agg(F.sum(F.log("n")).alias("own")))
+    total = F.col("s") + F.coalesce("own", F.lit(0.0))
+    return (scored.select("row", "doc_id", "n_words", "s").join(uses, "row", "left")
+            .select("doc_id", "n_words", total.alias("log_likelihood"), (total / F.greatest("n_words", F.lit(1))).alias("mean_log_prob")))
 
 
 def score_report(docs: DataFrame, **how) -> DataFrame:

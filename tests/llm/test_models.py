@@ -179,12 +179,28 @@ def test_contexts_stay_in_their_text():
 def test_every_position_is_trained(spark):
     # Word k of every text has its own neighbours; only a network that was trained on position k can tell it from its frequency.
     docs = [(i, " ".join(f"w{k}" for k in range(8))) for i in range(3000)]
-    tokens, net = lm.fit(table(spark, docs).repartition(1))
+    tokens, net, *_ = lm.fit(table(spark, docs).repartition(1))
     context, token, _ = tokens.positions(Words(*text_bytes(pa.array([docs[0][1]]))))
     assert len(set(token.tolist())) == 8
     assert (net.log_prob(context, token) > math.log(0.5)).all()
 
 
+def test_words_of_one_hash_class_have_their_own_probability(spark):
+    hashed = {}
+    for k in range(60_000):
+        hashed.setdefault(int(Words(*text_bytes(pa.array([f"v{k}"]))).hash[0] % np.uint64(lm.VOCAB - lm.FREQUENT)), []).append(f"v{k}")
+        if len(hashed[0] if 0 in hashed else ()) == 3:
+            break
+    often, seldom, never = hashed[0]
+    common = [f"c{i}" for i in range(lm.FREQUENT)]
+    docs = [(i, " ".join(common)) for i in range(20)] + [(100, " ".join([often] * 8 + [seldom] * 2))]
+    model = lm.fit(table(spark, docs))
+    got = {r.doc_id: r.log_likelihood for r in lm.score(table(spark, [(1, often), (2, seldom), (3, never), (4, None)]), model).collect()}
+    assert got[1] - got[2] == pytest.approx(math.log(8 / 2))
+    assert got[2] - got[3] == pytest.approx(math.log(2))
+    assert got[4] == 0
+
+
 def test_scoring_prefers_what_the_corpus_says(spark):
     base = "the cat sat on the mat and the dog sat on the rug".split()
     docs = [(i, " ".join(base * 20)) for i in range(40)]
