@@ -31,3 +31,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
+
+ORACLE["op11_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u FROM d),
+k AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y,
+        CAST('0x' || h[17:24] AS BIGINT) % 100 AS r, CAST('0x' || h[25:32] AS BIGINT) % 100 AS s FROM u),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r >= 100 THEN 'plain'
+                     WHEN s < 50 THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+        array_to_string(u[greatest(x, y) + 1:], '') AS e FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || e || '<M>' || m
+                   ELSE '<S>' || e || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM f
+"""
