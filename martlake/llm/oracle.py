@@ -48,3 +48,14 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
   sha256(t) AS restored_sha256
 FROM f
 """
+
+ORACLE["op12_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+g AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS h, min(page_id) OVER (PARTITION BY b) AS first_id FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+    ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM g
+"""

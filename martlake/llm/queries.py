@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import (decontam, dedup_exact, dedup_suffix, fim, langid, lm, near_dart, packing,
-                          sentencepieces, token_counts, toxicity)
+from martlake.llm import (alignment, decontam, dedup_exact, dedup_suffix, fim, langid, lm, near_dart, packing,
+                          sentencepieces, token_counts, toxicity, warc)
 from martlake.sources.tables import read_table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -58,6 +58,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fim_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(read_table(spark, sf_dir, "pages"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                                      public_tokenizers.path(PIECE_MODEL))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_dart_minhash, op3_toxicity, op4_language_id, op5_sentencepiece, op6_token_counts,
-    op7_token_packing, op8_lm_scoring, op9_decontamination, op10_exact_dedup, op11_fill_in_middle)}
+    op7_token_packing, op8_lm_scoring, op9_decontamination, op10_exact_dedup, op11_fill_in_middle, op12_warc,
+    op13_alignment)}
