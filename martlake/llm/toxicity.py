@@ -150,6 +150,16 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` without the texts that the model rejects, all columns as they were (a row travels as one struct)."""
-    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("body"))
-    return score(row, model, "row", "body").filter("predicted = 0").select("doc_id.*")
+    """``docs`` without the texts that the model rejects, all columns as they were. A row passes through the task
+    once, as it is, and is let through or not, in slices of bounded bytes."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in slices(b.column(at)):
+                part = b.slice(lo, hi - lo)
+                s = sent.value.score(Words(*text_bytes(part.column(at))))
+                yield part.filter(pa.array(s < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
