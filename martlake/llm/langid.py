@@ -11,20 +11,21 @@ Spark tasks over the word counts of each language and summed per (language, piec
 languages x vocabulary rows. It reads at most ``SAMPLE_PER_LANG`` labelled texts per language, chosen by a hash of
 their ids; prediction covers every whole text.
 
-Words are runs of letters, lower-cased. Words beyond ``STRETCH`` letters are scored in stretches of that
-many. Defined cases: a text without a letter, or null, is ``und`` with score 0; letters outside the
+Words are lower-cased runs of Unicode letters, with the marks that follow them. A word of any length is summed over as a whole:
+the forward values of its last few positions are carried on, rescaled as they shrink. Fitting leaves out words beyond
+``FIT_LETTERS`` letters. Defined cases: a text without a letter, or null, is ``und`` with score 0; letters outside the
 vocabulary have a fixed small probability in every language; ties go to the language first in order; with
 nothing to learn from, every text is ``und``; training rows with a null language are not used.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,33 +36,30 @@ from martlake.llm.sentencepieces import MARK, NORMAL, Model
 #: Labelled texts read per language, at most about.
 SAMPLE_PER_LANG = 1_500
 ROUNDS = 2
-STRETCH = 24
-LONGEST_PIECE = 12
+#: Longest word that the model is fitted on.
+FIT_LETTERS = 1_000
+#: Letters of a word that are looked up at once, and positions after which forward values are rescaled.
+BLOCK, RESCALE = 4_096, 16
 FLOOR = 1e-8
 FOLDS, HELD_OUT = 3, 1
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, led by the marker, in stretches."""
-    out = []
-    for w in _WORD.findall((text or "").lower()):
-        if len(w) <= STRETCH:
-            out.append(MARK + w)
-        else:
-            out += [(MARK if i == 0 else "") + w[i:i + STRETCH] for i in range(0, len(w), STRETCH)]
-    return out
+    """Lower-cased runs of letters with their marks, led by the marker."""
+    return [MARK + w for w in _WORD.findall((text or "").lower())]
 
 
 class Vocabulary:
     """Pieces of lower-case letters, with or without the marker, numbered from 1; 0 is any other letter."""
 
     def __init__(self, path: str):
-        plain = re.compile(f"{MARK}?[^\\W\\d_]*")
+        plain = regex.compile(f"{MARK}?[\\p{{L}}\\p{{M}}]*")
         own = [p for p, _, t in Model(path).pieces
-               if t == NORMAL and 0 < len(p) <= LONGEST_PIECE and p == p.lower() and plain.fullmatch(p)]
+               if t == NORMAL and p and p == p.lower() and plain.fullmatch(p)]
         self.pieces = list(dict.fromkeys([MARK, *own]))
+        self.longest = max(map(len, self.pieces))
         by_length: dict[int, list[int]] = {}
         for i, x in enumerate(self.pieces, 1):
             by_length.setdefault(len(x), []).append(i)
@@ -88,7 +86,7 @@ class Vocabulary:
         """[word, end, length] piece numbers of words of one length; -1: no piece."""
         n = len(words[0])
         code = np.array(words).view(np.uint32).reshape(len(words), n)
-        out = np.full((len(words), n + 1, min(n, LONGEST_PIECE) + 1), -1, np.int32)
+        out = np.full((len(words), n + 1, min(n, self.longest) + 1), -1, np.int32)
         out[:, 1:, 1] = 0
         h = np.zeros((len(words), n + 1), np.uint64)
         for m in range(1, out.shape[2]):
@@ -107,23 +105,28 @@ def vocabulary(path: str) -> Vocabulary:
     return once(("langid", path), lambda: Vocabulary(path))
 
 
-def _by_length(words: list[str], most: int = 2_000) -> Iterator[np.ndarray]:
-    """Positions of words of one length, up to ``most`` at once."""
+def _by_length(words: list[str], most: int = 48_000) -> Iterator[np.ndarray]:
+    """Positions of words of one length, up to ``most`` letters at once."""
     size = np.array([len(w) for w in words])
     for n in np.unique(size):
         at = np.flatnonzero(size == n)
-        yield from np.array_split(at, -(-len(at) // most))
+        yield from np.array_split(at, -(-len(at) // max(1, most // int(n))))
 
 
-def _forward(ids: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """[word, position, language] sums over the segmentations of each prefix."""
+def _forward(ids: np.ndarray, p: np.ndarray, known: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """[word, position, language] sums over the segmentations of each prefix, of which the first positions are ``known``.
+    They are divided by what is added to ``scale`` (as a logarithm) so that they stay near 1."""
     words, ends, longest = ids.shape
     a = np.zeros((words, ends, p.shape[1]))
-    a[:, 0] = 1
-    for j in range(1, ends):
+    a[:, :known.shape[1]] = known
+    for j in range(known.shape[1], ends):
         for m in range(1, min(j, longest - 1) + 1):
             own = np.flatnonzero(ids[:, j, m] >= 0)
             a[own, j] += a[own, j - m] * p[ids[own, j, m]]
+        if j % RESCALE == 0:
+            by = a[:, j].copy()
+            a[:, max(0, j - longest + 1):j + 1] /= by[:, None]
+            scale += np.log(by)
     return a
 
 
@@ -131,28 +134,32 @@ def word_scores(words: list[str], vocab: Vocabulary, p: np.ndarray) -> np.ndarra
     """log of the summed probability of each word in each language."""
     out = np.zeros((len(words), p.shape[1]), np.float64)
     for at in _by_length(words):
-        out[at] = np.log(_forward(vocab.ids([words[i] for i in at]), p)[:, -1])
+        own = [words[i] for i in at]
+        known, scale = np.ones((len(own), 1, p.shape[1])), np.zeros((len(own), p.shape[1]))
+        for lo in range(0, len(own[0]), BLOCK):
+            back = known.shape[1] - 1  # positions before the block that its first pieces may start from
+            known = _forward(vocab.ids([w[lo - back:lo + BLOCK] for w in own]), p, known, scale)[:, -vocab.longest:]
+        out[at] = np.log(known[:, -1]) + scale
     return out
 
 
 def expected_counts(words: list[str], counts: np.ndarray, lang: np.ndarray, vocab: Vocabulary, p: np.ndarray) -> np.ndarray:
     """[piece, language] expected uses of each piece in the given words."""
-    out = np.zeros(p.size)
+    out, log_p = np.zeros(p.size), np.log(p)
     for at in _by_length(words):
         ids, own, rows = vocab.ids([words[i] for i in at]), lang[at], np.arange(len(at))
         n = ids.shape[1] - 1
-        a = np.zeros((len(at), n + 1))
-        b = np.zeros((len(at), n + 1))
-        a[:, 0] = b[:, n] = 1
+        a, b = np.full((2, len(at), n + 1), -np.inf)  # logarithms, since long words underflow
+        a[:, 0] = b[:, n] = 0
         use = [(j, m, np.flatnonzero(ids[:, j, m] >= 0)) for j in range(1, n + 1) for m in range(1, min(j, ids.shape[2] - 1) + 1)]
-        probs = [p[ids[k, j, m], own[k]] for j, m, k in use]  # each word under its own language only
+        probs = [log_p[ids[k, j, m], own[k]] for j, m, k in use]  # each word under its own language only
         for (j, m, k), q in zip(use, probs, strict=True):
-            a[k, j] += a[k, j - m] * q
+            a[k, j] = np.logaddexp(a[k, j], a[k, j - m] + q)
         for (j, m, k), q in zip(reversed(use), reversed(probs), strict=True):
-            b[k, j - m] += b[k, j] * q
-        z = counts[at] / a[rows, n]
+            b[k, j - m] = np.logaddexp(b[k, j - m], b[k, j] + q)
+        z = np.log(counts[at]) - a[rows, n]
         where = np.concatenate([ids[k, j, m] * p.shape[1] + own[k] for j, m, k in use])
-        out += np.bincount(where, np.concatenate([a[k, j - m] * q * b[k, j] * z[k] for (j, m, k), q in zip(use, probs, strict=True)]),
+        out += np.bincount(where, np.exp(np.concatenate([a[k, j - m] + q + b[k, j] + z[k] for (j, m, k), q in zip(use, probs, strict=True)])),
                            p.size)
     return out.reshape(p.shape)
 
@@ -181,7 +188,7 @@ def fit(labelled: DataFrame, vocab_path: str, text_col: str = "text", lang_col:
         for b in batches:
             for lo, hi in slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
-                words = [words_of(t) for t in part.column("text").to_pylist()]
+                words = [[w for w in words_of(t) if len(w) <= FIT_LETTERS] for t in part.column("text").to_pylist()]
                 pdf = pd.DataFrame({"lang": np.repeat(part.column("lang").to_pylist(), [len(w) for w in words]),
                                     "word": [x for w in words for x in w]}, dtype=object)
                 pdf["n"] = 1

@@ -104,7 +104,7 @@ def test_forward_sums_all_segmentations():
         total, lang, mine = np.zeros(2), k % 2, np.zeros(len(p))
         for seg in segmentations(w):
             ids = [number.get(s, 0 if len(s) == 1 else None) for s in seg]
-            if None in ids or any(len(s) > langid.LONGEST_PIECE for s in seg):
+            if None in ids:
                 continue
             q = np.prod([p[i] for i in ids], axis=0)
             total += q
@@ -115,6 +115,28 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(uses, want_uses)
 
 
+def test_long_words():
+    """Words of any length against sums in logarithms, without blocks or rescaling."""
+    v = langid.vocabulary(MODEL)
+    assert v.longest == max(len(x) for x in v.pieces) > 12
+    p = np.random.default_rng(2).random((len(v) + 1, 3)) / len(v)
+    number = {x: i for i, x in enumerate(v.pieces, 1)}
+    for word in ("▁international" + "ization" * 8, "▁" + "漢" * 60, "▁" + "straße" * 900, "▁" + "ab" * (langid.BLOCK // 2), "▁" + "c" * (langid.BLOCK - 1)):
+        a = [np.zeros(3)]
+        for j in range(1, len(word) + 1):
+            terms = [a[j - m] + np.log(p[number.get(word[j - m:j], 0)]) for m in range(1, min(j, v.longest) + 1) if m == 1 or word[j - m:j] in number]
+            a.append(np.logaddexp.reduce(terms))
+        assert np.allclose(langid.word_scores([word], v, p)[0], a[-1])
+    uses = langid.expected_counts(["▁" + "straße" * 100], np.ones(1), np.zeros(1, np.int64), v, p)
+    sizes = np.array([1, *map(len, v.pieces)])
+    assert np.isclose((uses[:, 0] * sizes).sum(), 601)  # every letter is used once
+
+
+def test_letters():
+    assert langid.words_of("½ ² Ⅷ ① 12_3 --") == []
+    assert langid.words_of("हिन्दी Straße x²y l'été") == ["▁हिन्दी", "▁straße", "▁x", "▁y", "▁l", "▁été"]
+
+
 LETTERS = {"aa": "abcde", "bb": "uvwxyz"}
 
 
@@ -128,7 +150,7 @@ def language_rows(n=90):
 
 def test_language(spark):
     rows = language_rows()
-    docs = spark.createDataFrame(rows + [(1000, None, "aa"), (1001, "12 34 --", "bb"), (None, "abc abc", None)],
+    docs = spark.createDataFrame(rows + [(1000, None, "aa"), (1001, "12 34 -- ½ Ⅷ ①", "bb"), (None, "abc abc", None)],
                                  "doc_id long, text string, lang string")
     got = langid.language_report(docs, MODEL).collect()
     assert len(got) == len(rows) + 3
