@@ -137,8 +137,10 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by
     The result is always written to a new sibling folder and only then takes the place of the
     old table by two renames, so a failed write leaves the old table as it was, and
     :func:`table_exists` mends a stop between the renames. With ``partition_by`` only the
-    partitions present in ``df`` are replaced, each by the same swap. ``mark`` is the name of an empty
-    file that is put into the new table (readers skip names with an underscore)."""
+    partitions present in ``df`` are replaced, each by the same swap: a stop between them leaves some old and some new
+    (:mod:`martlake.operators.commit` changes them together). ``mark`` is the name of an empty
+    file that is put into the new table before the swap, or after that of the last partition (readers skip
+    names with an underscore)."""
     spark = df.sparkSession
     new = _beside(spark, path, f"new-{uuid.uuid4().hex}")
     w = df.write.format(fmt)
@@ -153,11 +155,13 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by
             own = "/".join(part.rstrip("/").split("/")[-len(partition_by):])
             _swap(spark, fs, part, f"{path.rstrip('/')}/{own}")
         fs.delete(source, True)
+        if mark:
+            fs.create(_fs(spark, f"{path.rstrip('/')}/{mark}")[1], True).close()
     else:
+        if mark:
+            fs.create(_fs(spark, f"{new}/{mark}")[1], True).close()
         table_exists(spark, path)
         _swap(spark, fs, new, path)
-    if mark:
-        fs.create(_fs(spark, f"{path.rstrip('/')}/{mark}")[1], True).close()
     return path
 
 

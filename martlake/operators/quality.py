@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlake.operators.metrics import RunMetrics
+
 
 def strict_cast(df: DataFrame, casts: Mapping[str, str], mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
     """Cast ``casts`` (column -> type) where a null or unparsable value is an error.
@@ -18,8 +20,7 @@ def strict_cast(df: DataFrame, casts: Mapping[str, str], mode: str = "quarantine
     behaviour), via ``raise_error`` inside the plan.
     """
     checks = {c: F.col(c).try_cast(t) for c, t in casts.items()}
-    failed = F.array_compact(F.array(*[F.when(v.isNull(), F.lit(c)) for c, v in checks.items()]))
-    tagged = df.withColumn("_error", failed)
+    tagged = df.withColumn("_error", _failed(checks))
     bad = F.size("_error") > 0
     if mode == "raise":
         msg = F.concat(F.lit("strict cast failed: "), F.array_join("_error", ","))
@@ -31,11 +32,36 @@ def strict_cast(df: DataFrame, casts: Mapping[str, str], mode: str = "quarantine
     return valid, quarantine
 
 
+def _failed(checks: Mapping[str, Column]) -> Column:
+    """Names of the columns whose checked value is null."""
+    return F.array_compact(F.array(*[F.when(v.isNull(), F.lit(c)) for c, v in checks.items()]))
+
+
+def split_sink(df: DataFrame, good: Column, path: str, metrics: RunMetrics | None = None,
+               stage: str = "split") -> tuple[DataFrame, DataFrame]:
+    """Write every row of ``df`` in one pass, into a table partitioned by whether ``good`` holds
+    (null: no), and return readers of the two parts. Nothing is evaluated twice and nothing is dropped;
+    ``metrics`` gets ``stage``, ``stage.accepted`` and ``stage.rejected``."""
+    tagged = df.withColumn("_good", F.coalesce(good, F.lit(False)))
+    flag = F.col("_good")
+    whole = (metrics or RunMetrics()).store(stage, tagged, path, ["_good"], accepted=flag, rejected=~flag)
+    return whole.filter(flag).drop("_good"), whole.filter(~flag).drop("_good")
+
+
+def strict_cast_sink(df: DataFrame, casts: Mapping[str, str], path: str, metrics: RunMetrics | None = None,
+                     stage: str = "cast") -> tuple[DataFrame, DataFrame]:
+    """:func:`strict_cast` with both parts written in one pass: (valid, quarantine) as readers of the table at
+    ``path``. It holds the rows as they came, so a quarantined row can be mended and loaded again."""
+    tagged = df.withColumn("_error", F.array_join(_failed({c: F.col(c).try_cast(t) for c, t in casts.items()}), ","))
+    good, bad = split_sink(tagged, F.col("_error") == "", path, metrics, stage)
+    return good.select(*[F.col(c).try_cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns]), bad
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per named stage as one small table (stage, rows).
 
-    Each count is one aggregation over its own plan; stages that share a
-    persisted parent reuse it."""
+    Each count is one aggregation over its own plan, which reads its inputs again. Where the
+    stages are written anyway, :class:`martlake.operators.metrics.RunMetrics` counts them in that pass."""
     out = None
     for name, df in stages.items():
         c = df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit(name).alias("stage"), "rows")

@@ -133,3 +133,24 @@ FROM pl GROUP BY GeneralFeedbackID, ID, Content""",
     "sentiment_distribution": _W + """
 SELECT Polarity, count(*) AS Aspects FROM pl WHERE Polarity IS NOT NULL GROUP BY Polarity""",
 }
+
+# A flaky extractor by row id: refused, cut off, answered on the second call, or answered at once.
+_FLAKY = _W + """,
+k AS (SELECT *, (GeneralFeedbackID // 4) % 1000 + ID AS k FROM mf),
+oc AS (SELECT *, CASE WHEN k % 11 = 0 THEN 'RuntimeError: model refused'
+                      WHEN k % 5 = 0 THEN 'unreadable response' END AS Error,
+              CASE WHEN k % 11 = 0 THEN 3 WHEN k % 7 = 0 THEN 2 ELSE 1 END AS Attempts FROM k)
+"""
+SQL["extraction_results"] = _FLAKY + """
+SELECT a.GeneralFeedbackID, a.ID, a.AspectCategory, array_to_string(terms, '|') AS Terms
+FROM asp a JOIN oc ON a.GeneralFeedbackID = oc.GeneralFeedbackID WHERE Error IS NULL"""
+SQL["extraction_failures"] = _FLAKY + """
+SELECT GeneralFeedbackID, ID, Error, CAST(Attempts AS BIGINT) AS Attempts FROM oc WHERE Error IS NOT NULL"""
+SQL["extraction_counts"] = _FLAKY + """
+SELECT 'extraction' AS stage, count(*) AS "rows" FROM oc
+UNION ALL SELECT 'extraction.accepted', count(*) FROM oc WHERE Error IS NULL
+UNION ALL SELECT 'extraction.rejected', count(*) FROM oc WHERE Error IS NOT NULL"""
+SQL["model_score_context"] = SQL["score_context"] + " WHERE AspectTerms IS NOT NULL"
+SQL["absa_json_roundtrip"] = SQL["absa_nested"].partition("SELECT GeneralFeedbackID, ID, Content,\n       CAST(to_json")[0] + """
+SELECT GeneralFeedbackID, ID, Content, CAST(row_number() OVER (PARTITION BY GeneralFeedbackID ORDER BY apos, tpos) - 1 AS INT) AS Position,
+       AspectCategory, AspectTerms, Polarity, DominantScore FROM pl"""

@@ -66,3 +66,7 @@ SELECT ProductID, coalesce(user_id, 0) AS UserID, review_id AS GeneralFeedbackID
 FROM rf
 WHERE ProductID IS NULL OR review_id IS NULL OR review_upvote IS NULL OR review_rating IS NULL""",
 }
+
+# The load writes the same rows, valid and rejected ones in one pass.
+SQL["detail_load"] = SQL["feedback_detail"]
+SQL["detail_quarantine"] = SQL["strict_cast_quarantine"]

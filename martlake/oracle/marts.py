@@ -3,6 +3,7 @@
 from martlake.oracle.feedback import _BASE as _FB_BASE
 from martlake.oracle.feedback import SQL as _FB
 from martlake.oracle.product import _DATED
+from martlake.oracle.product import SQL as _PRODUCT
 from martlake.sources.bindings import RAW_FEEDBACK_SQL, RAW_PRODUCT_SQL, with_bindings
 
 _P = with_bindings(RAW_PRODUCT_SQL, _DATED)
@@ -58,6 +59,10 @@ SQL = {
 SELECT 'extracted' AS stage, CAST(count(*) AS BIGINT) AS "rows" FROM raw_product
 UNION ALL SELECT 'transformed', count(*) FROM clean
 UNION ALL SELECT 'daily', count(*) FROM daily
+UNION ALL SELECT 'product_sale', count(*) FROM clean
+UNION ALL SELECT 'inventory', count(*) FROM raw_product
+UNION ALL SELECT 'pricing', count(*) FROM raw_product
+UNION ALL SELECT 'brand', count(DISTINCT brand_id) FROM raw_product
 UNION ALL SELECT 'product', count(*) FROM (
   SELECT *, row_number() OVER (PARTITION BY ProductID ORDER BY CreatedDate DESC NULLS LAST, sq) AS rn FROM clean)
   WHERE rn = 1 AND CreatedAt IS NOT NULL
@@ -86,6 +91,11 @@ SELECT ProductID, strftime(Day, '%Y-%m-%d') AS Day, QuantitySold,
             WHEN QuantitySold < prev THEN 'down' ELSE 'flat' END AS Direction,
        CAST(1 + floor(5.0 * CAST(QuantitySold - lo AS DOUBLE) / CAST(hi - lo + 1 AS DOUBLE)) AS INT) AS Heat
 FROM k""",
+    "kpi_heat": _P + """
+SELECT ProductID, strftime(Day, '%Y-%m-%d') AS Day, QuantitySold,
+       CAST(ntile(5) OVER (PARTITION BY Day ORDER BY QuantitySold, ProductID) AS INT) AS Heat FROM daily""",
+    "ordered_sale": _PRODUCT["product_sale"],
+    "incremental_bucketed": _FB["general_feedback"],
     # Every landing file merged once (append-distinct) = the distinct general-feedback rows.
     "incremental_upsert": _FB["general_feedback"],
 }

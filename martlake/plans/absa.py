@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.exprs import let, select_where
@@ -56,9 +56,14 @@ def scored_terms(parsed: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame]
         e = e.withColumn("scores", F.when(has, X.lexicon_scores(F.col("Context"))))
     else:
         e = X.batch_scores(e, "Context", scorer).withColumn("scores", F.when(has, F.col("scores")))
-    label, score = X.dominant(F.col("scores"))
-    e = e.withColumn("DominantLabel", F.when(has, label)).withColumn("DominantScore", F.when(has, score))
-    return e.withColumn("Polarity", F.when(has, X.polarity(F.col("DominantLabel"))))
+    e = e.withColumn("_s", F.when(has, X.sentiment(F.col("scores"))))
+    return e.select("*", "_s.DominantLabel", "_s.DominantScore", "_s.Polarity").drop("_s")
+
+
+def nest_scored(parsed: DataFrame) -> DataFrame:
+    """One row per review with its scored aspects in input order (the JSON result), by the default
+    scorer inside the array. :func:`nest` does the same for rows that a batch scorer has scored."""
+    return parsed.select("GeneralFeedbackID", "ID", "Content", X.score_aspects(F.col("Aspects"), F.col("Content")).alias("Aspects"))
 
 
 def nest(scored: DataFrame) -> DataFrame:
@@ -86,6 +91,16 @@ def aspects_json(nested: DataFrame) -> DataFrame:
                          F.to_json("Aspects", {"ignoreNullFields": "false"}).alias("Aspects"))
 
 
+#: The nested result's columns, as its sink writes and a reader expects them.
+NESTED = ("GeneralFeedbackID bigint, ID bigint, Content string, Aspects array<struct<AspectCategory:string, "
+          "AspectTerms:string, Polarity:string, DominantScore:double>>")
+
+
 def write_nested_json(nested: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Result sink: newline-delimited JSON, one review per line."""
-    nested.write.mode(mode).json(path)
+    """Result sink: newline-delimited JSON, one review per line, null fields kept."""
+    nested.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def read_nested_json(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_nested_json` wrote."""
+    return spark.read.schema(NESTED).json(path)

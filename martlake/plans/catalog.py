@@ -37,6 +37,10 @@ def _clean(spark, d):
     return prod.product_clean(_raw_product(spark, d), B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
 
 
+def _daily_values(spark, d):
+    return prod.daily_values(_raw_product(spark, d), B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
+
+
 @job("last_updated")
 def q_last_updated(spark, d):
     p = prod.with_dates(_raw_product(spark, d), B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
@@ -66,15 +70,13 @@ def q_daily_last_quantity(spark, d):
 
 @job("quantity_fluctuation")
 def q_quantity_fluctuation(spark, d):
-    from martlake.operators.snapshots import daily_last, day_change
-    daily = daily_last(_clean(spark, d), "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
-    ch = day_change(daily, "ProductID", "Day", "QuantitySold")
+    ch = prod.daily_change(_daily_values(spark, d))
     return ch.select("ProductID", date_text("Day").alias("Day"), "QuantitySold", "QuantityFluctuation")
 
 
 @job("product_sale")
 def q_product_sale(spark, d):
-    return prod.product_sale(_clean(spark, d))
+    return prod.product_sale_of(_daily_values(spark, d))
 
 
 @job("product_dim")
@@ -270,7 +272,91 @@ def q_sentiment_distribution(spark, d):
 @job("absa_nested")
 def q_absa_nested(spark, d):
     """One row per review; its aspects as the JSON array the result sink writes."""
-    return ab.aspects_json(ab.nest(_scored(spark, d)))
+    return ab.aspects_json(ab.nest_scored(_parsed(spark, d)))
+
+
+def _fresh(spark, name: str) -> str:
+    """A new folder of this run under the shared checkpoint folder."""
+    import uuid
+    from martlake.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@job("absa_json_roundtrip")
+def q_absa_json_roundtrip(spark, d):
+    """The nested result written by its JSON sink and read back, one row per scored term."""
+    path = _fresh(spark, "absa-json")
+    ab.write_nested_json(ab.nest_scored(_parsed(spark, d)), path)
+    back = ab.read_nested_json(spark, path)
+    return back.select("GeneralFeedbackID", "ID", "Content", F.posexplode("Aspects").alias("Position", "a")) \
+               .select("GeneralFeedbackID", "ID", "Content", "Position", "a.*")
+
+
+def flaky_extractor():
+    """An extractor as a remote model behaves, by row id: some rows always fail, some answer on a second call, some
+    answers are cut off or wrapped in prose. Its answers are those of the lexicon."""
+    import json
+    import pandas as pd
+    asked: set[int] = set()
+
+    def extract(batch):
+        out, new = [], set()
+        for gid, row, text in zip(batch["GeneralFeedbackID"], batch["ID"], batch["Content"]):
+            k = (gid >> 2) % 1000 + row
+            if k % 11 == 0:
+                raise RuntimeError("model refused")
+            aspects = [{"AspectCategory": c, "AspectTerms": [t for t in terms if t in text]} for c, terms in X.ASPECT_LEXICON.items()]
+            answer = json.dumps({"GeneralFeedbackID": int(gid), "ID": int(row), "Content": text, "Aspects": aspects}, ensure_ascii=False)
+            if k % 7 == 0 and gid not in asked:
+                new.add(gid)
+                answer = None
+            elif k % 5 == 0:
+                answer = answer[:-3]
+            elif k % 3 == 0:
+                answer = f"Here it is: {answer} Done."
+            out.append(answer)
+        asked.update(new)
+        return pd.Series(out, dtype=object)
+    return extract
+
+
+def _extraction(spark, d):
+    from martlake.operators.metrics import RunMetrics
+    m = RunMetrics()
+    outcomes = X.batch_outcomes(_meaningful(spark, d), flaky_extractor)
+    good, bad = X.settle_outcomes(outcomes, f"{_fresh(spark, 'extraction')}/outcomes", m)
+    return good, bad, m
+
+
+@job("extraction_results")
+def q_extraction_results(spark, d):
+    """Aspect terms of the responses from which a document was recovered."""
+    good, _, _ = _extraction(spark, d)
+    a = good.select("GeneralFeedbackID", "ID", F.explode("Aspects").alias("a"))
+    return a.select("GeneralFeedbackID", "ID", F.col("a.AspectCategory").alias("AspectCategory"),
+                    F.array_join(X.normalize_terms(F.col("a.AspectTerms")), "|").alias("Terms"))
+
+
+@job("extraction_failures")
+def q_extraction_failures(spark, d):
+    """Rows that got no usable response, with the error and the number of calls."""
+    _, bad, _ = _extraction(spark, d)
+    return bad.select("GeneralFeedbackID", "ID", F.col("error").alias("Error"), F.col("attempts").cast("bigint").alias("Attempts"))
+
+
+@job("extraction_counts")
+def q_extraction_counts(spark, d):
+    """How many rows were asked, succeeded and failed, counted while the outcomes were written."""
+    return _extraction(spark, d)[2].table(spark)
+
+
+@job("model_score_context")
+def q_model_score_context(spark, d):
+    """:func:`q_score_context` by a batch scorer that is loaded once per Python worker."""
+    e = X.explode_aspects(_parsed(spark, d)).filter(F.col("AspectTerms").isNotNull())
+    e = e.select("GeneralFeedbackID", "AspectCategory", "AspectTerms", X.context_window("Content", "AspectTerms").alias("Context"))
+    s = X.model_scores(e, "Context", X.LexiconScorer, "lexicon")
+    return s.select("GeneralFeedbackID", "AspectCategory", "AspectTerms", *[F.round(F.col("scores")[n], 6).alias(n) for n in X.LABELS])
 
 
 # ---------------------------------------------------- category, load, merge
@@ -304,25 +390,101 @@ def q_upsert_category(spark, d):
     return result.withColumnRenamed("_action", "Action")
 
 
+@job("upsert_bucketed")
+def q_upsert_bucketed(spark, d):
+    """:func:`q_upsert_category` into a table stored in buckets of its key, which no join shuffles."""
+    from martlake.operators.buckets import open_buckets, upsert_buckets
+    old, path = B.customer_existing(spark, d), _fresh(spark, "customers")
+    table = open_buckets(spark, f"customers_{path.rpartition('-')[2]}", path, old.schema, ["CustKey"], BUCKETS)
+    table.append(old)
+    return upsert_buckets(table, B.customer_incoming(spark, d)).withColumnRenamed("_action", "Action")
+
+
+#: Buckets of the stored tables in these jobs; a deployment chooses by the size of the table.
+BUCKETS = 16
+
+
 @job("insert_distinct")
 def q_insert_distinct(spark, d):
+    """Two loads appended to a table in buckets of the row digest; only the loads are shuffled."""
+    from martlake.operators import buckets as K
     first, second = B.sales_loads(spark, d)
-    result, _ = M.insert_distinct(first, second)
+    path = _fresh(spark, "sales")
+    table = K.open_distinct(spark, f"sales_{path.rpartition('-')[2]}", path, first.schema, BUCKETS)
+    K.append_distinct(table, first)
+    K.append_distinct(table, second)
+    return K.rows_of(table, spark)
+
+
+@job("first_load")
+def q_first_load(spark, d):
+    """A first load is stored as it comes, repeated rows too."""
+    result, _ = M.insert_distinct(None, B.sales_loads(spark, d)[0])
     return result
 
 
+def _category_load(spark, d):
+    from martlake.plans.loads import load_category
+    menu, pages = B.broken_category_landing(spark, d)
+    parts = B.read_table(spark, d, "part").filter("p_partkey % 50 = 0").select((F.col("p_partkey") * 10 + 5).cast("string"))
+    menu_docs = S.parse(menu, "json", S.MENU).select("body")
+    page_docs = S.parse(pages, "json", S.CATEGORY_PAGE).select("parent_id", "body")
+    return load_category(menu_docs, page_docs, parts.unionByName(spark.createDataFrame([(g,) for g in GROUPS], parts.schema)),
+                         _fresh(spark, "category-load"))
+
+
+@job("category_load")
+def q_category_load(spark, d):
+    """Responses -> tree -> repaired hierarchy -> strict casts -> the four dimensions, as one load."""
+    return H.dimensions_long(_category_load(spark, d)[0])
+
+
+@job("category_quarantine")
+def q_category_quarantine(spark, d):
+    """What the strict casts of the category load reject: groups whose pages list no master."""
+    return _category_load(spark, d)[1].select("GroupID", "GroupName", "MasterCategoryID", F.col("_error").alias("Error"))
+
+
+def _reference_load(spark, d):
+    from martlake.plans.loads import load_reference
+    return load_reference(S.parse(B.broken_listing_pages(spark, d), "json", S.LISTING_PAGE), _fresh(spark, "reference-load"))
+
+
+@job("reference_load")
+def q_reference_load(spark, d):
+    """Listing responses -> reference ids -> distinct -> strict casts -> one commit of the whole table."""
+    return _reference_load(spark, d)[0]
+
+
+@job("reference_quarantine")
+def q_reference_quarantine(spark, d):
+    """Reference rows without a usable id."""
+    return _reference_load(spark, d)[1].select("ReferenceID", "SubCategoryID", "ProductID", "BrandName", F.col("_error").alias("Error"))
+
+
+@job("detail_load")
+def q_detail_load(spark, d):
+    """Raw reviews -> strict casts -> FeedbackDetail, valid and rejected rows written in one pass."""
+    from martlake.plans.loads import load_detail
+    return load_detail(_raw_feedback(spark, d), _fresh(spark, "detail-load"))[0]
+
+
+@job("detail_quarantine")
+def q_detail_quarantine(spark, d):
+    from martlake.plans.loads import load_detail
+    return load_detail(_raw_feedback(spark, d), _fresh(spark, "detail-load"))[1]
+
+
 @job("reference_product")
 def q_reference_product(spark, d):
     """Listing -> ReferenceProduct, loaded by full overwrite (twice, as two
     scheduled refreshes would: the second replaces the first, nothing doubles)."""
-    import uuid
-    from martlake.operators.merge import overwrite_table
-    from martlake.session import scratch_path
+    from martlake.operators.commit import commit, read_committed
     valid, _ = cat.reference_product(B.listing(spark, d))
-    path = scratch_path(spark, f"reference-product-{uuid.uuid4().hex}")
+    path = _fresh(spark, "reference-product")
     for _ in range(2):
-        overwrite_table(valid, path)
-    return spark.read.parquet(path)
+        commit(valid, path)
+    return read_committed(spark, path)
 
 
 @job("brand_filter")
@@ -395,18 +557,15 @@ def q_csv_roundtrip(spark, d):
 
 # ------------------------------------------------------ metrics and marts
 from martlake.operators import marts as MT  # noqa: E402
-from martlake.operators.quality import quality_report, stage_counts  # noqa: E402
+from martlake.operators.quality import quality_report  # noqa: E402
 
 
 @job("run_metrics")
 def q_run_metrics(spark, d):
-    """Row counts at each stage of the product load."""
-    from martlake.operators.snapshots import daily_last
-    raw = _raw_product(spark, d)
-    clean = prod.product_clean(raw, B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
-    daily = daily_last(clean, "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
-    return stage_counts({"extracted": raw, "transformed": clean, "daily": daily,
-                         "product": prod.product_dim(clean), "seller": prod.seller_dim(raw)})
+    """Rows of each stage and table of the product load, counted while they are written."""
+    from martlake.plans.loads import load_product
+    _, metrics = load_product(_raw_product(spark, d), _fresh(spark, "product-load"), B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
+    return metrics.table(spark)
 
 
 @job("dq_report")
@@ -437,8 +596,7 @@ def q_price_change(spark, d):
 
 @job("kpi_direction")
 def q_kpi_direction(spark, d):
-    from martlake.operators.snapshots import daily_last
-    daily = daily_last(_clean(spark, d), "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
+    daily = _daily_values(spark, d).filter("last").select("ProductID", "Day", "QuantitySold")
     return MT.kpi_direction(daily, "ProductID", "QuantitySold").withColumn("Day", date_text("Day"))
 
 
@@ -456,3 +614,57 @@ def q_incremental_upsert(spark, d):
         run_incremental(spark, f"{base}/landing", rows.schema, f"{base}/target", f"{base}/checkpoint",
                         max_files_per_trigger=1)
     return spark.read.parquet(f"{base}/target")
+
+
+@job("incremental_bucketed")
+def q_incremental_bucketed(spark, d):
+    """:func:`q_incremental_upsert` into a table in buckets of the row digest: micro-batches are shuffled, the table is not."""
+    from martlake.streaming.incremental import append_buckets, run_incremental
+    base = _fresh(spark, "incremental-bucketed")
+    rows = fb.general_feedback_rows(_raw_feedback(spark, d), B.AS_OF, B.FEEDBACK_TZ_OFFSET_HOURS)
+    rows.repartition(4, "GeneralFeedbackID").write.parquet(f"{base}/landing")
+
+    def twice(batch, number):  # each micro-batch arrives again, as after a failure
+        for _ in range(2):
+            append_buckets(batch, f"{base}/target", BUCKETS)
+
+    run_incremental(spark, f"{base}/landing", rows.schema, f"{base}/target", f"{base}/checkpoint", max_files_per_trigger=1, merge=twice)
+    return spark.read.schema(rows.schema).parquet(f"{base}/target")
+
+
+@job("streaming_upsert")
+def q_streaming_upsert(spark, d):
+    """Three landings are upserted one micro-batch after the other into a stored table with a column of its own and
+    duplicated keys; each micro-batch is delivered twice. Null keys, duplicate keys, one commit each."""
+    from martlake.operators.commit import commit, read_committed
+    from martlake.streaming.incremental import merge_committed, run_incremental
+    base = _fresh(spark, "streaming-upsert")
+    old = B.customer_existing(spark, d)
+    commit(old.drop("_seq"), f"{base}/target")
+
+    def twice(batch, number):
+        for _ in range(2):
+            merge_committed(batch, f"{base}/target", ["CustKey"], "customers", number, order=["Name"])
+
+    for batch in B.customer_batches(spark, d):  # a run takes what has landed since the last one
+        batch.write.mode("append").parquet(f"{base}/landing")
+        run_incremental(spark, f"{base}/landing", batch.schema, f"{base}/target", f"{base}/checkpoint", merge=twice)
+    return read_committed(spark, f"{base}/target")
+
+
+@job("kpi_heat")
+def q_kpi_heat(spark, d):
+    """Heat of a product's day: fifths of the day's products by quantity, ties by product id."""
+    from martlake.operators.rank import ntile
+    daily = _daily_values(spark, d).filter("last").select("ProductID", "Day", "QuantitySold")
+    out = ntile(daily, 5, ["Day"], ["QuantitySold", "ProductID"], "Heat")
+    return out.withColumn("Day", date_text("Day"))
+
+
+@job("ordered_sale")
+def q_ordered_sale(spark, d):
+    """The sale table written in global order (product, then date) and read back."""
+    from martlake.sources.ordered import write_ordered
+    path = _fresh(spark, "ordered-sale")
+    write_ordered(q_product_sale(spark, d), path, ["ProductID", "LastUpdated", "QuantitySold"])
+    return spark.read.parquet(path)

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.functions.exprs import concat_id
 from martlake.operators.hierarchy import collapse_single_category, dimensions_long, fill_levels, split_dimensions
 from martlake.operators.quality import strict_cast
 
@@ -29,10 +28,16 @@ def category_dimensions_long(raw: DataFrame) -> DataFrame:
     return dimensions_long(category_dimensions(raw))
 
 
+REFERENCE_CASTS = {"ReferenceID": "bigint", "SubCategoryID": "bigint", "ProductID": "bigint"}
+
+
+def reference_rows(listing: DataFrame) -> DataFrame:
+    """Distinct (ReferenceID = sub-category id || product id as text, ids, brand), the ids not yet cast."""
+    return listing.select(F.concat(F.col("sub_category_id").cast("string"), F.col("product_id").cast("string")).alias("ReferenceID"),
+                          F.col("sub_category_id").alias("SubCategoryID"), F.col("product_id").alias("ProductID"),
+                          F.col("brand_name").alias("BrandName")).distinct()
+
+
 def reference_product(listing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Listing rows -> (ReferenceID = sub-category id || product id, ids,
-    brand) -> distinct -> strict id casts. Returns (valid, quarantine)."""
-    r = listing.select(concat_id("sub_category_id", "product_id").alias("ReferenceID"),
-                       F.col("sub_category_id").alias("SubCategoryID"), F.col("product_id").alias("ProductID"),
-                       F.col("brand_name").alias("BrandName")).distinct()
-    return strict_cast(r, {"ReferenceID": "bigint", "SubCategoryID": "bigint", "ProductID": "bigint"})
+    """:func:`reference_rows` with strict id casts. Returns (valid, quarantine)."""
+    return strict_cast(reference_rows(listing), REFERENCE_CASTS)

@@ -67,18 +67,26 @@ def general_feedback_rows(raw: DataFrame, as_of: str, tz_offset_hours: int = DEF
     return g
 
 
-def detail_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Conformed detail rows and the quarantine of rows failing a strict cast.
+def detail_columns(raw: DataFrame) -> DataFrame:
+    """The detail columns of raw review rows, before the strict casts.
 
     Title/Content stay null when missing (not the text 'nan')."""
-    d = raw.select(
+    return raw.select(
         F.col("ProductID"), zero_if_null(F.col("user_id")).alias("UserID"),
         F.col("review_id").alias("GeneralFeedbackID"), F.col("review_title").cast("string").alias("Title"),
         F.col("review_content").cast("string").alias("Content"), F.col("review_upvote").alias("Upvote"),
         F.col("review_rating").alias("Rating"), F.col("review_created_at").alias("CreatedDate"), SEQ)
-    valid, quarantine = strict_cast(d, DETAIL_STRICT)
-    valid = valid.withColumn("CreatedDate", epoch_to_text(F.col("CreatedDate").try_cast("bigint")))
-    return distinct_rows(valid), quarantine
+
+
+def detail_versions(valid: DataFrame) -> DataFrame:
+    """Distinct conformed detail rows of the rows that passed the casts."""
+    return distinct_rows(valid.withColumn("CreatedDate", epoch_to_text(F.col("CreatedDate").try_cast("bigint"))))
+
+
+def detail_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conformed detail rows and the quarantine of rows failing a strict cast."""
+    valid, quarantine = strict_cast(detail_columns(raw), DETAIL_STRICT)
+    return detail_versions(valid), quarantine
 
 
 def unmasked_content(raw: DataFrame) -> DataFrame:
@@ -88,22 +96,31 @@ def unmasked_content(raw: DataFrame) -> DataFrame:
     return least_masked(valid, DETAIL_KEYS, "Content")
 
 
-def feedback_detail_rows(raw: DataFrame) -> DataFrame:
-    """Least-masked rows, first per review in (product, user, created) order;
-    the detail table without its ordinal id (enough for aggregates)."""
-    a6 = unmasked_content(raw).drop(SEQ)
+def one_per_review(versions: DataFrame) -> DataFrame:
+    """Least-masked rows, first per review in (product, user, created) order."""
+    a6 = least_masked(versions, DETAIL_KEYS, "Content").drop(SEQ)
     return keep_first(a6, ["GeneralFeedbackID"], [F.col("ProductID"), F.col("UserID"), F.col("CreatedDate")])
 
 
-def feedback_detail(raw: DataFrame, run_id: str | None = None) -> DataFrame:
-    """:func:`feedback_detail_rows` plus a dense FeedbackDetailID in
+def feedback_detail_rows(raw: DataFrame) -> DataFrame:
+    """The detail table without its ordinal id (enough for aggregates)."""
+    return one_per_review(detail_rows(raw)[0])
+
+
+def detail_table(versions: DataFrame, run_id: str | None = None) -> DataFrame:
+    """:func:`one_per_review` plus a dense FeedbackDetailID in
     (product, user, review, created) order."""
-    out = dense_id(feedback_detail_rows(raw), [F.col(c) for c in DETAIL_KEYS], "FeedbackDetailID")
+    out = dense_id(one_per_review(versions), [F.col(c) for c in DETAIL_KEYS], "FeedbackDetailID")
     out = out.select("FeedbackDetailID", "ProductID", "UserID", "GeneralFeedbackID", "Title", "Content",
                      "Upvote", "Rating", "CreatedDate")
     return tag_run(out, run_id)
 
 
+def feedback_detail(raw: DataFrame, run_id: str | None = None) -> DataFrame:
+    """:func:`detail_table` of raw review rows."""
+    return detail_table(detail_rows(raw)[0], run_id)
+
+
 def detail_quarantine(raw: DataFrame) -> DataFrame:
     """Rows the strict casts reject, with the failing columns named."""
     _, q = detail_rows(raw)

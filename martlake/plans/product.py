@@ -3,11 +3,11 @@ Pricing, Brand and Seller tables (exact step order of the daily load)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlake.functions.exprs import (
-    date_text, nan_if_null, reference_time, ts_text, with_prefix, zero_float_if_null, zero_if_null,
+    date_text, minus_days, nan_if_null, reference_time, ts_text, with_prefix, zero_float_if_null, zero_if_null,
 )
 from martlake.operators.dedup import drop_marked_duplicates
 from martlake.operators.order import SEQ, dense_id, distinct_rows, keep_first, tag_run
@@ -64,6 +64,43 @@ def product_dim(clean: DataFrame) -> DataFrame:
     return first.select(*[F.col(c) for c in PRODUCT_COLUMNS[:-1]], ts_text("CreatedAt").alias("CreatedAt"))
 
 
+def daily_values(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
+    """What the daily rules need of the cleaned rows, from one scan of the raw rows:
+    (ProductID, QuantitySold, LastUpdated, Day, last: whether the quantity is the day's last one, n: cleaned rows like this).
+
+    The dates of a row follow from its product and its days ago alone, so the distinct rows are counted per (product, days ago,
+    quantity) first. That table has a row per value and not per snapshot, and the product's maximum, the day's last
+    quantity and the day before are windows over it."""
+    p = conform_product(raw)
+    own = [c for c in p.columns if c != SEQ]
+    d = p.groupBy(*own).agg(F.min(SEQ).alias(SEQ))
+    sold = F.col("SellerID") != 0
+    v = d.groupBy("ProductID", "CreatedDate", "QuantitySold").agg(
+        F.count_if(sold).alias("n"), F.max(F.when(sold, F.col(SEQ))).alias(SEQ))
+    back = F.max("CreatedDate").over(Window.partitionBy("ProductID")) - F.col("CreatedDate")
+    v = v.withColumn("LastUpdated", minus_days(reference_time(as_of, tz_offset_hours), back)).filter("n > 0")
+    v = v.withColumn("Day", F.to_date("LastUpdated"))
+    newest = Window.partitionBy("ProductID", "Day").orderBy(F.col("LastUpdated").desc(), F.col(SEQ).desc())
+    return v.withColumn("last", (F.row_number().over(newest) == 1) & F.col("Day").isNotNull()).drop(SEQ, "CreatedDate")
+
+
+def daily_change(values: DataFrame) -> DataFrame:
+    """(ProductID, Day, QuantitySold, QuantityFluctuation): the daily last quantities and their changes."""
+    return day_change(values.filter("last").select("ProductID", "Day", "QuantitySold"), "ProductID", "Day", "QuantitySold")
+
+
+def product_sale_of(values: DataFrame) -> DataFrame:
+    """:func:`product_sale` from :func:`daily_values`: each cleaned row with its day's change."""
+    days = Window.partitionBy("ProductID").orderBy(F.unix_date("Day")).rangeBetween(Window.unboundedPreceding, -1)
+    today = F.max(F.when(F.col("last"), F.col("QuantitySold"))).over(Window.partitionBy("ProductID", "Day"))
+    before = F.last(F.when(F.col("last"), F.col("QuantitySold")), ignorenulls=True).over(days)
+    v = values.withColumn("_today", today).withColumn("_before", before)
+    change = F.greatest(F.coalesce(F.col("_today") - F.col("_before"), F.col("_today")), F.lit(0))
+    change = F.when(F.col("Day").isNull(), F.lit(0)).otherwise(change).cast("bigint")
+    return v.select("ProductID", "QuantitySold", change.alias("QuantityFluctuation"), date_text("LastUpdated").alias("LastUpdated"),
+                    F.explode(F.array_repeat(F.lit(True), F.col("n").cast("int"))).alias("_row")).drop("_row")
+
+
 def product_sale(clean: DataFrame) -> DataFrame:
     """Each clean row with the day-over-day change of its product's daily last
     quantity; rows without a date get change 0."""

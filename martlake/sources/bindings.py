@@ -22,7 +22,7 @@ AS_OF = "2002-01-01 00:00:00"          # "now" of the run; after the last l_ship
 AS_OF_DATE = "2002-01-01"
 PRODUCT_TZ_OFFSET_HOURS = 7            # product tables: now + 7 h
 FEEDBACK_TZ_OFFSET_HOURS = 0           # general feedback: now, no offset
-LINE_ID_FACTOR = 1 << 31             # GeneralFeedbackID of a text line = doc_id * factor + line position
+LINE_ID_FACTOR = 1 << 31             # GeneralFeedbackID of a text = row id * factor + 4 * position + source
 
 
 def _fmt_ts(c: Column) -> Column:
@@ -210,28 +210,49 @@ raw_category AS (
 
 # ------------------------------------------------------------------ raw_text
 def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ABSA input (GeneralFeedbackID, ID, Content): every line of every document
-    (ID = the source document). Whole documents are split on newline; no line
-    is dropped or truncated."""
+    """ABSA input (GeneralFeedbackID, ID, Content): every line of every document, every conversation turn and
+    every page's HTML; nothing is dropped or truncated. ID is the source row's id, the last two bits of
+    GeneralFeedbackID name the source.
+
+    The tables hold no hashtags, phone numbers or opinions, so turns get some by their position: a shopper's
+    words on a quality or a delivery, a hashtag, and the three spellings of a phone number."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     x = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    gid = (F.col("doc_id") * LINE_ID_FACTOR + F.col("pos")).cast("bigint")
-    return x.select(
-        gid.alias("GeneralFeedbackID"),
-        F.col("doc_id").alias("ID"),
-        F.col("line").alias("Content"),
-        gid.alias("_seq"),
-    )
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    k = F.col("conv_id") + F.col("turn")
+    said = F.concat(
+        F.col("text"),
+        F.when(k % 3 == 0, F.lit(" quality good, great")).when(k % 3 == 1, F.lit(" delivery bad, late")).otherwise(F.lit("")),
+        F.when(k % 4 == 0, F.lit(" #thẻ")).otherwise(F.lit("")),
+        F.when(k % 5 == 0, F.lit(" 0912345678")).when(k % 5 == 1, F.lit(" gọi+84912345678"))
+         .when(k % 5 == 2, F.lit(" 84912345678.")).otherwise(F.lit("")))
+    p = read_table(spark, sf_dir, "pages").select("page_id", "html")
+
+    def rows(df, key: str, pos: Column, source: int, text: Column):
+        gid = (F.col(key) * LINE_ID_FACTOR + pos * 4 + source).cast("bigint")
+        return df.select(gid.alias("GeneralFeedbackID"), F.col(key).alias("ID"), text.alias("Content"), gid.alias("_seq"))
+
+    return (rows(x, "doc_id", F.col("pos"), 0, F.col("line"))
+            .unionByName(rows(c, "conv_id", F.col("turn"), 1, said))
+            .unionByName(rows(p, "page_id", F.lit(0), 2, F.col("html"))))
 
 
 REVIEW_TEXT_SQL = f"""
 review_text AS (
-  SELECT CAST(doc_id * {LINE_ID_FACTOR} + pos AS BIGINT) AS GeneralFeedbackID, doc_id AS ID, line AS Content
+  SELECT CAST(doc_id * {LINE_ID_FACTOR} + pos * 4 AS BIGINT) AS GeneralFeedbackID, doc_id AS ID, line AS Content
   FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
            generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
     FROM documents
   )
+  UNION ALL
+  SELECT CAST(conv_id * {LINE_ID_FACTOR} + turn * 4 + 1 AS BIGINT), conv_id,
+         text || CASE (conv_id + turn) % 3 WHEN 0 THEN ' quality good, great' WHEN 1 THEN ' delivery bad, late' ELSE '' END
+         || CASE WHEN (conv_id + turn) % 4 = 0 THEN ' #thẻ' ELSE '' END
+         || CASE (conv_id + turn) % 5 WHEN 0 THEN ' 0912345678' WHEN 1 THEN ' gọi+84912345678' WHEN 2 THEN ' 84912345678.' ELSE '' END
+  FROM conversations
+  UNION ALL
+  SELECT CAST(page_id * {LINE_ID_FACTOR} + 2 AS BIGINT), page_id, html FROM pages
 )"""
 
 
@@ -425,3 +446,69 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(F.struct(F.col("_pages").cast("int").alias("last_page")).alias("paging"),
                     stars.alias("stars"), F.col("n").cast("bigint").alias("reviews_count"), "data")
     return g.select(F.col("ProductID").alias("product_id"), "page", F.to_json(body).alias("json"))
+
+
+# ------------------------------------------------------- rows that casts reject
+def broken_category_landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`category_landing` as a bad day leaves it: for every 50th part, one more group whose page lists nothing
+    (its row has no master, so the id casts reject it)."""
+    menu, pages = category_landing(spark, sf_dir)
+    p = read_table(spark, sf_dir, "part").filter("p_partkey % 50 = 0")
+    gid = F.col("p_partkey") * 10 + 5
+    item = F.struct(F.concat(F.lit("/danh-muc/c"), gid.cast("string")).alias("link"), F.concat(F.lit("E"), gid.cast("string")).alias("text"))
+    more = p.agg(F.collect_list(item).alias("items")).select(F.to_json(F.struct(F.struct("items").alias("menu_block"))).alias("json"))
+    none = p.select(gid.cast("bigint").alias("parent_id"), F.lit(1).cast("bigint").alias("page"), F.lit('{"data":[]}').alias("json"))
+    return menu.unionByName(more), pages.unionByName(none)
+
+
+def broken_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`listing_pages` and, for every 40th part, a page of a category whose id is so long that the
+    reference id overflows, and one item without an id."""
+    good = listing_pages(spark, sf_dir)
+    p = read_table(spark, sf_dir, "part").filter("p_partkey % 40 = 0")
+    items = F.array(F.struct(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand_name")),
+                    F.struct(F.lit(None).cast("bigint").alias("id"), F.col("p_brand").alias("brand_name")))
+    body = F.struct(F.struct(F.lit(1).alias("last_page")).alias("paging"), items.alias("data"))
+    bad = p.select((F.lit(9000000000000000000) + F.col("p_partkey")).alias("category_id"), F.lit(1).cast("bigint").alias("page"),
+                   F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+    return good.unionByName(bad)
+
+
+BROKEN_LISTING_SQL = """
+broken_listing AS (
+  SELECT * FROM listing
+  UNION ALL SELECT 9000000000000000000 + p_partkey, p_partkey, p_brand FROM part WHERE p_partkey % 40 = 0
+  UNION ALL SELECT 9000000000000000000 + p_partkey, NULL, p_brand FROM part WHERE p_partkey % 40 = 0)"""
+
+
+# ------------------------------------------------------------- staged upserts
+def customer_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three loads of the customer table, to be merged in this order: updates and inserts of half the keys, of the other
+    half, and a last one that changes keys of both, some twice. Every 11th key is missing, and balances are."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    key = F.when(k % 11 == 0, F.lit(None).cast("bigint")).otherwise(k * 2)
+
+    def load(rows: Column, name: Column, balance: Column, segment: Column, source: str) -> DataFrame:
+        return c.filter(rows).select(key.alias("CustKey"), name.alias("Name"), balance.cast("double").alias("AcctBal"),
+                                     segment.cast("string").alias("Segment"), F.lit(source).alias("Source"))
+
+    seen = F.col("c_mktsegment")
+    missing = F.when(k % 3 != 0, F.col("c_acctbal") + 1.0)
+    last = load(k % 5 == 0, F.lower("c_name"), F.lit(None), F.when(k % 2 == 0, F.lit("LAST")), "load-3")
+    twice = load(k % 35 == 0, F.concat("c_name", F.lit(" again")), F.col("c_acctbal") + 2.0, F.lit(None), "load-3b")
+    return [load(k % 2 == 0, F.upper("c_name"), missing, seen, "load-1"), load(k % 2 == 1, F.upper("c_name"), missing, seen, "load-2"),
+            last.unionByName(twice)]
+
+
+_KEY = "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey * 2 END AS CustKey"
+_MISSING = "CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal + 1.0 END AS AcctBal"
+CUSTOMER_BATCHES_SQL = f"""
+batch_1 AS (SELECT {_KEY}, upper(c_name) AS Name, {_MISSING}, c_mktsegment AS Segment, 'load-1' AS Source
+            FROM customer WHERE c_custkey % 2 = 0),
+batch_2 AS (SELECT {_KEY}, upper(c_name) AS Name, {_MISSING}, c_mktsegment AS Segment, 'load-2' AS Source
+            FROM customer WHERE c_custkey % 2 = 1),
+batch_3 AS (SELECT {_KEY}, lower(c_name) AS Name, CAST(NULL AS DOUBLE) AS AcctBal,
+                   CASE WHEN c_custkey % 2 = 0 THEN 'LAST' END AS Segment, 'load-3' AS Source FROM customer WHERE c_custkey % 5 = 0
+            UNION ALL
+            SELECT {_KEY}, c_name || ' again', c_acctbal + 2.0, NULL, 'load-3b' FROM customer WHERE c_custkey % 35 = 0)"""

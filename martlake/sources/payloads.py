@@ -74,19 +74,22 @@ def group_id_from_link(link) -> Column:
     return F.substring(F.element_at(F.split(link, "/"), -1), 2, 1 << 30)
 
 
-def flatten_category_tree(menu: DataFrame, pages: DataFrame, groups: Sequence[str]) -> DataFrame:
+def flatten_category_tree(menu: DataFrame, pages: DataFrame, groups: Sequence[str] | DataFrame) -> DataFrame:
     """Menu + category responses -> one row per (group, master, category, sub).
 
     ``menu``: rows with ``body`` (MENU). ``pages``: rows (parent_id, body
     CATEGORY_PAGE), several pages per parent allowed. Groups are kept when their
-    id is in ``groups``. A parent whose response lists no children yields one
+    id is in ``groups`` (ids, or a table whose first column holds them). A parent whose response lists no children yields one
     row with the lower levels null; a parent with no response at all (the
     request failed) yields nothing. Three joins against the response table,
     which is as large as the category tree, not the data."""
     g = (menu.select(F.explode("body.menu_block.items").alias("it"))
-             .select(group_id_from_link("it.link").alias("gid"), F.col("it.text").alias("GroupName"))
-             .filter(F.col("gid").isin(list(groups)))
-             .select(F.col("gid").cast("bigint").alias("GroupID"), "GroupName"))
+             .select(group_id_from_link("it.link").alias("gid"), F.col("it.text").alias("GroupName")))
+    if isinstance(groups, DataFrame):
+        g = g.join(groups.select(F.col(groups.columns[0]).cast("string").alias("gid")), "gid", "left_semi")
+    else:
+        g = g.filter(F.col("gid").isin(list(groups)))
+    g = g.select(F.col("gid").cast("bigint").alias("GroupID"), "GroupName")
     # A body that does not parse has no ``data``: a failed request.
     kids = pages.filter("body.data is not null").select("parent_id", F.explode_outer("body.data").alias("c")) \
                 .select("parent_id", F.col("c").isNull().alias("none"), F.col("c.id").alias("cid"), F.col("c.name").alias("cname"))

@@ -8,7 +8,10 @@ nothing twice:
 * ``append-distinct``: only rows not yet in the target (null-safe anti join)
   are appended;
 * ``upsert``: the keyed null-aware upsert writes a new table beside the target, swaps the two,
-  and records the micro-batch in it; a recorded micro-batch is skipped.
+  and records the micro-batch in it; a recorded micro-batch is skipped;
+* :func:`merge_committed` upserts into a table of :mod:`martlake.operators.commit`, where the new rows, all partitions
+  that change and the record of the micro-batch become visible by one commit;
+* :func:`append_buckets` is ``append-distinct`` into a table in buckets, which shuffles the micro-batch only.
 
 Offsets and the list of processed files live in the stream checkpoint, which
 must be on shared storage (by default under ``spark.checkpoint.dir``).
@@ -17,12 +20,14 @@ must be on shared storage (by default under ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martlake.operators.buckets import append_distinct, open_distinct
+from martlake.operators.commit import commit, head, read_committed
 from martlake.operators.merge import new_rows, overwrite_table, table_exists, upsert
 from martlake.operators.order import SEQ
 
@@ -103,19 +108,61 @@ def merge_batch(batch: DataFrame, target: str, mode: str = "append-distinct",
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def _row_order():
+    """The order of stored rows: by file, then place in it."""
+    return F.struct("_metadata.file_modification_time", "_metadata.file_name", "_metadata.row_index")
+
+
+def merge_committed(batch: DataFrame, target: str, keys: Sequence[str], stream: str, number: int,
+                    partition_by: Sequence[str] = (), order: Sequence[str] = ()) -> dict:
+    """Upsert micro-batch ``number`` of ``stream`` into the committed table ``target``: one commit holds the result and the
+    mark, so a replay finds its mark and changes nothing, and a stop leaves both out.
+
+    With ``partition_by`` (part of the keys) only the partitions that the batch names are read and replaced, all by that
+    commit. Stored rows of one key collapse to the last by ``order`` (by file and place in it if not given). Returns the counts ``updated``, ``inserted`` and ``kept``, observed while the result is written."""
+    spark, parts = batch.sparkSession, list(partition_by)
+    if not set(parts) <= set(keys):
+        raise ValueError("partition columns must be part of the upsert keys")
+    base = head(spark, target)
+    if base and base.marks.get(stream, -1) >= number:
+        return {"updated": 0, "inserted": 0, "kept": 0}
+    obs, act = Observation(), F.col("_action")
+    if base is None:
+        result = batch.withColumn("_action", F.lit("insert"))
+    else:
+        existing = read_committed(spark, target, base)
+        seq = F.struct(*order) if order else _row_order() if base.folders else F.lit(0)
+        existing = existing.withColumn(SEQ, seq)
+        if parts:
+            existing = touched_partitions(existing, batch, parts)
+        result, _ = upsert(existing, batch, list(keys))
+    result = result.observe(obs, *[F.count_if(act == a).alias(n) for a, n in
+                                   (("update", "updated"), ("insert", "inserted"), ("keep", "kept"))])
+    commit(result.drop("_action"), target, parts, replace=not parts, mark=(stream, number), base=base)
+    return {n: int(obs.get.get(n) or 0) for n in ("updated", "inserted", "kept")}
+
+
+def append_buckets(batch: DataFrame, target: str, buckets: int) -> None:
+    """Append the rows of a micro-batch that the bucketed table at ``target`` does not have."""
+    name = f"distinct_{hashlib.sha256(target.encode()).hexdigest()[:16]}"
+    append_distinct(open_distinct(batch.sparkSession, name, target, batch.schema, buckets), batch)
+
+
 def run_incremental(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
                     mode: str = "append-distinct", keys: Sequence[str] | None = None,
                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                    partition_by: Sequence[str] | None = None) -> None:
+                    partition_by: Sequence[str] | None = None,
+                    merge: Callable[[DataFrame, int], object] | None = None) -> None:
     """Process every landing file not processed before, then stop
-    (``trigger(availableNow=True)``): a scheduled incremental load."""
+    (``trigger(availableNow=True)``): a scheduled incremental load. ``merge`` takes each micro-batch and its
+    number in place of :func:`merge_batch`; it must bear being called again with the same ones."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source)
     stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     q = (stream.writeStream
-               .foreachBatch(lambda df, n: merge_batch(df, target, mode, keys, partition_by, f"{stream_id}-{n}"))
+               .foreachBatch(merge or (lambda df, n: merge_batch(df, target, mode, keys, partition_by, f"{stream_id}-{n}")))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True)
                .start())

@@ -100,3 +100,64 @@ def test_review_without_aspects_and_list_like_term(spark):
                                "GeneralFeedbackID bigint, ID bigint, Content string, Aspects array<struct<AspectCategory:string,AspectTerms:string>>")
     got = {r.GeneralFeedbackID: r.Aspects for r in ab.nest(ab.scored_terms(df)).collect()}
     assert got[1] == [] and [a.AspectTerms for a in got[2]] == ["[x"]
+
+
+def test_outcomes_keep_every_row(spark, tmp_path):
+    """Rows at fault stand alone, others of their batch are answered; retries ask failed rows only."""
+    from martlake.operators.metrics import RunMetrics
+    answer = _doc(0, [])
+
+    def load():
+        seen = set()
+
+        def extract(batch):
+            new, out = set(), []
+            for i in batch["GeneralFeedbackID"]:
+                if i == 3:
+                    raise KeyError("three")
+                if i == 4 and i not in seen:
+                    new.add(i)
+                    out.append(None)
+                else:
+                    out.append({5: "no json", 6: None}.get(i, answer.replace('"ID": 0', f'"ID": {i}')))
+            seen.update(new)
+            return pd.Series(out, dtype=object)
+        return extract
+
+    r = spark.createDataFrame([(i, i, "text") for i in range(1, 9)], "GeneralFeedbackID bigint, ID bigint, Content string").coalesce(1)
+    m = RunMetrics()
+    good, bad = X.settle_outcomes(X.batch_outcomes(r, load), str(tmp_path / "o"), m)
+    assert [x[0] for x in rows(good.select("ID"))] == [1, 2, 4, 7, 8]
+    assert rows(bad.select("GeneralFeedbackID", "error", "attempts")) == [
+        (3, "KeyError: 'three'", 3), (5, X.UNREADABLE, 1), (6, X.NO_RESPONSE, 3)]
+    assert m.counts() == {"extraction": 8, "extraction.accepted": 5, "extraction.rejected": 3}
+    short = X.batch_outcomes(r, lambda: lambda b: pd.Series([], dtype=object), attempts=1)
+    assert {x["error"] for x in short.collect()} == {"ValueError: 0 responses for 1 rows"}
+    assert X.batch_outcomes(r.limit(0), load).collect() == []
+
+
+def test_a_model_is_loaded_once_per_worker(spark, tmp_path):
+    import os
+    folder = str(tmp_path)
+
+    def load():
+        import uuid
+        open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return X.LexiconScorer()
+
+    df = spark.range(4000).selectExpr("id", "concat('good bad ', id) AS ctx").repartition(16)
+    for _ in range(2):  # two jobs of 16 tasks each
+        got = X.model_scores(df, "ctx", load, "test-model").select("scores.*").distinct().collect()
+        assert len(got) == 1 and abs(sum(got[0]) - 1) < 1e-9
+    loads = [x.partition("-")[0] for x in os.listdir(folder)]
+    assert len(loads) == len(set(loads)) <= 8
+
+
+def test_scores_in_the_array_are_those_of_exploded_rows(spark):
+    docs = [(i, i, _doc(i, a)) for i, a in enumerate([
+        [], None, [{"AspectCategory": "A", "AspectTerms": '["giao hàng", "thiếu"]'}, {"AspectCategory": "B", "AspectTerms": "[]"},
+                   {"AspectCategory": None, "AspectTerms": "sản phẩm"}], [{"AspectCategory": "C", "AspectTerms": "[not a list"}],
+        [{"AspectCategory": "D", "AspectTerms": None}]])]
+    parsed = ab.parse_responses(spark.createDataFrame(docs, "GeneralFeedbackID bigint, ID bigint, response string"))
+    assert rows(ab.nest_scored(parsed)) == rows(ab.nest(ab.scored_terms(parsed)))
+    assert rows(ab.nest_scored(parsed)) == rows(ab.nest(ab.scored_terms(parsed, X.LexiconScorer())))
