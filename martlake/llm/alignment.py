@@ -4,7 +4,9 @@ A is a byte-level BPE of the tokenizers library (over blank + text), B a sentenc
 The ascending byte offsets at which tokens end are the two lists. The shorter one drives an exponential-plus-binary search
 into the longer one, done for many entries at once, coarse to fine: an entry starts where its coarser neighbour was found, so half of the
 entries gallop one or two places. Offsets found in both lists cut the tokens into groups; the ranks of a driver token's
-first and last byte in the other list give the range of tokens that it overlaps, and thereby its links.
+first and last byte in the other list give the range of tokens that it overlaps, and thereby its links. Neither side has a
+token across a blank that follows no white space, so texts are cut there, and what a batch's distinct new pieces give
+(all searched as one pair of lists) is remembered, up to a fixed number of pieces.
 
 The corpus-wide count of each linked id pair needs a second look at every document. The first pass writes each document's links
 (sorted 32-bit pairs) to the shared folder; a pair count is then a pre-aggregated sum. The most frequent pairs, as many whole powers of two
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.llm.columns import id_text, scratch_table, slices, with_fields
-from martlake.llm.pieces import Memo, once, piece_ids, safe_pieces
+from martlake.llm.pieces import _SPACE, Memo, once, piece_ids
 from martlake.llm.sentencepieces import BYTE, MARK, Model
 
 #: Pairs whose counts are broadcast, at most.
@@ -100,8 +102,17 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Texts may be cut, for both sides, before a blank that follows no white space: A's pre-tokenizer joins no character to white
+#: space after it, and no piece of B has its marker after another character.
+_PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+(?:(?! )[{_SPACE}]+[^{_SPACE}]+)*(?:(?! )[{_SPACE}]+\\Z)?|[{_SPACE}]+")
+
+#: In place of the groups of a piece whose bytes do not come out.
+_BROKEN = b"!"
+
+
 class Sides:
-    """Both encoders of one Python worker; what a piece becomes is remembered."""
+    """Both encoders of one Python worker, and the alignment of the distinct pieces that it has met: no token
+    crosses a cut on either side, so the groups and links of a text are those of its pieces in a row."""
 
     def __init__(self, a_path: str, b_path: str):
         from sentencepiece import SentencePieceProcessor
@@ -116,47 +127,73 @@ class Sides:
             known = all(c in alphabet for c in token)
             self.a_bytes[i] = bytes(alphabet[c] for c in token) if known else token.encode()
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.model = Model(b_path)
+        model = Model(b_path)
         self.b = SentencePieceProcessor(model_file=b_path)
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in model.pieces]
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        #: Chunks can be encoded alone if no piece runs across them and the text reaches the pieces unchanged.
-        self.alone = self.model.cuttable and not self.model.charsmap and not self.model.squeeze
-        self.a_memo, self.b_memo = Memo(self._make_a), Memo(self._make_b)
-
-    def _make_a(self, new: list[str]) -> list[tuple[bytes, bool]]:
-        ids = piece_ids(self.a, self.a_size, new)
-        return [(i, self._whole(i, self.a_bytes, p)) for p, i in zip(new, ids, strict=True)]
+        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
+            raise ValueError("vocabularies of more than 65,536 ids are not supported")
+        #: Whether B's pieces can be encoded alone: none runs across a cut, and the text reaches them unchanged.
+        self.alone = model.cuttable and not model.charsmap and not model.squeeze
+        self.names = Names(max(len(self.a_bytes), len(self.b_bytes)))
+        self.memo = Memo(self._make)
+
+    def pieces(self, text: str) -> list[str]:
+        """Blank + text in pieces; none for a text that has no tokens by definition."""
+        if not text or MARK in text:
+            return []
+        return _PIECE.findall(" " + text) if self.alone else [" " + text]
+
+    def _a_ids(self, new: list[str]) -> list[bytes]:
+        """Pieces that end in white space, as a text may, are each encoded alone."""
+        last = [p for p in new if _ENDS_BLANK.search(p)]
+        rest = [p for p in new if not _ENDS_BLANK.search(p)]
+        known = dict(zip(rest, piece_ids(self.a, self.a_size, rest), strict=True))
+        for p, e in zip(last, self.a.encode_batch_fast(last, add_special_tokens=False), strict=True):
+            known[p] = np.asarray(e.ids, "<i4").tobytes()
+        return [known[p] for p in new]
+
+    def _b_ids(self, new: list[str]) -> list[bytes]:
+        """Of pieces that begin with a blank, which the library adds itself (but not before nothing)."""
+        ids = self.b.encode([p[1:] for p in new], num_threads=1)
+        return [np.array(i or ([self.b.piece_to_id(MARK)] if p == " " else []), "<i4").tobytes() for p, i in zip(new, ids, strict=True)]
 
-    def _make_b(self, new: list[str]) -> list[tuple[bytes, bool]]:
-        """Of chunks that begin with a blank, which the library adds itself (but not before nothing)."""
-        ids = self.b.encode([c[1:] for c in new], num_threads=1)
-        ids = [np.asarray(i or ([self.b.piece_to_id(MARK)] if c == " " else []), "<i4").tobytes() for c, i in zip(new, ids, strict=True)]
-        return [(i, self._whole(i, self.b_bytes, c)) for c, i in zip(new, ids, strict=True)]
+    @staticmethod
+    def _whole(ids: list[bytes], parts: list[bytes], texts: list[bytes]) -> list[bool]:
+        """Whether the tokens' bytes are the text's, for each piece."""
+        return [b"".join([parts[i] for i in np.frombuffer(x, "<i4").tolist()]) == t for x, t in zip(ids, texts, strict=True)]
+
+    def _make(self, new: list[str]) -> list[tuple[bytes, bytes, bytes]]:
+        """(groups as text, links, number of A's tokens) of each piece."""
+        a, b, texts = self._a_ids(new), self._b_ids(new), [p.encode() for p in new]
+        sure = self._same(a, self.a_bytes, self.a_size, texts) and self._same(b, self.b_bytes, self.b_size, texts)
+        good = [True] * len(new) if sure else [x and y for x, y in zip(self._whole(a, self.a_bytes, texts), self._whole(b, self.b_bytes, texts))]
+        made = iter(self._align([x for x, ok in zip(a, good) if ok], [x for x, ok in zip(b, good) if ok]))
+        return [next(made) if ok else (_BROKEN, b"", b"") for ok in good]
 
     @staticmethod
-    def _whole(ids: bytes, parts: list[bytes], text: str) -> bool:
-        return b"".join([parts[i] for i in np.frombuffer(ids, "<i4").tolist()]) == text.encode()
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and of B for each text; none where its bytes do not come out."""
-        led = [" " + t if t and MARK not in t else "" for t in texts]
-        a_cut = [safe_pieces(t) for t in led]
-        b_cut = [_CHUNK.findall(t) if self.alone else [t] if t else [] for t in led]
-        a, b = self.a_memo.look_up(a_cut), self.b_memo.look_up(b_cut)
-        none = np.empty(0, "<i4")
-        out = []
-        for x, y in zip(a_cut, b_cut, strict=True):
-            x, y = [a(p) for p in x], [b(p) for p in y]
-            if x and all([p[1] for p in x]) and all([p[1] for p in y]):
-                out.append(tuple(np.frombuffer(b"".join([p[0] for p in s]), "<i4") for s in (x, y)))
-            else:
-                out.append((none, none))
-        return out
-
-
-#: Blank-led chunks: a run of blanks and what follows.
-_CHUNK = re.compile(r" +[^ ]*")
+    def _same(ids: list[bytes], parts: list[bytes], size: np.ndarray, texts: list[bytes]) -> bool:
+        """Whether the tokens' bytes are the texts' for all pieces, seen at once."""
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        ends = np.concatenate([[0], np.cumsum(size[flat])])[np.cumsum([len(x) // 4 for x in ids])] if len(flat) else np.zeros(len(ids))
+        return (ends == np.cumsum([len(t) for t in texts])).all() and b"".join([parts[i] for i in flat.tolist()]) == b"".join(texts)
+
+    def _align(self, a: list[bytes], b: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
+        """All pieces at once: their bytes stand one after the other, so the lists of ends stay ascending."""
+        if not a:
+            return []
+        ia, ib = (np.frombuffer(b"".join(x), "<i4") for x in (a, b))
+        a_first, b_first = (np.concatenate([[0], np.cumsum([len(p) // 4 for p in x])]) for x in (a, b))
+        a_cut, b_cut, x, y = overlaps(np.cumsum(self.a_size[ia]), np.cumsum(self.b_size[ib]))
+        links = ((ia[x].astype(np.int64) << 16) | ib[y]).astype("<u4").tobytes()
+        link_first = (4 * np.searchsorted(x, a_first)).tolist()
+        names, name_first = self.names.in_groups(ia, ib, a_cut, b_cut), (a_first + b_first).tolist()
+        n_a = np.diff(a_first).astype("<u4").tobytes()
+        return [(b"".join(names[name_first[i]:name_first[i + 1]]), links[link_first[i]:link_first[i + 1]], n_a[4 * i:4 * i + 4])
+                for i in range(len(a))]
+
+
+_ENDS_BLANK = re.compile(f"[{_SPACE}]\\Z")
 
 
 class Names:
@@ -179,36 +216,37 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     ``A id * 2**16 + B id`` in ascending order, little-endian 32-bit) of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = once(("align", a_path, b_path), lambda: Sides(a_path, b_path))
-        names = once(("names", len(sides.a_bytes), len(sides.b_bytes)), lambda: Names(max(len(sides.a_bytes), len(sides.b_bytes))))
-        if max(len(sides.a_bytes), len(sides.b_bytes)) > 1 << 16:
-            raise ValueError("vocabularies of more than 65,536 ids are not supported")
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *_align(sides, names, part.column("text").to_pylist())],
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *align_texts(sides, part.column("text").to_pylist())],
                                                  ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
 
     own = id_text(docs, id_col, text_col)
     return own.mapInArrow(run, with_fields(own, "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"))
 
 
-def _align(sides: Sides, names: Names, texts: list[str]) -> list[pa.Array]:
-    """All texts of a slice at once: their bytes stand one after the other, so the lists of ends stay ascending."""
-    got = sides.encode(texts)
-    a, b = (np.concatenate([g[s] for g in got]) for s in (0, 1))
-    n_a, n_b = (np.array([len(g[s]) for g in got], np.int64) for s in (0, 1))
-    a_first, b_first = (np.concatenate([[0], np.cumsum(n)]) for n in (n_a, n_b))
-    groups, links, sha, pairs = np.zeros(len(got), np.int64), np.zeros(len(got), np.int64), [""] * len(got), [b""] * len(got)
-    if len(a):
-        a_cut, b_cut, x, y = overlaps(np.cumsum(sides.a_size[a]), np.cumsum(sides.b_size[b]))
-        cut_first, link_first = np.searchsorted(a_cut, a_first), np.searchsorted(x, a_first)
-        groups, links = np.diff(cut_first), np.diff(link_first)
-        pair = ((a[x].astype(np.int64) << 16) | b[y]).astype("<u4")
-        text, text_first = names.in_groups(a, b, a_cut, b_cut), a_first + b_first
-        for d in np.flatnonzero(n_a).tolist():
-            sha[d] = hashlib.sha256(b"".join(text[text_first[d]:text_first[d + 1]])[:-1]).hexdigest()
-            pairs[d] = np.sort(pair[link_first[d]:link_first[d + 1]]).tobytes()
-    return [*(pa.array(v, pa.int64()) for v in (n_a, n_b, groups, links)), pa.array(sha, pa.string()), pa.array(pairs, pa.binary())]
+def align_texts(sides: Sides, texts: list[str]) -> list[pa.Array]:
+    """The columns n_a, n_b, n_groups, n_links, groups_sha256 and links of texts, put together from their pieces."""
+    cut = [sides.pieces(t) for t in texts]
+    value = sides.memo.look_up(cut)
+    counts, sha, links = [], [], []
+    for pieces in cut:
+        got = [value(p) for p in pieces]
+        groups = b"".join([g[0] for g in got])
+        if not groups or _BROKEN in groups:
+            counts.append((0, 0, 0, 0))
+            sha.append("")
+            links.append(b"")
+            continue
+        pairs = np.frombuffer(b"".join([g[1] for g in got]), "<u4")
+        n_a = int(np.frombuffer(b"".join([g[2] for g in got]), "<u4").sum(dtype=np.int64))
+        n_groups = groups.count(b"|")
+        counts.append((n_a, n_groups + groups.count(b",") + groups.count(b";") - n_a, n_groups, len(pairs)))
+        sha.append(hashlib.sha256(groups[:-1]).hexdigest())
+        links.append(np.sort(pairs).tobytes())
+    columns = list(zip(*counts)) or [()] * 4
+    return [*(pa.array(c, pa.int64()) for c in columns), pa.array(sha, pa.string()), pa.array(links, pa.binary())]
 
 
 def pair_counts(aligned: DataFrame, held: int = HELD_PAIRS) -> DataFrame:
