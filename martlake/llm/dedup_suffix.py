@@ -14,14 +14,16 @@ equal windows, wherever they stand, and neighbouring windows mostly share it and
    of the smallest hash stands more than once, as in periodic text: their windows may equal each other.
 2. Those runs are cut from the text and dealt to buckets by their hash. In a bucket equal runs are settled as wholes,
    the others by a suffix array (prefix doubling to LENGTH bytes) with its previous-factor array.
-3. A hash of more than ``HOT`` runs (a passage in a third of all documents) would fill its bucket. Its
-   windows go singly, named by 128-bit hashes, to the buckets of their names; each task first settles what it
+3. A hash of more than ``HOT`` runs (a passage in a third of all documents) would fill its bucket. The most frequent hashes are known
+   beforehand, from the runs of one document in ``SAMPLE`` (at most ``VERY_HOT`` hashes; which ones decides on the way taken, not
+   on the result), and their runs are never gathered by hash: they go to step 2 marked as hot. The
+   windows of hot runs go singly, named by 128-bit hashes, to the buckets of their names; each task first settles what it
    can itself and sends a name once. The order of the names takes the place of suffix order there, the rest is the same.
 
 The number of buckets follows the bytes of the input, so a bucket stays a few MB. Text is shuffled once.
 
 Defined cases: null text is empty (kept_sha256 of no bytes); a text shorter than LENGTH loses nothing; a null doc_id
-comes after all others; rows with one doc_id and one text are one document and each gets its result; different texts
+comes after all others (those without one are ordered by a hash of the text); rows with one doc_id and one text are one document and each gets its result; different texts
 with one doc_id are ordered by a hash of the text; an empty table gives no rows.
 """
 
@@ -46,7 +48,12 @@ HOT = 4_096
 #: Bytes of input for each bucket, and bytes that a task packs before it sends them.
 BUCKET_BYTES = 8 << 20
 PACK_BYTES = 8 << 20
-_LAST = (1 << 63) - 1
+#: One document in so many is looked at for very frequent hashes; runs there that make a hash one, and how many there are at most.
+SAMPLE = 64
+SAMPLE_RUNS = 512
+VERY_HOT = 1_000_000
+#: Null ids come after all others, spread over so many keys by the hash of the text.
+_LAST, _NULL_KEYS = (1 << 63) - 1, 1 << 40
 
 
 # -- kernels --------------------------------------------------------------------------------------------
@@ -259,15 +266,38 @@ def _bucket(hash_: np.ndarray, buckets: int) -> np.ndarray:
     return (mix64(hash_ + np.uint64(0x632BE59BD9B4E019)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _send_hashes(buckets: int):
+def _count_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """hash, n of the runs of each slice of text."""
+    for b in batches:
+        for lo, hi in slices(b.column("text")):
+            h, n = np.unique(runs_of(*text_bytes(b.column("text").slice(lo, hi - lo)))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["hash", "n"])
+
+
+def very_hot(base: DataFrame) -> np.ndarray:
+    """The most frequent hashes of runs, ascending, judged by a sample of the documents."""
+    some = base.filter(F.pmod("hashed", F.lit(SAMPLE)) == 0).select("text")
+    counts = some.mapInArrow(_count_hashes, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= SAMPLE_RUNS)
+    top = counts.orderBy(F.desc("n"), "hash").limit(VERY_HOT).select("hash").collect()
+    return np.sort(np.array([r["hash"] for r in top], np.int64).view(np.uint64))
+
+
+def _send_hashes(buckets: int, hot=None):
+    """Runs packed by the bucket of their hash (kind 0); those of the hashes ``hot`` by document (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        known = hot.value if hot is not None else np.empty(0, np.uint64)
 
         def flush():
             h, doc, number = (np.concatenate(c) for c in zip(*held, strict=True))
-            rows = list(_packed(_bucket(h, buckets), [h, doc, number]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64())] + [
-                pa.array([r[1][i] for r in rows], pa.binary()) for i in range(3)], ["bucket", "hashes", "docs", "numbers"])
+            often = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+            rows = []
+            for kind, own in ((0, ~often), (1, often)):
+                where = _bucket(h[own], buckets) if kind == 0 else doc[own] % buckets
+                rows += [(k, kind, *cols) for k, cols in _packed(where, [h[own], doc[own], number[own]])] if own.any() else []
+            kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                                             ["bucket", "kind", "hashes", "docs", "numbers"])
 
         for b in batches:
             for lo, hi in slices(b.column("text")):
@@ -287,7 +317,9 @@ def _send_hashes(buckets: int):
 
 def _repeated(table: pa.Table) -> pa.Table:
     """Runs whose hash occurs more than once, or that came as -1 - n as they may repeat inside themselves: key, number
-    (negative -1 - n if the hash is hot)."""
+    (negative -1 - n if the hash is hot). Runs that came as hot are passed on as such."""
+    kind = table["kind"].to_numpy()
+    table, often = table.filter(pa.array(kind == 0)), table.filter(pa.array(kind == 1))
     h, doc, number = _unpacked(table["hashes"], "<u8"), _unpacked(table["docs"], "<i8"), _unpacked(table["numbers"], "<i4")
     order = np.argsort(h, kind="stable")
     h = h[order]
@@ -299,7 +331,9 @@ def _repeated(table: pa.Table) -> pa.Table:
     n = number[own].astype(np.int64)
     n = np.where(n < 0, -1 - n, n)
     n = np.where(size[on] > HOT, -1 - n, n)
-    return pa.table({"key": doc[own], "number": n})
+    sure = _unpacked(often["numbers"], "<i4").astype(np.int64)
+    return pa.table({"key": np.concatenate([doc[own], _unpacked(often["docs"], "<i8")]),
+                     "number": np.concatenate([n, np.where(sure < 0, sure, -1 - sure)])})
 
 
 def _cut_runs(buckets: int):
@@ -422,12 +456,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("key"),
-                       text.alias("text"), F.xxhash64(text).alias("hashed"))
+    hashed = F.xxhash64(text)
+    late = F.lit(_LAST - _NULL_KEYS + 1) + F.shiftright(hashed, 24) + F.lit(_NULL_KEYS // 2)
+    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), late).alias("key"),
+                       text.alias("text"), hashed.alias("hashed"))
     total = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // bucket_bytes))
+    hot = docs.sparkSession.sparkContext.broadcast(very_hot(base))
     sent = base.select("key", "text").mapInArrow(
-        _send_hashes(buckets), "bucket long, hashes binary, docs binary, numbers binary")
+        _send_hashes(buckets, hot), "bucket long, kind int, hashes binary, docs binary, numbers binary")
     repeated = (sent.groupBy("bucket").applyInArrow(_repeated, "key long, number long")
                 .groupBy("key").agg(F.collect_list("number").alias("numbers")))
     # Left joins with all columns of the text side in both places, so that its one shuffle serves both.

@@ -45,9 +45,11 @@ def corpus(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("hot", [S.HOT, 3, 1])
-def test_against_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot,known", [(S.HOT, S.SAMPLE_RUNS), (3, S.SAMPLE_RUNS), (1, S.SAMPLE_RUNS), (3, 4), (S.HOT, 1)])
+def test_against_brute_force(spark, monkeypatch, hot, known):
     monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "SAMPLE", 1)
+    monkeypatch.setattr(S, "SAMPLE_RUNS", known)
     monkeypatch.setattr(S, "PACK_BYTES", 3000)
     rows = corpus(1) + [(100, "ab" * 400), (101, "x" + "ab" * 100), (102, "z" * 5000), (103, "z" * 99), (104, "z" * 100), (105, ""),
                         (106, "漢字" * 60), (107, "字漢" * 60)]
@@ -80,6 +82,35 @@ def test_repeated_rows_are_one_document(spark):
     assert got == [(1, n, 0), (1, n, 0), (2, n, n if n >= S.LENGTH else 0)]
 
 
+def test_a_very_frequent_hash_is_never_gathered(spark, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLE", 1)
+    monkeypatch.setattr(S, "SAMPLE_RUNS", 100)
+    passage = " ".join(f"word{i}" for i in range(40))
+    docs = table(spark, [(i, f"{i} begins {passage} ends {i}") for i in range(300)])
+    base = docs.selectExpr("doc_id AS key", "text", "xxhash64(text) AS hashed")
+    hot = S.very_hot(base)
+    assert 0 < len(hot) < 20
+    sent = base.mapInArrow(S._send_hashes(8, spark.sparkContext.broadcast(hot)), "bucket long, kind int, hashes binary, docs binary, numbers binary")
+    by_kind = {0: [], 1: []}
+    for r in sent.collect():
+        by_kind[r.kind] += np.frombuffer(r.hashes, "<u8").tolist()
+    assert set(by_kind[1]) == set(hot.tolist()) and not set(by_kind[0]) & set(hot.tolist())
+    assert len(by_kind[1]) >= 300 * len(hot)
+    got = sorted(tuple(r) for r in S.repeat_report(docs).collect())
+    assert got == sorted(brute([(i, f"{i} begins {passage} ends {i}") for i in range(300)]).values())
+
+
+def test_many_null_ids(spark):
+    rows = [(None, t) for _, t in corpus(7, 40)] + [(1, corpus(7, 40)[5][1])]
+    docs = table(spark, rows)
+    order = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    distinct = [(None, t) for t in sorted({t for _, t in rows[:-1]}, key=lambda t: order[t] >> 24)]
+    want = brute([rows[-1], *distinct])
+    of = {t: want[i + 1] for i, (_, t) in enumerate(distinct)}
+    got = sorted((tuple(r) for r in S.repeat_report(docs.repartition(5)).collect()), key=str)
+    assert got == sorted([want[0], *[of[t] for _, t in rows[:-1]]], key=str)
+
+
 def test_kept_bytes(spark):
     rows = corpus(2, 30)
     want = {v[0]: v[4] for v in brute(rows).values()}
