@@ -3,8 +3,9 @@
 Words are runs of ASCII letters (A-Z lower-cased), digits and non-ASCII characters. A window is ``n``
 consecutive words of a benchmark item; an item of fewer words, but not none, is one window.
 The benchmark is cut into blocks of at most ``BLOCK_WINDOWS`` windows, so what is broadcast at
-once has a fixed bound however large the benchmark is; a block is one pass over the
-documents in the same stage (no shuffle), which adds its hits to those of the passes before.
+once has a fixed bound however large the benchmark is. A block is one pass over the documents, without a shuffle, which adds its
+hits to those of the passes before; what a pass leaves is written to the shared folder before the next one's block is made, so
+no stage, and no executor, holds two. A window that several items share is one entry with the list of its items.
 A pass hashes every window of every document with vector operations, looks the hashes up, and
 compares the words of each candidate with those of the benchmark window, so a hit is never a collision.
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.columns import Words, slices, text_bytes
+from martlake.llm.columns import Words, scratch_table, slices, text_bytes
 
 N = 10
 #: Windows of one broadcast block: about 100 bytes each, 50 MB at most.
@@ -54,10 +55,13 @@ def benchmark_chunks(bench: DataFrame, n: int, id_col: str, text_col: str) -> Da
 
 
 class Block:
-    """The windows of one block: sorted hashes by length, and the words to verify a hit."""
+    """The distinct windows of one block: sorted hashes by length, the words to verify a hit, and each window's items."""
 
     def __init__(self, chunks: list[tuple[str | None, bytes]], n: int):
-        self.chunks, self.by_length = chunks, {}
+        self.chunks = chunks
+        #: length -> (hash, chunk, first byte, byte after the last) of each distinct window, by hash; and its items.
+        self.by_length: dict[int, np.ndarray] = {}
+        self.items: dict[int, list[tuple[str, ...]]] = {}
         found: dict[int, list[np.ndarray]] = {}
         for c, (_, words) in enumerate(chunks):
             w = Words(np.frombuffer(words, np.uint8), np.array([0, len(words)], np.int64))
@@ -68,24 +72,36 @@ class Block:
                                                      w.end[i + k - 1].astype(np.uint64)]))
         for k, parts in found.items():
             a = np.concatenate(parts, axis=1)
-            self.by_length[k] = a[:, np.argsort(a[0], kind="stable")]
-
-    def hits(self, w: Words) -> Iterator[tuple[int, int, list[str | None]]]:
-        """(first word, length, items) of every verified occurrence."""
+            a = a[:, np.argsort(a[0], kind="stable")]
+            kept, items, last, own = [], [], None, {}
+            for j, h in enumerate(a[0].tolist()):
+                if h != last:
+                    last, own = h, {}
+                name, words = chunks[int(a[1, j])][0], self._words(a, j)
+                if words not in own:
+                    own[words] = len(kept)
+                    kept.append(j)
+                    items.append(set())
+                if name is not None:
+                    items[own[words]].add(name)
+            self.by_length[k], self.items[k] = a[:, kept], [tuple(x) for x in items]
+
+    def _words(self, a: np.ndarray, j: int) -> bytes:
+        return self.chunks[int(a[1, j])][1][int(a[2, j]):int(a[3, j])]
+
+    def hits(self, w: Words) -> Iterator[tuple[int, int, int]]:
+        """(first word, length, entry) of every verified occurrence."""
         for k, a in self.by_length.items():
             h, inside = w.grams(k)
             lo = np.searchsorted(a[0], h)
             found = (a[0][np.minimum(lo, a.shape[1] - 1)] == h) & inside
             for i in np.flatnonzero(found).tolist():
-                own, items, j = w.joined(i, k), [], int(lo[i])
-                while j < a.shape[1] and a[0, j] == h[i]:
-                    name, words = self.chunks[int(a[1, j])]
-                    if words[int(a[2, j]):int(a[3, j])] == own:
-                        items.append(name)
+                own, j = w.joined(i, k), int(lo[i])
+                while j < a.shape[1] and a[0, j] == h[i]:  # distinct windows of one hash: collisions only
+                    if self._words(a, j) == own:
+                        yield i, k, j
+                        break
                     j += 1
-                if items:
-                    yield i, k, items
-
 
 
 def scan(docs: DataFrame, bench: DataFrame, n: int = N, id_col: str = "doc_id", text_col: str = "text",
@@ -105,6 +121,9 @@ def scan(docs: DataFrame, bench: DataFrame, n: int = N, id_col: str = "doc_id",
         own = chunks if blocks == 1 else chunks.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b)
         sent = spark.sparkContext.broadcast(Block([(r[0], bytes(r[1])) for r in own.select("item", "words").collect()], n))
         out = out.mapInArrow(_pass(sent), schema)
+        if b + 1 < blocks:
+            out = scratch_table(out, "decontam-pass")
+            sent.destroy()
     return out
 
 
@@ -116,11 +135,11 @@ def _pass(sent):
                 b = batch.slice(lo, hi - lo)
                 w = Words(*text_bytes(b.column("text")))
                 depth = np.zeros(len(w) + 1, np.int32)
-                items: dict[int, set] = {}
-                for i, k, names in block.hits(w):
+                entries: dict[int, set] = {}
+                for i, k, j in block.hits(w):
                     depth[i] += 1
                     depth[i + k] -= 1
-                    items.setdefault(int(np.searchsorted(w.first, i, side="right")) - 1, set()).update(names)
+                    entries.setdefault(int(np.searchsorted(w.first, i, side="right")) - 1, set()).add((k, j))
                 before_items, before_spans = b.column("items"), b.column("spans")
                 for d, s in enumerate(before_spans.to_pylist()):  # hits of earlier blocks
                     for x, y in zip(s[0::2], s[1::2], strict=True):
@@ -140,7 +159,7 @@ def _pass(sent):
                     d = int(np.searchsorted(w.first, x, side="right")) - 1
                     spans[d] += [x - int(w.first[d]), y - int(w.first[d])]
                 total = np.concatenate([[0], np.cumsum(hit)])
-                names = [sorted(set(old or ()) | {x for x in items.get(d, ()) if x is not None})
+                names = [sorted(set(old or ()).union(*(block.items[k][j] for k, j in entries.get(d, ()))))
                          for d, old in enumerate(before_items.to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("text"), pa.array(np.diff(w.first), pa.int64()),

@@ -63,3 +63,17 @@ def test_empty(spark):
     assert decontam.contamination_report(empty(spark), bench(spark, ITEMS)).collect() == []
     got = decontam.contamination_report(edge(spark), bench(spark, [])).collect()
     assert len(got) == len(EDGE) and not any(r.contaminated for r in got)
+
+
+def test_one_block_per_stage(spark):
+    """However many blocks there are, the last stage scans with one, over what the others left."""
+    df = decontam.scan(table(spark, DOCS).repartition(2), bench(spark, ITEMS), block_windows=4)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FileScan parquet" in plan
+
+
+def test_a_window_of_many_items_is_one_entry():
+    same = b" ".join(b"w%d" % i for i in range(10))
+    block = decontam.Block([(f"i{k}", same) for k in range(500)] + [(None, same), ("x", same + b" more")], 10)
+    assert block.by_length[10].shape[1] == 2
+    assert sorted(map(len, block.items[10])) == [1, 501]
