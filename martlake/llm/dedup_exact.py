@@ -8,16 +8,20 @@ is bounded whatever the input) are broadcast, and rows of frequent digests are s
 are read. No remaining digest has more than a ``support`` share of the rows, so they
 go through an ordinary shuffle.
 
-Defined cases: a null text is the empty text; rows with one doc_id and one text are one
-document (reported once, each row counted in ``group_size``; one row of them stays); a null doc_id
+Defined cases: a null text is the empty text; rows with one doc_id and one text are each reported, with the same
+marks, and counted in ``group_size`` (:func:`drop_exact_duplicates` keeps one of them); a null doc_id
 loses to any other and stays only if its group has no other; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlake.session import scratch_path
+
 SUPPORT = 0.001
 
 _ID, _SHA, _KEEP, _SIZE, _N, _RANK = (f"__dedup_{x}" for x in ("id", "sha", "keep", "size", "n", "rank"))
@@ -45,10 +49,11 @@ def _split(rows: DataFrame, head: DataFrame, tail: DataFrame) -> tuple[DataFrame
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  support: float = SUPPORT) -> DataFrame:
-    """One row per document, dropped ones too:
-    doc_id, keep_id, group_size, kept, text_sha256. Of equal texts the largest doc_id stays."""
-    ids = (docs.select(_digest(text_col).alias(_SHA), F.col(id_col).alias(_ID))
-           .groupBy(_SHA, _ID).agg(F.count(F.lit(1)).alias(_N)))
+    """One row per row of ``docs``, dropped ones too: doc_id, keep_id, group_size, kept, text_sha256. Of equal texts the
+    largest doc_id stays. The texts are read and hashed once, into a narrow table in the shared folder."""
+    path = scratch_path(docs.sparkSession, f"dedup-digests-{uuid.uuid4().hex}")
+    docs.select(_digest(text_col).alias(_SHA), F.col(id_col).alias(_ID), F.lit(1).alias(_N)).write.parquet(path)
+    ids = docs.sparkSession.read.parquet(path)
     settled, others = _split(ids, *_winners(ids, support))
     return settled.unionByName(others).select(
         F.col(_ID).alias("doc_id"), F.col(_KEEP).alias("keep_id"), F.col(_SIZE).alias("group_size"),

@@ -5,7 +5,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["op10_exact_dedup"] = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, CAST(count(*) AS BIGINT) AS group_size FROM d GROUP BY 1)
-SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, d.text_sha256
 FROM d JOIN g USING (text_sha256)
 """
 
