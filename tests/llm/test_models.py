@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -84,6 +85,33 @@ def test_ftrl_step_by_step():
     assert np.allclose([f.z[c] for c in z], list(z.values())) and np.allclose([f.n[c] for c in n], list(n.values()))
 
 
+def test_toxicity_score_of_each_text():
+    """Against the distinct words, pairs and skip-grams of each text, taken one by one from the text's words."""
+    texts = ["vile rotten vile rotten x", "", "one", "Vile x ROTTEN, x vile!", "a b c a b c d", "漢字 vile"]
+
+    def one(t):
+        return Words(*text_bytes(pa.array([t])))
+
+    def name(t):  # the number of a feature, told by a text that has no other
+        return set(toxicity.features(one(t))[1].tolist())
+
+    def own(t):
+        words = ["".join(c.lower() if c < "\x80" else c for c in w) for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t)]
+        out = set().union(*[name(w) for w in words]) if words else set()
+        for a, b in zip(words, words[1:]):
+            out |= name(f"{a} {b}") - name(a) - name(b)
+        for a, b in zip(words, words[2:]):
+            out |= name(f"{a} zz {b}") - name(f"{a} zz") - name(f"zz {b}")
+        return out
+
+    r = np.random.default_rng(4)
+    index = np.unique(np.concatenate([list(own(t)) for t in texts if own(t)])).astype(np.int64)
+    model = toxicity.ToxicityModel(index, r.normal(size=len(index)), -0.3)
+    weight = dict(zip(index.tolist(), model.weight))
+    want = [1 / (1 + math.exp(0.3 - sum(weight[f] for f in own(t)))) for t in texts]
+    assert np.allclose(model.score(Words(*text_bytes(pa.array(texts)))), want)
+
+
 def segmentations(word):
     if not word:
         yield []
