@@ -90,6 +90,18 @@ def is_meaningful(c, min_len: int = MIN_LEN, max_len: int = MAX_LEN,
     return F.coalesce(let(t, rules), F.lit(False))
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def surely_too_long(c, max_len: int = MAX_LEN) -> Column:
+    """True only for a text whose cleaned form has more than ``max_len`` characters, told without a regex pass: cleaning
+    keeps every ASCII letter outside links, tags and hashtags, so a text that can hold none of these is at least as long
+    as it has letters."""
+    x = col(c)
+    removable = F.contains(x, F.lit("http")) | F.contains(x, F.lit("www.")) | F.contains(x, F.lit("<")) | F.contains(x, F.lit("#"))
+    return ~removable & (F.length(x) > max_len) & (F.length(x) - F.length(F.translate(x, _LETTERS, "")) > max_len)
+
+
 def is_blank(c) -> Column:
     """Empty after stripping (Unicode) whitespace; null counts as blank."""
     return F.coalesce(F.length(F.regexp_replace(col(c), rf"[{SPACE}]+", "")) == 0, F.lit(True))

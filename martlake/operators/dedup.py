@@ -1,4 +1,4 @@
-"""Entity-specific deduplication rules, each one hash aggregate with partial
+"""Entity-specific deduplication rules, each one aggregate with partial
 aggregation (``min_by`` over a struct of the row, ordered by a struct of the
 rule's priorities). No per-group Python, no window over a hot key."""
 

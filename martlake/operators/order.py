@@ -41,8 +41,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence, last: bool =
     """One row per key: the smallest (``last``: largest) by ``order``.
 
     Equivalent to sorting by ``order`` and keeping the first row of each key,
-    with a null key being a key value of its own. Runs as a hash aggregate with
-    partial aggregation: ``min_by(struct(row), struct(order))``.
+    with a null key being a key value of its own. Runs as ``min_by(struct(row), struct(order))`` with
+    partial aggregation (a sort aggregate, since a struct buffer cannot be hashed in place).
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]

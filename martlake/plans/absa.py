@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.exprs import let, select_where
-from martlake.functions.text import clean_text, is_blank, is_meaningful
+from martlake.functions.text import clean_text, is_blank, is_meaningful, surely_too_long
 from martlake.operators import absa as X
 from martlake.operators.order import SEQ, keep_first
 
@@ -21,13 +21,15 @@ def meaningful_reviews(reviews: DataFrame, id_col: str = "GeneralFeedbackID", te
     Cleaning and the junk test are per-row functions, so they run before the
     first-row-per-id shuffle, and a junk text is replaced by null there: the
     shuffle carries only short meaningful texts (at most 200 characters after
-    cleaning) instead of whole raw lines. The first row is still chosen among
+    cleaning) instead of whole raw lines, and a text that is too long by its letters alone is not cleaned at
+    all. The first row is still chosen among
     all rows of an id; if its text is junk the id is dropped, as before."""
     keep = lambda t: is_meaningful(t) & ~is_blank(t)
     if SEQ not in reviews.columns:
-        cols = {c: (clean_text(c) if c == text_col else F.col(c)) for c in reviews.columns}
+        cleaned = F.when(~surely_too_long(text_col), clean_text(text_col))
+        cols = {c: (cleaned if c == text_col else F.col(c)) for c in reviews.columns}
         return select_where(reviews, cols, lambda x: keep(x[text_col]))
-    text = let(clean_text(text_col), lambda t: F.when(keep(t), t))
+    text = let(F.when(~surely_too_long(text_col), clean_text(text_col)), lambda t: F.when(keep(t), t))
     r = reviews.select(*[text.alias(c) if c == text_col else F.col(c) for c in reviews.columns])
     first = keep_first(r, [id_col], [F.col(SEQ)])
     return first.filter(F.col(text_col).isNotNull()).drop(SEQ)

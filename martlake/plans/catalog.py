@@ -81,7 +81,7 @@ def q_product_sale(spark, d):
 
 @job("product_dim")
 def q_product_dim(spark, d):
-    return prod.product_dim(_clean(spark, d))
+    return prod.product_dim_of(_raw_product(spark, d), B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
 
 
 @job("inventory_snapshot")

@@ -64,6 +64,20 @@ def product_dim(clean: DataFrame) -> DataFrame:
     return first.select(*[F.col(c) for c in PRODUCT_COLUMNS[:-1]], ts_text("CreatedAt").alias("CreatedAt"))
 
 
+def product_dim_of(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
+    """:func:`product_dim` of the cleaned raw rows, by one aggregate over them: the product's maximum over all rows, and
+    beside it the first row that a sentinel seller does not rule out. (Repeated rows have equal contents, so the distinct
+    changes nothing here.)"""
+    p, d, ref = conform_product(raw), F.col("CreatedDate"), reference_time(as_of, tz_offset_hours)
+    row = F.struct(*PRODUCT_COLUMNS[1:-1], "CreatedDate")
+    order = F.when(F.col("SellerID") != 0, F.struct(d.isNull(), -d, F.col(SEQ)))  # a null order is never the least
+    g = p.groupBy("ProductID").agg(F.max(d).alias("_max"), F.min_by(row, order).alias("_r"))
+    back = F.col("_r.CreatedDate")
+    created = minus_days(minus_days(ref, F.col("_max") - back), back)
+    return (g.filter(back.isNotNull())
+             .select("ProductID", *[F.col(f"_r.{c}").alias(c) for c in PRODUCT_COLUMNS[1:-1]], ts_text(created).alias("CreatedAt")))
+
+
 def daily_values(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS) -> DataFrame:
     """What the daily rules need of the cleaned rows, from one scan of the raw rows:
     (ProductID, QuantitySold, LastUpdated, Day, last: whether the quantity is the day's last one, n: cleaned rows like this).

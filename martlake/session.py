@@ -72,7 +72,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+SCRATCH = "martlake-scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return os.path.join(ensure_checkpoint_dir(spark), SCRATCH, name)
+
+
+def purge_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete intermediate tables that were made longer ago than that (by the store's clock), of this and of ended sessions; the
+    number deleted. A table is read lazily, so nothing is deleted by the job that made it: choose an age beyond any running job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(ensure_checkpoint_dir(spark), SCRATCH))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    probe = spark._jvm.org.apache.hadoop.fs.Path(path, f".clock-{os.getpid()}")
+    fs.create(probe, True).close()
+    now = fs.getFileStatus(probe).getModificationTime()
+    fs.delete(probe, False)
+    old = [x.getPath() for x in fs.listStatus(path) if x.getModificationTime() < now - older_than_hours * 3_600_000]
+    return sum(bool(fs.delete(p, True)) for p in old)

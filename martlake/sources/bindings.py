@@ -40,8 +40,8 @@ def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.concat(F.lit("p/"), F.col("l_partkey").cast("string")).alias("product_url"),
-        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("pricing_current"),
-        F.col("l_extendedprice").alias("pricing_original"),
+        F.when(k % 37 != 0, F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("pricing_current"),
+        F.when(k % 31 != 0, F.col("l_extendedprice")).alias("pricing_original"),
         F.concat(F.lit("img/"), F.col("l_partkey").cast("string")).alias("product_image_url"),
         F.col("l_linestatus").alias("inventory_status"),
         F.col("l_returnflag").alias("inventory_type"),
@@ -57,6 +57,7 @@ def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Seller "), F.col("l_suppkey").cast("string")).alias("seller_name"),
         F.concat(F.lit("s/"), F.col("l_suppkey").cast("string")).alias("seller_link"),
         F.when((F.col("l_suppkey") % 17 == 0) | (k % 5 == 0), F.lit(None).cast("string"))
+         .when(F.col("l_suppkey") % 13 == 0, F.concat(F.lit("https://img.example.com/"), F.col("l_suppkey").cast("string"), F.lit(".png")))
          .otherwise(F.concat(F.lit("logo"), F.col("l_suppkey").cast("string"), F.lit(".png")))
          .alias("seller_image_url"),
         F.col("l_linenumber").cast("bigint").alias("sub_category_id"),
@@ -72,8 +73,8 @@ raw_product AS (
     l_partkey AS product_id,
     p_name AS product_name,
     'p/' || CAST(l_partkey AS VARCHAR) AS product_url,
-    l_extendedprice * (1.0 - l_discount) AS pricing_current,
-    l_extendedprice AS pricing_original,
+    CASE WHEN l_orderkey % 37 <> 0 THEN l_extendedprice * (1.0 - l_discount) END AS pricing_current,
+    CASE WHEN l_orderkey % 31 <> 0 THEN l_extendedprice END AS pricing_original,
     'img/' || CAST(l_partkey AS VARCHAR) AS product_image_url,
     l_linestatus AS inventory_status,
     l_returnflag AS inventory_type,
@@ -87,6 +88,7 @@ raw_product AS (
     'Seller ' || CAST(l_suppkey AS VARCHAR) AS seller_name,
     's/' || CAST(l_suppkey AS VARCHAR) AS seller_link,
     CASE WHEN l_suppkey % 17 = 0 OR l_orderkey % 5 = 0 THEN NULL
+         WHEN l_suppkey % 13 = 0 THEN 'https://img.example.com/' || CAST(l_suppkey AS VARCHAR) || '.png'
          ELSE 'logo' || CAST(l_suppkey AS VARCHAR) || '.png' END AS seller_image_url,
     CAST(l_linenumber AS BIGINT) AS sub_category_id,
     l_shipdate AS s_d, l_orderkey AS s_o, CAST(l_linenumber AS BIGINT) AS s_n, l_suppkey AS s_s, l_partkey AS s_p

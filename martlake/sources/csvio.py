@@ -26,7 +26,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, na_values: str
     return r.csv(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write as header CSV (one file per partition; Spark writes in parallel)."""
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = True) -> str:
+    """Write as header CSV (one file per partition; Spark writes in parallel), each file led by a UTF-8 byte-order mark
+    unless ``bom`` is false: the mark goes before the first name of the header, which is what each file begins with."""
+    if bom:
+        df = df.toDF(BOM + df.columns[0], *df.columns[1:])
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path

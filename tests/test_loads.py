@@ -47,6 +47,7 @@ def test_the_product_load_reads_its_inputs_once(spark, tmp_path):
     for name, df in tables.items():
         assert counts[name] == df.count() > 0
         assert "lineitem" not in plan(df)
+    assert rows(tables["product"]) == rows(catalog.REGISTRY["product_dim"](spark, SF_SMALL))
     assert rows(tables["product_sale"]) == rows(catalog.REGISTRY["product_sale"](spark, SF_SMALL))
 
 
@@ -64,7 +65,7 @@ def test_split_sink_drops_nothing(spark, tmp_path):
 
 
 # ------------------------------------------------------------------ one scan
-@pytest.mark.parametrize("key", ["product_sale", "quantity_fluctuation"])
+@pytest.mark.parametrize("key", ["product_sale", "quantity_fluctuation", "product_dim"])
 def test_the_fact_is_scanned_once(spark, key):
     assert scans(plan(catalog.REGISTRY[key](spark, SF_SMALL)), "l_shipdate") == 1
 
@@ -150,3 +151,14 @@ def test_files_are_in_global_order(spark, tmp_path):
         key = [(p, t is not None, t or "") for p, t in got]
         assert key == sorted(key)
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_purge_deletes_old_scratch_only(spark):
+    import os
+    from martlake.session import purge_scratch, scratch_path
+    path = scratch_path(spark, "purge-me")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert purge_scratch(spark, 1.0) == 0 and os.path.isdir(local)
+    os.utime(local, (1, 1))
+    assert purge_scratch(spark, 1.0) >= 1 and not os.path.isdir(local)

@@ -59,6 +59,11 @@ def test_csv_round_trip_quotes_newlines_bom(spark, tmp_path):
                                "id bigint, text string")
     path = csvio.write_csv(df.coalesce(1), str(tmp_path / "out"))
     back = csvio.read_csv(spark, path, df.schema)
+    first = next((tmp_path / "out").glob("part-*")).read_bytes()
+    assert first.startswith(b"\xef\xbb\xbf" + df.columns[0].encode() + b",")
+    plain = csvio.write_csv(df.coalesce(1), str(tmp_path / "plain"), bom=False)
+    assert next((tmp_path / "plain").glob("part-*")).read_bytes() == first[3:]
+    assert rows(csvio.read_csv(spark, plain, df.schema)) == rows(back)
     assert rows(back) == rows(df)
     bom = tmp_path / "bom.csv"
     bom.write_bytes("﻿id,text\n1,x\n2,NA\n".encode("utf-8"))

@@ -75,3 +75,14 @@ def test_meaningful_edges(spark):
     df = spark.createDataFrame(list(cases.items()), "t string, expect boolean")
     for r in df.select("t", "expect", is_meaningful(F.col("t")).alias("m")).collect():
         assert r["m"] == r["expect"] == py_meaningful(r["t"]), r["t"]
+
+
+def test_long_texts_are_told_without_cleaning(spark):
+    """Never true for a text that could pass, true for plain long ones."""
+    from martlake.functions.text import MAX_LEN, surely_too_long
+    cases = ["a" * 200, "a" * 201, "ab " * 100, "1" * 500, "é" * 300, "http" + "a" * 300, "<" + "a" * 300 + ">", "#" + "a" * 300,
+             "www." + "a" * 300, "a. " * 66 + "aa", "word " * 60, "x" * 150 + "漢" * 100, "", "Z" * 250 + " 0912345678"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    got = df.select("i", surely_too_long("t").alias("long"), F.length(F.regexp_replace(clean_text("t"), "[^a-z]", "")).alias("n")).collect()
+    assert all(not r["long"] or r["n"] > MAX_LEN for r in got)
+    assert {r["i"] for r in got if r["long"]} == {1, 10, 13}
