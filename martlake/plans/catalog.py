@@ -63,8 +63,7 @@ def q_product_clean(spark, d):
 
 @job("daily_last_quantity")
 def q_daily_last_quantity(spark, d):
-    from martlake.operators.snapshots import daily_last
-    daily = daily_last(_clean(spark, d), "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
+    daily = _daily_values(spark, d).filter("last")
     return daily.select("ProductID", date_text("Day").alias("Day"), "QuantitySold")
 
 

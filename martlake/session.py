@@ -20,6 +20,10 @@ REQUIRED_CONF = {
     # join (rows LEFT JOIN per-key aggregate, then a keyed aggregation): without
     # it AQE leaves a key holding a third of the rows in one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Batches between the JVM and Python are bounded by rows and by bytes (texts may be long), since both sides hold
+    # a few of them per task.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 

@@ -65,7 +65,7 @@ def test_split_sink_drops_nothing(spark, tmp_path):
 
 
 # ------------------------------------------------------------------ one scan
-@pytest.mark.parametrize("key", ["product_sale", "quantity_fluctuation", "product_dim"])
+@pytest.mark.parametrize("key", ["product_sale", "quantity_fluctuation", "product_dim", "daily_last_quantity"])
 def test_the_fact_is_scanned_once(spark, key):
     assert scans(plan(catalog.REGISTRY[key](spark, SF_SMALL)), "l_shipdate") == 1
 
