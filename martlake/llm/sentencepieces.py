@@ -126,21 +126,31 @@ class Codec:
         self.tokenizer, self.normalizer = self.model.tokenizer()
         self.reference = SentencePieceProcessor(model_file=path)
         self.chunk = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.cuttable else None
+        #: What each id decodes to.
+        self.table = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
         self.memo = Memo(self._make)
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids, without the blank that the encoder puts first: as the library decodes them, which is asked
+        itself where byte pieces do not make up characters."""
+        try:
+            text = b"".join([self.table[i] for i in ids]).decode()
+        except (UnicodeDecodeError, IndexError):
+            return self.tokenizer.decode(ids, skip_special_tokens=False)
+        return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
+
     def chunks(self, text: str) -> list[str]:
         s = self.normalizer.normalize_str(text) if text else ""
         return self.chunk.findall(s) if self.chunk else [s] if s else []
 
     def _make(self, new: list[str]) -> list[tuple[bytes, bool, str]]:
         """(ids as little-endian int32, parity, decoded text) of each chunk."""
-        mine = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+        mine = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         # A chunk starts with the marker, which the library adds as its dummy prefix.
         plain = [c.removeprefix(MARK).replace(MARK, " ") if self.model.escape else c for c in new]
         theirs = self.reference.encode(plain, num_threads=1)
         ids = [m if m == t or not p else t for m, t, p in zip(mine, theirs, plain, strict=True)]
-        text = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        return [(np.asarray(i, "<i4").tobytes(), m == i, t) for i, m, t in zip(ids, mine, text, strict=True)]
+        return [(np.array(i, "<i4").tobytes(), m == i, self.decode(i)) for i, m in zip(ids, mine, strict=True)]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, str]]:
         """(ids, parity, decoded text) of each text."""
@@ -183,9 +193,8 @@ def decode(tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for b in batches:
-            ids = [x or [] for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(
-                c.tokenizer.decode_batch(ids, skip_special_tokens=False), pa.string())], ["doc_id", "text"])
+                [c.decode(x or []) for x in b.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
     own = tokens.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
     return own.mapInArrow(run, with_fields(own, "text string"))
