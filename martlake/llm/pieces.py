@@ -21,7 +21,7 @@ os.environ.setdefault("RAYON_NUM_THREADS", "2")
 #: Unicode's White_Space characters, the class that the tokenizers library calls \s.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_LED = re.compile(f"[{_SPACE}]+[^{_SPACE}]")
+_BLANK = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_SPACE}]", c))
 
 #: Pieces that are encoded as one string.
 JOINED = 256
@@ -49,16 +49,16 @@ def byte_lengths(tokenizer) -> np.ndarray:
 def piece_ids(tokenizer, size: np.ndarray, pieces: list[str]) -> list[bytes]:
     """Ids (little-endian int32) of each piece, ``size`` being the tokenizer's :func:`byte_lengths`.
 
-    Pieces that begin with white space and go on are encoded ``JOINED`` at a time as one string, where
+    Pieces that begin with white space and do not end in it are encoded ``JOINED`` at a time as one string, where
     each may be cut off again, by bytes. Where a cut is not between two ids, and for all other pieces, each is encoded alone."""
     def encode(texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<i4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     out: list[bytes | None] = [None] * len(pieces)
-    led = [i for i, p in enumerate(pieces) if _LED.match(p)]
+    led = [i for i, p in enumerate(pieces) if p[0] in _BLANK and p[-1] not in _BLANK]
     groups = [led[i:i + JOINED] for i in range(0, len(led), JOINED)]
     for own, ids in zip(groups, encode(["".join([pieces[i] for i in g]) for g in groups]), strict=True):
-        ends, want = np.cumsum(size[ids]), np.cumsum([len(pieces[i].encode()) for i in own])
+        ends, want = np.cumsum(size[ids]), np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in map(pieces.__getitem__, own)])
         at = np.searchsorted(ends, want)
         if ends[-1] != want[-1] or (ends[at] != want).any():
             continue
