@@ -7,7 +7,9 @@ the element's weight, goes to one of COORDINATES coordinates, and the dart of le
 are opened cell by cell until every coordinate has a dart, about k ln k + 2k darts whatever the
 number of elements. Two signatures agree in a coordinate with a probability equal to the weighted Jaccard similarity.
 
-Bands of ROWS coordinates are joined. Documents with the same element set are one node first. Nodes of a bucket
+Bands of ROWS coordinates are joined. Documents with the same element set are one node first. The buckets of the first FIRST_BANDS
+bands come first: their nodes are compared once, and the links found give components, within which nothing is compared
+any more, in whatever bucket; of all other buckets only those with several components go on. Nodes of a bucket
 of at most SMALL are all compared. In a larger bucket (copies of one text by the thousand) every node is compared with
 LEADERS of its nodes, the most central ones: those that share the most buckets, as an original does with its copies. Nodes
 that are similar to no leader go on among themselves if they can be similar to any: elements that no other such node has are
@@ -42,8 +44,11 @@ ROWS, BANDS = 5, 20
 COORDINATES = ROWS * BANDS
 #: Nodes of a bucket that are compared with each other.
 SMALL = 8
-#: Nodes that all others of a larger bucket are compared with, in the first round.
+#: Nodes that all others of a larger bucket are compared with, in the first round after the first bands, and in these.
 LEADERS = 4
+FIRST_LEADERS = 2
+#: Bands whose buckets come first: they join four of five pairs of similarity 0.8, and nearly all closer ones.
+FIRST_BANDS = 4
 #: Rows of the broadcast bitmap that says which nodes' texts are wanted: at most 64 bits each, whatever the input.
 BITMAP_WORDS = 1 << 18
 #: Documents whose darts are thrown at once.
@@ -129,13 +134,13 @@ def _weight(uses: np.ndarray, weights: str) -> np.ndarray:
     return uses.astype(np.float64) if weights == "count" else np.ones(len(uses))
 
 
-def _sketch(weights: str):
+def _sketch(weights: str, text_col: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi in slices(b.column("text")):
+            for lo, hi in slices(_text_of(b, text_col)):
                 for lo2 in range(lo, hi, GROUP):
                     part = b.slice(lo2, min(GROUP, hi - lo2))
-                    text, h, uses = elements(Words(*text_bytes(part.column("text"))))
+                    text, h, uses = elements(Words(*text_bytes(_text_of(part, text_col))))
                     weight = _weight(uses, weights)
                     sig = signatures(text, h, weight, len(part))
                     band = _bands(sig)
@@ -147,11 +152,16 @@ def _sketch(weights: str):
                         name = (int(own[a:z].sum()), int(mix64(own[a:z] ^ np.uint64(0xE7037ED1A0B428DB)).sum()) ^ (z - a))
                         node.append(b"".join(x.to_bytes(8, "big") for x in name) if z > a else None)
                         bands.append(band[d].view(np.int64).tolist() if z > a else [])
-                    yield pa.RecordBatch.from_arrays([part.column("row"), part.column("text"), pa.array(node, pa.binary()),
-                                                      pa.array(bands, pa.list_(pa.int64()))], ["row", "text", "node", "bands"])
+                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(node, pa.binary()),
+                                                      pa.array(bands, pa.list_(pa.int64()))], ["row", "node", "bands"])
     return run
 
 
+def _text_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts inside the rows of a batch."""
+    return batch.column("row").field(text_col).cast(pa.string())
+
+
 def _bands(sig: np.ndarray) -> np.ndarray:
     """[text, band] hashes of ROWS coordinates each."""
     out = np.full((len(sig), BANDS), 0x2545F4914F6CDD1D, np.uint64)
@@ -225,28 +235,49 @@ def _with_texts(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """Members (bucket, node) of buckets with several nodes, with the number of nodes."""
+    """Members (bucket, node and others) of buckets with several nodes, with the number of nodes."""
     size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return scratch_table(members.join(size, "bucket").select("bucket", "node", "n"), "near-members")
+    return scratch_table(members.join(size, "bucket"), "near-members")
+
+
+def _apart(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of buckets whose nodes are in several components, with the label of each node's (a node without a link: itself)."""
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    known = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = known.groupBy("bucket").agg((F.min("label") != F.max("label")).alias("several")).filter("several").select("bucket")
+    return scratch_table(known.join(several, "bucket"), "near-apart")
 
 
 def _small_pairs(members: DataFrame) -> DataFrame:
-    """All pairs a < b of buckets of at most SMALL nodes."""
-    few = members.filter(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-    pair = F.expr("flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> struct(x AS a, y AS b))))")
+    """All pairs a < b of different components of buckets of at most SMALL nodes."""
+    few = members.filter(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set(F.struct("node", "label"))).alias("nodes"))
+    pair = F.expr("filter(flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> "
+                  "struct(x.node AS a, y.node AS b, x.label = y.label AS same)))), p -> NOT p.same)")
     return few.select(F.explode(pair).alias("p")).select("p.a", "p.b")
 
 
 def _star_pairs(members: DataFrame, leaders: int) -> DataFrame:
-    """(bucket, k, a, b) of the nodes b of larger buckets with each of the bucket's leaders a, the k-th of them.
+    """(bucket, k, a, b, same) of the nodes b of larger buckets with each of the bucket's leaders a, the k-th of them, and
+    whether they are in one component.
 
     A node's centrality is the number of nodes it shares buckets with; the most central node of each of
     ``leaders`` hash classes of a bucket leads."""
     large = members.filter(F.col("n") > SMALL)
     central = large.groupBy("node").agg(F.sum("n").alias("c"))
     best = (large.join(central, "node").groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("k"))
-            .agg(F.max(F.struct("c", "node")).alias("best")).select("bucket", "k", F.col("best.node").alias("a")))
-    return large.select("bucket", F.col("node").alias("b")).join(best, "bucket").filter("a <> b")
+            .agg(F.max(F.struct("c", "node", "label")).alias("best"))
+            .select("bucket", "k", F.col("best.node").alias("a"), F.col("best.label").alias("label_a")))
+    return (large.select("bucket", F.col("node").alias("b"), "label").join(best, "bucket").filter("a <> b")
+            .select("bucket", "k", "a", "b", (F.col("label") == F.col("label_a")).alias("same")))
+
+
+def _compared(members: DataFrame, leaders: int, nodes: DataFrame, weights: str) -> tuple[DataFrame, DataFrame]:
+    """(star pairs, verified similarities) of one round over members with labels."""
+    stars = scratch_table(_star_pairs(members, leaders), "near-stars")
+    pairs = _small_pairs(members).unionByName(stars.filter("NOT same").select("a", "b"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stars, _verified(scratch_table(pairs, "near-pairs"), nodes, weights)
 
 
 def _masses(wanted: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
@@ -280,34 +311,39 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
     return scratch_table(_with_texts(pairs, nodes).mapInArrow(_verify(weights), "a binary, b binary, sim double"), "near-links")
 
 
-def links(nodes: DataFrame, weights: str, threshold: float) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
-    """Verified links (a, b) between nodes; the members of shared buckets; distances (bucket, k, node, d) to their first leaders.
+def links(nodes: DataFrame, weights: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Verified links (a, b) between nodes; the members of shared buckets; distances (bucket, k, node, d) to leaders, where
+    known.
 
     The links of large buckets connect nodes with leaders (see the module); _open_pairs has the rest."""
-    first = members = _shared(nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket")))
-    found, far, leaders = None, None, LEADERS
+    banded = nodes.select("node", "bands").dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "bucket"))
+    every = _shared(banded)
+    _, sims = _compared(_apart(every.filter(F.col("band") < FIRST_BANDS), None), FIRST_LEADERS, nodes, weights)
+    found = sims.filter(F.col("sim") >= threshold).select("a", "b")
+    labels = components(found)
+    members, far, leaders = _apart(every, labels), None, LEADERS
     while not members.isEmpty():
-        stars = scratch_table(_star_pairs(members, leaders), "near-stars")
-        pairs = scratch_table(_small_pairs(members).unionByName(stars.select("a", "b")).distinct(), "near-pairs")
-        sims = _verified(pairs, nodes, weights)
+        stars, sims = _compared(members, leaders, nodes, weights)
         ok = sims.filter(F.col("sim") >= threshold).select("a", "b")
-        found = ok if found is None else found.unionByName(ok)
+        found = found.unionByName(ok)
+        apart = stars.withColumn("x", F.least("a", "b")).withColumn("y", F.greatest("a", "b"))
+        known = apart.join(sims.select(F.col("a").alias("x"), F.col("b").alias("y"), "sim"), ["x", "y"], "left")
         if far is None:
-            far = (stars.join(sims, ["a", "b"]).select("bucket", "k", F.col("b").alias("node"), (1 - F.col("sim")).alias("d"))
+            far = (known.filter("sim is not null").select("bucket", "k", F.col("b").alias("node"), (1 - F.col("sim")).alias("d"))
                    .unionByName(stars.select("bucket", "k", F.col("a").alias("node"), F.lit(0.0).alias("d")).distinct()))
-        # Nodes that are similar to no leader of their bucket; a leader has been compared with all of it.
-        led = stars.select("bucket", F.col("a").alias("b")).distinct().withColumn("lead", F.lit(1))
-        rejected = (stars.join(ok.withColumn("ok", F.lit(1)), ["a", "b"], "left").groupBy("bucket", "b").agg(F.max("ok").alias("ok"))
-                    .filter("ok is null").join(led, ["bucket", "b"], "left_anti").select("bucket", F.col("b").alias("node")))
+        # Nodes that are in no leader's component of their bucket; a leader has been compared with all of it.
+        led = stars.select("bucket", F.col("a").alias("b")).distinct()
+        rejected = (known.groupBy("bucket", "b").agg(F.max(F.col("same") | F.coalesce(F.col("sim") >= threshold, F.lit(False))).alias("ok"))
+                    .filter("NOT ok").join(led, ["bucket", "b"], "left_anti").select("bucket", F.col("b").alias("node")))
         rejected = scratch_table(rejected, "near-rejected")
         if rejected.isEmpty():
             break
-        members = _shared(_can_link(rejected, nodes, weights, threshold))
+        members = _apart(_shared(_can_link(rejected, nodes, weights, threshold)), labels)
         leaders *= 2
-    return found, first, far
+    return found, every, far
 
 
-def _open_pairs(members: DataFrame, far: DataFrame, labels: DataFrame, nodes: DataFrame, weights: str, threshold: float) -> DataFrame | None:
+def _open_pairs(members: DataFrame, far: DataFrame | None, labels: DataFrame, nodes: DataFrame, weights: str, threshold: float) -> DataFrame | None:
     """Pairs (a, b) of nodes of a large bucket that are in different components and may reach the threshold; None if there are none.
 
     All nodes of a bucket outside its largest component are paired with all of the bucket. A pair is left out only if its distances
@@ -320,16 +356,17 @@ def _open_pairs(members: DataFrame, far: DataFrame, labels: DataFrame, nodes: Da
     several = scratch_table(label.join(main, "bucket"), "near-open")
     if several.isEmpty():
         return None
-    k = range(LEADERS)
-    dist = far.groupBy("bucket", "node").agg(*[F.min(F.when(F.col("k") == i, F.col("d"))).alias(f"d{i}") for i in k])
-    known = several.join(_masses(several, nodes, weights), "node").join(dist, ["bucket", "node"], "left")
+    known, k = several.join(_masses(several, nodes, weights), "node"), range(LEADERS if far is not None else 0)
+    if far is not None:
+        dist = far.groupBy("bucket", "node").agg(*[F.min(F.when(F.col("k") == i, F.col("d"))).alias(f"d{i}") for i in k])
+        known = known.join(dist, ["bucket", "node"], "left")
     known = scratch_table(known, "near-known")
     least = known.groupBy("bucket").agg(F.min("mass").alias("least"))
     outside = _may_reach(known.filter("label <> main").join(least, "bucket"), threshold).drop("least")
     x = outside.select("bucket", *[F.col(c).alias(f"x_{c}") for c in outside.columns if c != "bucket"])
     both = known.join(x, "bucket").filter("label <> x_label").filter(
         F.least("c", "x_c") * (1 + threshold) >= threshold * (F.col("mass") + F.col("x_mass")) - 1e-9)
-    for i in k:  # no distance: the bucket has no such leader
+    for i in k:  # no distance: the bucket has no such leader, or they were in one component and not compared
         both = both.filter(F.coalesce(F.abs(F.col(f"d{i}") - F.col(f"x_d{i}")) <= 1 - threshold + 1e-9, F.lit(True)))
     return scratch_table(both.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct(), "near-pairs")
 
@@ -338,7 +375,7 @@ def linked(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
     """(node, label) of every node that has a link to a node of a shared bucket; the label is the least node of its component."""
     nodes = sketches.filter("node is not null")
     found, members, far = links(nodes, weights, threshold)
-    if found is None:
+    if found.isEmpty():
         return sketches.select("node", F.col("node").alias("label")).limit(0)
     labels = components(found)
     pairs = _open_pairs(members, far, labels, nodes, weights, threshold)
@@ -385,10 +422,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, weights: str, threshold: float) -> DataFrame:
     """row (all columns), id, label (null: alone), class_id, class_size."""
-    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sketches = scratch_table(own.mapInArrow(_sketch(weights), with_fields(own, "text string, node binary, bands array<long>", "row")),
-                             "near-sketches")
-    labels = linked(sketches, weights, threshold)
+    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    sketches = scratch_table(own.mapInArrow(_sketch(weights, text_col), with_fields(own, "node binary, bands array<long>", "row")), "near-sketches")
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    labels = linked(sketches.select(text.alias("text"), "node", "bands"), weights, threshold)
     named = (sketches.select("row", F.col("row").getField(id_col).alias("id"), "node").join(labels, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     groups = (named.filter("label is not null").groupBy("label")

@@ -1,4 +1,4 @@
-"""Independent DuckDB SQL for the operators that SQL can express."""
+"""Independent DuckDB SQL for the operators that SQL can express (op1's windows can be written in SQL too, but take minutes)."""
 
 ORACLE: dict[str, str] = {}
 
@@ -32,6 +32,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
 
+# Similarity of word 5-gram sets of 0.8 or more, closed over chains; texts of fewer words have one element.
+ORACLE["op2_dart_minhash"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS e
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.e = b.e AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE c >= 0.8 * (nx.n + ny.n - c)),
+sym AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT x, y FROM sym UNION SELECT r.x, b.y FROM reach r JOIN sym b ON r.y = b.x),
+c AS (SELECT d.doc_id, least(d.doc_id, min(y)) AS class_id FROM d LEFT JOIN reach ON x = d.doc_id GROUP BY d.doc_id)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, doc_id = class_id AS kept FROM c
+"""
+
 ORACLE["op11_fill_in_middle"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u FROM d),

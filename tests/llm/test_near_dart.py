@@ -72,13 +72,13 @@ def test_chains_of_copies_in_a_large_group(spark, monkeypatch):
     # One bucket of all nodes, so that only the comparison within it decides.
     sketch = D._sketch
 
-    def one_bucket(weights):
-        run = sketch(weights)
+    def one_bucket(weights, text_col):
+        run = sketch(weights, text_col)
 
         def all_in_one(batches):
             for b in run(batches):
                 bands = pa.array([[1] if x else [] for x in b.column("bands").to_pylist()], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), b.column("node"), bands], b.schema.names)
+                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("node"), bands], b.schema.names)
         return all_in_one
     monkeypatch.setattr(D, "_sketch", one_bucket)
     rnd = random.Random(8)
