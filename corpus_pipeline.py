@@ -12,32 +12,38 @@ from pyspark.sql import DataFrame, SparkSession
 from martlake.llm import decontam, dedup_exact, near_dart, sentencepieces, toxicity
 from martlake.llm.columns import crc_mod, scratch_table
 from martlake.llm.queries import PIECE_MODEL
+from martlake.session import configure
 from martlake.sources.tables import read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labels that are not held out, does not reject."""
+    configure(spark)
     labels = read_table(spark, sf_dir, "labels").filter(crc_mod("doc_id", toxicity.FOLDS) != toxicity.HELD_OUT)
     return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id."""
+    configure(spark)
     return dedup_exact.drop_exact_duplicates(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the least doc_id."""
+    configure(spark)
     return near_dart.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
+    configure(spark)
     return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and n_tokens of every document left."""
+    configure(spark)
     return sentencepieces.encode(docs, public_tokenizers.path(PIECE_MODEL)).select("doc_id", "ids", "n_tokens")
 
 
