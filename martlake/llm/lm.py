@@ -3,8 +3,9 @@
 A small network reads the two words on either side of a position and gives a distribution over all tokens
 for the word in the middle; a text's score is the sum of the log-probabilities of its words, each
 predicted from both sides. Tokens are the most frequent words of the corpus, each on its own, and
-hash classes for all other words. Inside a hash class a word has its share of the class's uses in the corpus, whose counts stay in
-a table that is joined by word; words that the corpus does not have share one more use of their class. The distribution is factored (class, then token within the class), so it
+hash classes for all other words. Inside a hash class a word has its share of the class's uses in the corpus. The counts of the
+``SENT_WORDS`` most frequent words are sent to the scoring tasks, the others stay in a table that is joined by word; words
+that the corpus does not have share one more use of their class. The distribution is factored (class, then token within the class), so it
 sums to one over the vocabulary and costs two small softmaxes.
 
 Word counts are taken over all documents. Training is data-parallel over all documents: in each round every
@@ -36,7 +37,10 @@ FREQUENT = 768
 EDGE = VOCAB
 SIDE, DIM, HIDDEN = 2, 16, 32
 ROUNDS, BATCH, RATE = 2, 512, 0.05
-CHUNK = 1 << 16
+#: Positions that are scored at once, few enough for their arrays to stay in a core's cache.
+CHUNK = 1 << 12
+#: The most frequent words whose uses every scoring task has (16 bytes each); those of the others are joined.
+SENT_WORDS = 1 << 19
 
 SHAPES = {"emb": (VOCAB + 1, DIM), "w1": (2 * SIDE * DIM, HIDDEN), "b1": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
           "wt": (CLASSES, HIDDEN, PER_CLASS), "bt": (CLASSES, PER_CLASS)}
@@ -63,64 +67,88 @@ class Network:
         net.bt[:] = np.log(p / p.sum(axis=1, keepdims=True))
         return net
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Input and hidden layer, a row a position."""
         x = self.emb[context].reshape(len(context), -1)
-        h = np.tanh(x @ self.w1 + self.b1)
-        return x, h, _log_softmax(h @ self.wc + self.bc)
+        z = x @ self.w1
+        z += self.b1
+        return x, np.tanh(z, out=z)
 
     def log_prob(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         """log p(token | context) of each position."""
-        _, h, lc = self.forward(context)
+        _, h = self.hidden(context)
         cls, own = np.divmod(token, PER_CLASS)
-        out = lc[np.arange(len(token)), cls]
+        out = _log_of(self.wc.T @ h.T + self.bc[:, None], cls)
         for c, i in _by_class(cls):
-            out[i] += _log_softmax(h[i] @ self.wt[c] + self.bt[c])[np.arange(len(i)), own[i]]
+            out[i] += _log_of(self.wt[c].T @ h[i].T + self.bt[c][:, None], own[i])
         return out
 
-    def gradient(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Gradient of the mean of -log p(token | context)."""
-        g = Network(np.zeros(SIZE, np.float32))
-        x, h, lc = self.forward(context)
-        n = len(token)
+    def gradient(self, context: np.ndarray, token: np.ndarray, into: Network | None = None) -> np.ndarray:
+        """Gradient of the mean of -log p(token | context); ``into`` is a network to hold it, whose values are lost."""
+        g = into or Network(np.empty(SIZE, np.float32))
+        g.flat[:] = 0
+        x, h = self.hidden(context)
+        n, each = len(token), np.arange(len(token))
         cls, own = np.divmod(token, PER_CLASS)
-        dc = np.exp(lc)
-        dc[np.arange(n), cls] -= 1
+        order = np.argsort(cls.astype(np.uint16), kind="stable")  # a radix sort
+        hs, cls, own = h[order], cls[order], own[order]
+        first = _firsts(cls)
+        parts = list(zip(cls[first].tolist(), first.tolist(), [*first[1:].tolist(), n], strict=True))
+        # Logits have a column a position: numpy takes long over many short rows.
+        dc = _softmax(self.wc.T @ hs.T + self.bc[:, None])
+        dc[cls, each] -= 1
         dc /= n
-        g.wc[:], g.bc[:] = h.T @ dc, dc.sum(axis=0)
-        dh = dc @ self.wc.T
-        order = np.argsort(cls, kind="stable")
-        hs, cls = h[order], cls[order]
-        first = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
-        parts = list(zip(cls[first].tolist(), first.tolist(), np.append(first[1:], n).tolist(), strict=True))
-        dt = self.bt[cls]
+        g.wc[:], g.bc[:] = (dc @ hs).T, dc.sum(axis=1)
+        back = dc.T @ self.wc.T
+        dt = np.empty((n, PER_CLASS), h.dtype)
         for c, lo, hi in parts:
-            dt[lo:hi] += hs[lo:hi] @ self.wt[c]
-        dt = np.exp(_log_softmax(dt))
-        dt[np.arange(n), own[order]] -= 1
+            np.dot(hs[lo:hi], self.wt[c], out=dt[lo:hi])
+        dt += self.bt[cls]
+        dt = _softmax(dt.T.copy())
+        dt[own, each] -= 1
         dt /= n
-        g.bt[cls[first]] = np.add.reduceat(dt, first, axis=0)
-        back = np.empty_like(hs)
+        g.bt[cls[first]] = np.add.reduceat(dt, first, axis=1).T
+        dt = np.ascontiguousarray(dt.T)
+        own, ht = np.empty_like(h), hs.T
         for c, lo, hi in parts:
-            g.wt[c] = hs[lo:hi].T @ dt[lo:hi]
-            back[lo:hi] = dt[lo:hi] @ self.wt[c].T
-        dh[order] += back
-        dz = dh * (1 - h * h)
+            d = dt[lo:hi]
+            g.wt[c] = np.dot(ht[:, lo:hi], d)
+            np.dot(d, self.wt[c].T, out=own[lo:hi])
+        back += own
+        dz = np.empty_like(h)
+        dz[order] = back
+        dz *= 1 - h * h
         g.w1[:], g.b1[:] = x.T @ dz, dz.sum(axis=0)
         word = context.reshape(-1)
-        order = np.argsort(word, kind="stable")
+        order = np.argsort(word.astype(np.uint16), kind="stable")
         word = word[order]
-        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        first = _firsts(word)
         g.emb[word[first]] = np.add.reduceat((dz @ self.w1.T).reshape(-1, DIM)[order], first, axis=0)
         return g.flat
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+
+
+def _log_of(x: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Log-softmax of each column of ``x`` in its ``row``."""
+    x -= x.max(axis=0)
+    out = x[row, np.arange(x.shape[1])]
+    return out - np.log(np.exp(x, out=x).sum(axis=0))
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each column of ``x``, in place."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    return x
 
 
 def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.uint16), kind="stable")
     own, cut = np.unique(cls[order], return_index=True)
     yield from zip(own.tolist(), np.split(order, cut[1:]), strict=True) if len(own) else ()
 
@@ -131,25 +159,35 @@ class Tokens:
     def __init__(self, frequent: np.ndarray):
         self.order = np.argsort(frequent)
         self.known = frequent[self.order]
+        # The known words that begin with the same 16 bits are known[first[bits]:first[bits + 1]].
+        self.first = np.searchsorted(self.known >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype(np.int32)
 
     def of(self, h: np.ndarray) -> np.ndarray:
         out = FREQUENT + (h % np.uint64(VOCAB - FREQUENT)).astype(np.int64)
         if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-            out = np.where(self.known[at] == h, self.order[at], out)
+            bits = (h >> np.uint64(48)).astype(np.int32)
+            at, end = self.first[bits], self.first[bits + 1]
+            own = np.flatnonzero(at < end)
+            while len(own):
+                k = at[own]
+                same = self.known[k] == h[own]
+                out[own[same]] = self.order[k[same]]
+                at[own] += 1
+                own = own[~same & (at[own] < end[own])]
         return out
 
     def positions(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(context, token, text) of every word."""
         text = w.text_of()
         token = self.of(w.hash)
-        pad = np.concatenate([np.full(SIDE, EDGE), token, np.full(SIDE, EDGE)])
-        whose = np.concatenate([np.full(SIDE, -1), text, np.full(SIDE, -1)])
+        edge, none = np.full(SIDE, EDGE, np.int16), np.full(SIDE, -1)
+        pad = np.concatenate([edge, token, edge], dtype=np.int16, casting="unsafe")
+        whose = np.concatenate([none, text, none])
         n = len(token)
-        context = np.empty((n, 2 * SIDE), np.int64)
+        context = np.empty((n, 2 * SIDE), np.int16)
         for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
             at = slice(SIDE + d, SIDE + d + n)
-            context[:, k] = np.where(whose[at] == text, pad[at], EDGE)
+            context[:, k] = np.where(whose[at] == text, pad[at], np.int16(EDGE))
         return context, token, text
 
 
@@ -167,6 +205,8 @@ class Model(NamedTuple):
     counts: DataFrame
     #: Uses of each token.
     uses: np.ndarray
+    #: The SENT_WORDS most frequent words (hashes in order) and the logs of their uses.
+    sent: tuple[np.ndarray, np.ndarray]
 
 
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
@@ -189,6 +229,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
         def train(batches: Iterator[pa.RecordBatch], sent=sent, r=r) -> Iterator[pa.RecordBatch]:
             known, flat = sent.value
             local, squares, seen = Network(flat.copy()), np.full(SIZE, 1e-6, np.float32), 0
+            held, step = Network(np.empty(SIZE, np.float32)), np.empty(SIZE, np.float32)
             for b in batches:
                 for lo, hi in slices(b.column("text")):
                     w = Words(*text_bytes(b.column("text").slice(lo, hi - lo)))
@@ -196,11 +237,13 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
                     nth = np.arange(len(token)) - w.first[text]
                     use = np.flatnonzero(nth % rounds == r)
                     use = np.random.default_rng(r).permutation(use)
+                    context, token = context[use], token[use]
                     for at in range(0, len(use), BATCH):
-                        i = use[at:at + BATCH]
-                        g = local.gradient(context[i], token[i])
-                        squares += g * g
-                        local.flat -= RATE * g / np.sqrt(squares)
+                        g = local.gradient(context[at:at + BATCH], token[at:at + BATCH], held)
+                        squares += np.multiply(g, g, out=step)
+                        g *= RATE
+                        g /= np.sqrt(squares, out=step)
+                        local.flat -= g
                     seen += len(use)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(SIZE + 1), pa.int32()), pa.array(
@@ -211,15 +254,16 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Model:
             v = np.zeros(SIZE + 1)
             v[got["i"]] = got["v"]
             net = Network((v[:-1] / v[-1]).astype(np.float32))
-    return Model(tokens, net, counts, freq)
+    often = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(SENT_WORDS).orderBy("word").toPandas()
+    return Model(tokens, net, counts, freq, (often["word"].to_numpy(np.int64), np.log(often["n"].to_numpy(np.float64))))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, log_likelihood (summed conditional log-probabilities) and mean_log_prob of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.tokens, model.net.flat, np.log(model.uses[FREQUENT:] + 1)))
+    sent = docs.sparkSession.sparkContext.broadcast((model.tokens, model.net.flat, np.log(model.uses[FREQUENT:] + 1), *model.sent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, flat, of_class = sent.value
+        tokens, flat, of_class, often, log_uses = sent.value
         net = Network(flat)
         for b in batches:
             for lo, hi in slices(b.column("text")):
@@ -232,6 +276,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     s += np.bincount(text[i], net.log_prob(context[i], token[i]).astype(np.float64), len(part))
                 rare = np.flatnonzero(token >= FREQUENT)
                 s -= np.bincount(text[rare], of_class[token[rare] - FREQUENT], len(part))
+                word, turn = np.unique(w.hash[rare].view(np.int64), return_inverse=True)
+                own, left = np.zeros(len(word)), np.ones(len(word), bool)
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, word), len(often) - 1)
+                    left = often[at] != word
+                    own[~left] = log_uses[at[~left]]
+                s += np.bincount(text[rare], own[turn], len(part))
+                rare = rare[left[turn]]
                 off = pa.array(np.searchsorted(text[rare], np.arange(len(part) + 1)), pa.int32())
                 n = np.bincount(text, minlength=len(part))
                 yield pa.RecordBatch.from_arrays(
@@ -241,8 +293,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     own = id_text(docs, id_col, text_col)
     scored = scratch_table(own.mapInArrow(run, with_fields(own, "n_words long, s double, rare array<long>"))
                            .withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    # Words that stand for a hash class: log of their own uses; a word that the corpus does not have counts as used once.
-    uses = (scored.select("row", F.explode("rare").alias("word")).join(model.counts, "word")
+    # Words that stand for a hash class: log of their own uses; a word that the corpus does not have counts as used once, and a
+    # word that is used once has a log of 0.
+    uses = (scored.select("row", F.explode("rare").alias("word")).join(model.counts.filter("n > 1"), "word")
             .groupBy("row").agg(F.sum(F.log("n")).alias("own")))
     total = F.col("s") + F.coalesce("own", F.lit(0.0))
     return (scored.select("row", "doc_id", "n_words", "s").join(uses, "row", "left")

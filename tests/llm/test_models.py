@@ -251,6 +251,24 @@ def test_words_of_one_hash_class_have_their_own_probability(spark):
     assert got[4] == 0
 
 
+def test_words_whose_uses_are_not_sent_are_joined(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    docs = table(spark, [(i, " ".join(f"w{k}" for k in r.zipf(1.3, 300) % 4000)) for i in range(40)]).repartition(1)
+    got = []
+    for sent in (lm.SENT_WORDS, 5, 0):
+        monkeypatch.setattr(lm, "SENT_WORDS", sent)
+        model = lm.fit(docs)
+        assert len(model.sent[0]) == len(model.sent[1]) <= sent
+        got.append(sorted((x.doc_id, round(x.log_likelihood, 6)) for x in lm.score(docs, model).collect()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_frequent_words_that_begin_alike():
+    known = np.array([5, 7, 5 << 50, (5 << 50) + 1, 2**64 - 1], np.uint64)
+    h = np.concatenate([known, known + np.uint64(2)])
+    assert lm.Tokens(known).of(h).tolist() == [0, 1, 2, 3, 4, 1] + [lm.FREQUENT + int(x % np.uint64(lm.VOCAB - lm.FREQUENT)) for x in h[6:]]
+
+
 def test_scoring_prefers_what_the_corpus_says(spark):
     base = "the cat sat on the mat and the dog sat on the rug".split()
     docs = [(i, " ".join(base * 20)) for i in range(40)]
