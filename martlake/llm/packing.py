@@ -27,6 +27,8 @@ from martlake.llm.pieces import Memo, byte_lengths, once, piece_ids, safe_pieces
 
 LENGTH = 2048
 BLOCK_TOKENS = 4 << 20
+#: Distinct pieces that one Python worker remembers, about 200 bytes each.
+REMEMBERED = 1_000_000
 
 
 class Capacities:
@@ -92,7 +94,7 @@ def _memo(path: str) -> Memo:
         t.no_truncation()
         t.no_padding()
         size = byte_lengths(t)
-        return Memo(lambda new: piece_ids(t, size, new))
+        return Memo(lambda new: piece_ids(t, size, new), REMEMBERED)
     return once(("ids", path), make)
 
 
@@ -146,10 +148,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH
             typ = b.schema.field("doc_id").type
             for lo, hi in slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
-                pieces = [safe_pieces(t) for t in part.column("text").to_pylist()]
-                ids = memo.look_up(pieces)
-                for name, p in zip(part.column("doc_id").to_pylist(), pieces, strict=True):
-                    held.append((name, b"".join(map(ids, p)) + end))
+                pieces, cut = [], [0]
+                for t in part.column("text").to_pylist():
+                    pieces += safe_pieces(t)
+                    cut.append(len(pieces))
+                ids = memo.values(pieces)
+                for name, a, z in zip(part.column("doc_id").to_pylist(), cut, cut[1:]):
+                    held.append((name, b"".join(ids[a:z]) + end))
                     total += len(held[-1][1]) // 4
                 if total >= block_tokens:
                     yield _pack(held, length, pad, typ)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from llm_cases import EDGE, edge, empty
 
 from martlake.llm import packing, sentencepieces, token_counts
-from martlake.llm.pieces import byte_lengths, piece_ids, safe_pieces
+from martlake.llm.pieces import Memo, byte_lengths, piece_ids, safe_pieces
 
 BPE, MODEL = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 
@@ -141,6 +141,16 @@ def test_packing_is_lossless(spark, library):
     assert packing.pack(empty(spark), BPE, 50256).collect() == []
 
 
+def test_memo_makes_each_missing_piece_once():
+    made = []
+    memo = Memo(lambda new: made.append(sorted(new)) or [x.upper() for x in new], most=3)
+    long = "x" * 100
+    assert memo.values(["a", "b", "a", long]) == ["A", "B", "A", long.upper()] and made == [["a", "b", long]]
+    assert memo.values(["b", "a", "a"]) == ["B", "A", "A"] and len(made) == 1 and long not in memo.known
+    assert memo.values(["a", "c", "d", "c"]) == ["A", "C", "D", "C"] and made[1:] == [["c", "d"]]  # too many: forgets, but has found "a"
+    assert set(memo.known) == {"c", "d"} and memo.values([]) == []
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_fit_decreasing(lengths):
