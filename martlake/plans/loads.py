@@ -24,18 +24,20 @@ def load_product(raw: DataFrame, folder: str, as_of: str, tz_offset_hours: int =
     """The daily product load: raw snapshots -> cleaned rows -> Product, ProductSale, Inventory, Pricing, Brand and Seller.
 
     The raw rows and the cleaned rows are tables of the run (its landing and staging), so the inputs are scanned
-    once and the dates, the distinct and the sentinel filter run once, however many tables follow."""
+    once and the dates, the distinct and the sentinel filter run once, however many tables follow. The sales take the daily
+    quantities from their table, and inventory and pricing share one set of ordinal ids."""
     m = metrics or RunMetrics()
     raw = m.store("extracted", raw, f"{folder}/extracted")
     clean = m.store("transformed", prod.product_clean(raw, as_of, tz_offset_hours), f"{folder}/transformed")
-    daily = daily_last(clean, "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"])
+    daily = m.store("daily", daily_last(clean, "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", "_seq"]), f"{folder}/daily")
+    numbered = prod.ordinals(raw)
     tables = {
-        "daily": daily, "product": prod.product_dim(clean), "product_sale": prod.product_sale(clean),
-        "inventory": prod.inventory_snapshot(raw, as_of, tz_offset_hours),
-        "pricing": prod.pricing_snapshot(raw, as_of, tz_offset_hours),
+        "product": prod.product_dim(clean), "product_sale": prod.product_sale(clean, daily),
+        "inventory": prod.inventory_snapshot(numbered, as_of, tz_offset_hours),
+        "pricing": prod.pricing_snapshot(numbered, as_of, tz_offset_hours),
         "brand": prod.brand_dim(raw), "seller": prod.seller_dim(raw),
     }
-    return {name: m.store(name, df, f"{folder}/{name}") for name, df in tables.items()}, m
+    return {"daily": daily} | {name: m.store(name, df, f"{folder}/{name}") for name, df in tables.items()}, m
 
 
 def load_category(menu: DataFrame, pages: DataFrame, groups: Sequence[str] | DataFrame, folder: str,

@@ -115,10 +115,11 @@ def product_sale_of(values: DataFrame) -> DataFrame:
                     F.explode(F.array_repeat(F.lit(True), F.col("n").cast("int"))).alias("_row")).drop("_row")
 
 
-def product_sale(clean: DataFrame) -> DataFrame:
+def product_sale(clean: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """Each clean row with the day-over-day change of its product's daily last
-    quantity; rows without a date get change 0."""
-    daily = daily_last(clean, "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", SEQ])
+    quantity (``daily``, if it is there already); rows without a date get change 0."""
+    if daily is None:
+        daily = daily_last(clean, "ProductID", "LastUpdated", "QuantitySold", ["LastUpdated", SEQ])
     changes = day_change(daily, "ProductID", "Day", "QuantitySold")
     rows = spread_day_change(clean.select("ProductID", "QuantitySold", "LastUpdated"), changes,
                              "ProductID", "LastUpdated", "Day", "QuantityFluctuation")
@@ -126,24 +127,34 @@ def product_sale(clean: DataFrame) -> DataFrame:
                        date_text("LastUpdated").alias("LastUpdated"))
 
 
+def ordinals(raw: DataFrame) -> DataFrame:
+    """What the inventory and pricing tables need of every raw row, with its dense id in arrival order (``_id``)."""
+    return dense_id(raw.select("product_id", "inventory_status", "inventory_type", "pricing_current", "pricing_original", SEQ),
+                    [F.col(SEQ)], "_id")
+
+
 def inventory_snapshot(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS,
                        run_id: str | None = None) -> DataFrame:
-    """Every raw row with a dense InventoryID in arrival order and the run time."""
+    """Every raw row with a dense InventoryID in arrival order (that of :func:`ordinals`, if the rows have it) and the run time."""
     ref = reference_time(as_of, tz_offset_hours)
     r = raw.select(zero_if_null(F.col("product_id")).alias("ProductID"),
-                   F.col("inventory_status").alias("Status"), F.col("inventory_type").alias("Type"), SEQ)
-    r = dense_id(r, [F.col(SEQ)], "InventoryID")
+                   F.col("inventory_status").alias("Status"), F.col("inventory_type").alias("Type"),
+                   *([F.col("_id").alias("InventoryID")] if "_id" in raw.columns else [SEQ]))
+    if "_id" not in raw.columns:
+        r = dense_id(r, [F.col(SEQ)], "InventoryID")
     return tag_run(r.select("InventoryID", "ProductID", "Status", "Type", ts_text(ref).alias("LastUpdated")), run_id)
 
 
 def pricing_snapshot(raw: DataFrame, as_of: str, tz_offset_hours: int = DEFAULT_TZ_OFFSET_HOURS,
                      run_id: str | None = None) -> DataFrame:
-    """Every raw row with a dense PricingID, prices null -> 0.0, and the run time."""
+    """Every raw row with a dense PricingID (as in the inventory), prices null -> 0.0, and the run time."""
     ref = reference_time(as_of, tz_offset_hours)
     r = raw.select(zero_if_null(F.col("product_id")).alias("ProductID"),
                    zero_float_if_null("pricing_current").alias("CurrentPrice"),
-                   zero_float_if_null("pricing_original").alias("OriginalPrice"), SEQ)
-    r = dense_id(r, [F.col(SEQ)], "PricingID")
+                   zero_float_if_null("pricing_original").alias("OriginalPrice"),
+                   *([F.col("_id").alias("PricingID")] if "_id" in raw.columns else [SEQ]))
+    if "_id" not in raw.columns:
+        r = dense_id(r, [F.col(SEQ)], "PricingID")
     out = r.select("PricingID", "ProductID", "CurrentPrice", "OriginalPrice", ts_text(ref).alias("LastUpdated"))
     return tag_run(out, run_id)
 

@@ -51,6 +51,19 @@ def test_the_product_load_reads_its_inputs_once(spark, tmp_path):
     assert rows(tables["product_sale"]) == rows(catalog.REGISTRY["product_sale"](spark, SF_SMALL))
 
 
+def test_the_product_load_numbers_and_dates_its_rows_once(spark, tmp_path, monkeypatch):
+    from martlake.plans import loads, product
+    calls = []
+    for module, name in [(product, "dense_id"), (product, "daily_last"), (loads, "daily_last")]:
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), n=name, **k: calls.append(n) or f(*a, **k))
+    raw = B.raw_product(spark, SF_SMALL)
+    tables, _ = load_product(raw, str(tmp_path), B.AS_OF, B.PRODUCT_TZ_OFFSET_HOURS)
+    assert sorted(calls) == ["daily_last", "dense_id"]
+    for name in ("inventory", "pricing"):
+        alone = catalog.REGISTRY[f"{name}_snapshot"](spark, SF_SMALL)
+        assert tables[name].columns == alone.columns and rows(tables[name]) == rows(alone)
+
+
 def test_split_sink_drops_nothing(spark, tmp_path):
     m = RunMetrics()
     df = spark.createDataFrame([(1, "7"), (2, "x"), (3, None), (4, "8")], "k bigint, v string")
