@@ -14,7 +14,7 @@ of at most SMALL are all compared. In a larger bucket (copies of one text by the
 LEADERS of its nodes, the most central ones: those that share the most buckets, as an original does with its copies. Nodes
 that are similar to no leader go on among themselves if they can be similar to any: elements that no other such node has are
 lost to every pair, which bounds a node's similarity from above, and rules out copies whose edits are their own.
-The others form the bucket anew, with twice the leaders, until none is left. A node that is similar to a leader is settled
+The others form the bucket anew, with twice the leaders, until at most REST are left. A node that is similar to a leader is settled
 and leaves the bucket. What the leaders leave undecided is closed exactly: in every large bucket whose nodes are in several components
 by then, nodes outside its largest component are compared with all nodes of other components, except pairs that cannot reach the
 threshold by the triangle inequality (1 - similarity is a metric, and all distances to the first leaders are known) or by the weight
@@ -47,6 +47,8 @@ SMALL = 8
 #: Nodes that all others of a larger bucket are compared with, in the first round after the first bands, and in these.
 LEADERS = 4
 FIRST_LEADERS = 2
+#: Rejected members of buckets that are worth another round; fewer are left to the closing step, which compares them anyway.
+REST = 1 << 14
 #: Bands whose buckets come first: they join four of five pairs of similarity 0.8, and nearly all closer ones.
 FIRST_BANDS = 4
 #: Rows of the broadcast bitmap that says which nodes' texts are wanted: at most 64 bits each, whatever the input.
@@ -336,7 +338,7 @@ def links(nodes: DataFrame, weights: str, threshold: float) -> tuple[DataFrame,
         rejected = (known.groupBy("bucket", "b").agg(F.max(F.col("same") | F.coalesce(F.col("sim") >= threshold, F.lit(False))).alias("ok"))
                     .filter("NOT ok").join(led, ["bucket", "b"], "left_anti").select("bucket", F.col("b").alias("node")))
         rejected = scratch_table(rejected, "near-rejected")
-        if rejected.isEmpty():
+        if rejected.limit(REST + 1).count() <= REST:
             break
         members = _apart(_shared(_can_link(rejected, nodes, weights, threshold)), labels)
         leaders *= 2

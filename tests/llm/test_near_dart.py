@@ -68,6 +68,18 @@ def test_classes(spark, monkeypatch, small):
     assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("rest", [0, D.REST])
+def test_few_rejected_nodes_take_no_further_round(spark, monkeypatch, rest):
+    calls, compared = [], D._compared
+    monkeypatch.setattr(D, "SMALL", 2)
+    monkeypatch.setattr(D, "REST", rest)
+    monkeypatch.setattr(D, "_compared", lambda *a: calls.append(1) or compared(*a))
+    rows = corpus()
+    got = D.near_classes(table(spark, rows).repartition(4))
+    assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows)
+    assert len(calls) <= 2 or not rest
+
+
 def test_chains_of_copies_in_a_large_group(spark, monkeypatch):
     # One bucket of all nodes, so that only the comparison within it decides.
     sketch = D._sketch
