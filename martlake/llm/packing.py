@@ -22,11 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from martlake.llm.columns import id_text, slices
-from martlake.llm.pieces import Memo, byte_lengths, once, piece_ids, safe_pieces
+from martlake.llm.columns import id_text, slices, text_bytes
+from martlake.llm.pieces import Memo, byte_lengths, once, piece_ids, spread, white_cuts
 
 LENGTH = 2048
 BLOCK_TOKENS = 4 << 20
+#: Slices whose distinct pieces are looked up at once.
+SLICES = 4
 #: Distinct pieces that one Python worker remembers, about 200 bytes each.
 REMEMBERED = 1_000_000
 
@@ -146,19 +148,20 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH
         memo, held, total, typ = _memo(tokenizer_path), [], 0, None
         for b in batches:
             typ = b.schema.field("doc_id").type
-            for lo, hi in slices(b.column("text")):
-                part = b.slice(lo, hi - lo)
-                pieces, cut = [], [0]
-                for t in part.column("text").to_pylist():
-                    pieces += safe_pieces(t)
-                    cut.append(len(pieces))
-                ids = memo.values(pieces)
-                for name, a, z in zip(part.column("doc_id").to_pylist(), cut, cut[1:]):
-                    held.append((name, b"".join(ids[a:z]) + end))
-                    total += len(held[-1][1]) // 4
-                if total >= block_tokens:
-                    yield _pack(held, length, pad, typ)
-                    held, total = [], 0
+            cuts = list(slices(b.column("text")))
+            for k in range(0, len(cuts), SLICES):
+                first = cuts[k][0]
+                part = b.slice(first, cuts[k:k + SLICES][-1][1] - first)
+                data, offsets = text_bytes(part.column("text"))
+                ids, ends, _ = spread(data, offsets, white_cuts(data), memo.values)
+                names, ends = part.column("doc_id").to_pylist(), ends.tolist()
+                for lo, hi in cuts[k:k + SLICES]:
+                    for i in range(lo - first, hi - first):
+                        held.append((names[i], ids[ends[i]:ends[i + 1]].tobytes() + end))
+                        total += len(held[-1][1]) // 4
+                    if total >= block_tokens:
+                        yield _pack(held, length, pad, typ)
+                        held, total = [], 0
         if held:
             yield _pack(held, length, pad, typ)
 

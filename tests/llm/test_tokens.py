@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from llm_cases import EDGE, edge, empty
 
 from martlake.llm import packing, sentencepieces, token_counts
-from martlake.llm.pieces import Memo, byte_lengths, piece_ids, safe_pieces
+from martlake.llm.columns import text_bytes
+from martlake.llm.pieces import Memo, byte_lengths, once, piece_ids, safe_pieces, spread, white_cuts
 
 BPE, MODEL = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 
@@ -50,6 +51,24 @@ def test_joined_pieces_keep_their_ids(texts):
     assert [np.frombuffer(x, "<i4").tolist() for x in piece_ids(own["lib"], wrong, new)] == [ids_of(own["lib"], p) for p in new]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(TEXT, max_size=12))
+def test_texts_get_the_ids_of_their_distinct_pieces(texts):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    lib = once(("test", BPE), lambda: Tokenizer.from_file(BPE))
+    data, offsets = text_bytes(pa.array(texts * 2, pa.string()))
+    seen = []
+
+    def values(pieces):
+        seen.extend(pieces)
+        return [np.array(ids_of(lib, p), "<i4").tobytes() + b"!" * ("\x1c" in p) for p in pieces]
+
+    ids, ends, extra = spread(data, offsets, white_cuts(data), values)
+    assert [ids[a:z].tolist() for a, z in zip(ends[:-1], ends[1:], strict=True)] == [ids_of(lib, t) for t in texts] * 2
+    assert len(seen) == len(set(seen)) and (extra > 0).tolist() == ["\x1c" in t for t in texts] * 2
+
+
 def test_counts(spark, library):
     got = sorted(map(str, token_counts.count_tokens(edge(spark), BPE, limit=10).collect()))
     from pyspark.sql import Row
