@@ -4,9 +4,9 @@ The model protobuf is parsed field by field (no protobuf runtime), and its parts
 normaliser (character map if the model has one, dummy prefix, white-space rules), the metaspace marker,
 the pieces with their scores (a unigram model, or a merge list ordered by score), and byte fallback.
 No piece of such a vocabulary carries the marker after another character (checked at load), so the
-tokens of a text are those of its marker-led chunks in a row: batches of distinct chunks are encoded
-multithreaded and remembered. Parity is verified, not assumed: the sentencepiece library encodes
-each distinct chunk too, and where the two differ its ids are taken and ``parity`` is false.
+tokens of a text are those of its marker-led chunks in a row: batches of distinct chunks are encoded,
+many as one string where the tokens show the cuts, and remembered. Parity is verified, not assumed: the sentencepiece library
+encodes each distinct chunk too, and where the two differ its ids are taken and ``parity`` is false. Texts are decoded from their ids.
 
 Defined cases: null text is the empty text with no tokens; characters outside the vocabulary become byte
 pieces; the marker character inside a text decodes as a blank, the only text that does not round-trip.
@@ -20,15 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.columns import id_text, slices, with_fields
-from martlake.llm.pieces import Memo, once
+from martlake.llm.columns import id_text, slices, text_bytes, with_fields
+from martlake.llm.pieces import JOINED, Memo, once, spread
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: Distinct chunks that one Python worker remembers during a task, about 200 bytes each.
+REMEMBERED = 200_000
 
 
 def _fields(buf: bytes) -> Iterator[tuple[int, object]]:
@@ -125,10 +128,13 @@ class Codec:
         self.model = Model(path)
         self.tokenizer, self.normalizer = self.model.tokenizer()
         self.reference = SentencePieceProcessor(model_file=path)
-        self.chunk = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.cuttable else None
+        #: Whether the normaliser only puts a marker first and in place of blanks.
+        self.plain = self.model.dummy_prefix and self.model.escape and not self.model.charsmap and not self.model.squeeze
         #: What each id decodes to.
         self.table = [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
-        self.memo = Memo(self._make)
+        self.size = np.array([len(x) for x in self.table], np.int64)
+        self.column = pa.array(self.table, pa.large_binary())
+        self.memo = Memo(self._make, REMEMBERED)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, without the blank that the encoder puts first: as the library decodes them, which is asked
@@ -139,30 +145,73 @@ class Codec:
             return self.tokenizer.decode(ids, skip_special_tokens=False)
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
-    def chunks(self, text: str) -> list[str]:
-        s = self.normalizer.normalize_str(text) if text else ""
-        return self.chunk.findall(s) if self.chunk else [s] if s else []
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """:meth:`decode` of each text's ids, ids[ends[i]:ends[i + 1]]."""
+        _, off, data = self.column.take(pa.array(ids)).buffers()
+        data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+        off = np.frombuffer(off, np.int64)[ends] if len(ids) else np.zeros_like(ends)
+        if self.model.dummy_prefix:
+            lead = off[:-1][np.diff(off) > 0]
+            lead = lead[data[lead] == 0x20]
+            data, off = np.delete(data, lead), off - np.searchsorted(lead, off)
+        try:
+            return pa.Array.from_buffers(pa.large_binary(), len(off) - 1, [None, pa.py_buffer(off), pa.py_buffer(data)]).cast(pa.large_string())
+        except pa.ArrowInvalid:
+            return pa.array([self.decode(ids[a:z].tolist()) for a, z in zip(ends[:-1], ends[1:], strict=True)], pa.large_string())
+
+    def _normalized(self, col: pa.Array) -> pa.Array:
+        if not self.plain:
+            return pa.array([self.normalizer.normalize_str(t) if t else "" for t in col.to_pylist()], pa.large_string())
+        col = col.cast(pa.large_string())
+        led = pc.replace_substring(pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), col, pa.scalar("", pa.large_string())), " ", MARK)
+        return pc.if_else(pc.equal(pc.binary_length(col), 0), col, led)
+
+    def _cuts(self, data: np.ndarray) -> np.ndarray:
+        """Places of the runs of markers."""
+        if not self.model.cuttable:
+            return np.empty(0, np.int64)
+        at = np.flatnonzero(data == 0xE2)
+        at = at[(data[at + 1] == 0x96) & (data[at + 2] == 0x81)]
+        return at[np.diff(at, prepend=-3) != 3]
+
+    def _make(self, new: list[str]) -> list[bytes]:
+        """Ids (little-endian int32) of each chunk, and one more byte where the two libraries differ."""
+        out: list[bytes | None] = [None] * len(new)
+        if self.plain and self.model.cuttable:
+            groups = [new[i:i + JOINED] for i in range(0, len(new), JOINED)]
+            for k, (group, m, t) in enumerate(zip(groups, *self._both(list(map("".join, groups))), strict=True)):
+                text = [c.replace(MARK, " ") for c in group]
+                if m == t and b"".join([self.table[i] for i in m]) == (whole := "".join(text)).encode():
+                    ends = np.cumsum(self.size[m])
+                    want = np.cumsum(list(map(len, text if whole.isascii() else map(str.encode, text))))
+                    at = np.searchsorted(ends, want)
+                    if (ends[at] == want).all():
+                        raw, cut = np.asarray(m, "<i4").tobytes(), [0, *(4 * (at + 1)).tolist()]
+                        out[k * JOINED:k * JOINED + len(group)] = [raw[a:z] for a, z in zip(cut, cut[1:])]
+        alone = [i for i, x in enumerate(out) if x is None]
+        for i, m, t in zip(alone, *self._both([new[i] for i in alone]), strict=True):
+            # No text is left of a lone marker, for which the library gives nothing.
+            differs = m != t and new[i] != (MARK if self.model.escape else "")
+            out[i] = np.array(t if differs else m, "<i4").tobytes() + b"!" * differs
+        return out
 
-    def _make(self, new: list[str]) -> list[tuple[bytes, bool, str]]:
-        """(ids as little-endian int32, parity, decoded text) of each chunk."""
-        mine = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+    def _both(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of normalised chunks from the tokenizers and from the sentencepiece library."""
+        mine = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         # A chunk starts with the marker, which the library adds as its dummy prefix.
-        plain = [c.removeprefix(MARK).replace(MARK, " ") if self.model.escape else c for c in new]
-        theirs = self.reference.encode(plain, num_threads=1)
-        ids = [m if m == t or not p else t for m, t, p in zip(mine, theirs, plain, strict=True)]
-        return [(np.array(i, "<i4").tobytes(), m == i, self.decode(i)) for i, m in zip(ids, mine, strict=True)]
+        return mine, self.reference.encode([c.removeprefix(MARK).replace(MARK, " ") if self.model.escape else c for c in chunks], num_threads=1)
+
+    def encode_all(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ends, parity) of an Arrow column of texts: text i has ids[ends[i]:ends[i + 1]]."""
+        data, offsets = text_bytes(self._normalized(col))
+        ids, ends, differ = spread(data, offsets, self._cuts(data), self.memo.values)
+        return ids, ends, differ == 0
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, str]]:
         """(ids, parity, decoded text) of each text."""
-        cut = [self.chunks(t) for t in texts]
-        value = self.memo.look_up(cut)
-        out = []
-        for chunks in cut:
-            got = [value(c) for c in chunks]
-            # Each chunk decodes without the blank of its first marker; only the text's first one is left out.
-            text = (" " if self.model.dummy_prefix else "").join(g[2] for g in got)
-            out.append((b"".join([g[0] for g in got]), all([g[1] for g in got]), text))
-        return out
+        ids, ends, parity = self.encode_all(pa.array(texts, pa.string()))
+        return [(ids[a:z].tobytes(), p, d) for a, z, p, d in
+                zip(ends[:-1], ends[1:], parity.tolist(), self.decode_all(ids, ends).to_pylist(), strict=True)]
 
 
 def codec(path: str) -> Codec:
@@ -176,13 +225,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         for b in batches:
             for lo, hi in slices(b.column("text")):
                 part = b.slice(lo, hi - lo)
-                got = c.encode(part.column("text").to_pylist())
-                flat = pa.array(np.frombuffer(b"".join([g[0] for g in got]), "<i4"))
-                off = np.concatenate([[0], np.cumsum([len(g[0]) // 4 for g in got])])
+                ids, ends, parity = c.encode_all(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(off, pa.int32()), flat),
-                     pa.array(np.diff(off), pa.int64()), pa.array([g[1] for g in got], pa.bool_()),
-                     pa.array([g[2] for g in got], pa.string())], ["doc_id", "ids", "n_tokens", "parity", "decoded"])
+                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                     pa.array(np.diff(ends), pa.int64()), pa.array(parity), c.decode_all(ids, ends).cast(pa.string())],
+                    ["doc_id", "ids", "n_tokens", "parity", "decoded"])
+        c.memo.clear()  # the worker serves other tasks next, which have little use for it
 
     own = id_text(docs, id_col, text_col)
     return own.mapInArrow(run, with_fields(own, "ids array<int>, n_tokens long, parity boolean, decoded string"))

@@ -108,6 +108,43 @@ def test_sentencepiece_parity_is_of_the_backend(text):
     assert decoded == text.replace("▁", " ")
 
 
+def test_new_chunks_are_encoded_as_few_strings():
+    c = sentencepieces.Codec(MODEL)
+    class Library:
+        given = 0
+        def encode(self, texts, **how):
+            Library.given += len(texts)
+            return own.encode(texts, **how)
+    own, c.reference = c.reference, Library()
+    text = " ".join(f"word{i}" for i in range(2000))
+    (ids, parity, decoded), = c.encode([text])
+    assert np.frombuffer(ids, "<i4").tolist() == own.encode(text) and parity and decoded == text
+    assert Library.given <= 10
+
+
+def test_where_the_libraries_differ_the_reference_counts():
+    c = sentencepieces.Codec(MODEL)
+    class Library:
+        def encode(self, texts, **how):
+            return [[*own.encode(t), 65] if "odd" in t else own.encode(t) for t in texts]
+    own, c.reference = c.reference, Library()
+    (a, pa_, da), (b, pb, db) = c.encode(["an odd text", "another"])
+    assert np.frombuffer(a, "<i4").tolist() == [*own.encode("an odd"), 65, *own.encode("text")] and not pa_
+    assert np.frombuffer(b, "<i4").tolist() == own.encode("another") and pb and db == "another"
+    assert da == c.decode(np.frombuffer(a, "<i4").tolist())
+
+
+def test_a_worker_forgets_chunks_after_a_task(spark):
+    import pyarrow as pa
+    sentencepieces.encode(edge(spark), MODEL).collect()
+
+    def known(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(sentencepieces.codec(MODEL).memo.known)] * len(b), pa.int64())], ["n"])
+
+    assert {r.n for r in spark.range(64).repartition(4).mapInArrow(known, "n long").collect()} == {0}
+
+
 def test_unigram_model_is_rebuilt(tmp_path):
     """A small unigram model, its protobuf written here field by field."""
     import struct
