@@ -20,7 +20,7 @@ by then, nodes outside its largest component are compared with all nodes of othe
 threshold by the triangle inequality (1 - similarity is a metric, and all distances to the first leaders are known) or by the weight
 of the elements that other such nodes have. So the classes are those of all pairs that share a bucket. Every pair is verified on the
 texts themselves (similarity >= THRESHOLD), hot partners split by skew joins. Classes are the connected components of the verified
-links, found by alternating star contraction on tables written to the shared folder.
+links, found by alternating star contraction on tables written to the shared folder; each task first joins up the links that it holds.
 
 Defined cases: a text without words (null, empty) is alone in its class; rows with equal element sets are one class; a null
 doc_id never names a class unless all its ids are null; of repeated rows of a class's first id one stays; an empty
@@ -53,6 +53,8 @@ REST = 1 << 14
 FIRST_BANDS = 4
 #: Rows of the broadcast bitmap that says which nodes' texts are wanted: at most 64 bits each, whatever the input.
 BITMAP_WORDS = 1 << 18
+#: Links that a task joins up at once.
+HELD_LINKS = 1 << 17
 #: Documents whose darts are thrown at once.
 GROUP = 256
 
@@ -388,11 +390,48 @@ def linked(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
     return labels
 
 
+def local_stars(a: list[bytes], b: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Links from the least node of each component of the links (a, b) to its other nodes."""
+    up: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        path = []
+        while (y := up.get(x, x)) != x:
+            path.append(x)
+            x = y
+        for p in path:
+            up[p] = x
+        return x
+
+    for x, y in zip(a, b, strict=True):
+        x, y = root(x), root(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+    others = list(up)
+    return [root(x) for x in others], others
+
+
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    a, b = [], []
+
+    def stars() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in local_stars(a, b)], ["a", "b"])
+
+    for batch in batches:
+        a += batch.column("a").to_pylist()
+        b += batch.column("b").to_pylist()
+        if len(a) >= HELD_LINKS:
+            yield stars()
+            a, b = [], []
+    yield stars()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node with a link; the label is the least node of its component.
 
     Each round points all neighbours of a node that are larger than it to its least neighbour, then a node and its
-    smaller neighbours to their least one, until nothing changes; links stay one or two per node.
+    smaller neighbours to their least one, until all links are stars; links stay one or two per node. Before, each task
+    puts stars in place of the links that it holds.
     """
     def step(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -407,17 +446,18 @@ def components(edges: DataFrame) -> DataFrame:
                 least.filter("m < u").select(F.col("m").alias("a"), F.col("u").alias("b")))
         return out.filter("a <> b").distinct()
 
-    def mark(e: DataFrame):
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def bent(e: DataFrame) -> bool:
+        """Whether a node has several smaller neighbours, or smaller and larger ones."""
+        ends = e.select(F.col("a").alias("node"), F.lit(0).alias("smaller")).unionByName(e.select(F.col("b").alias("node"), F.lit(1).alias("smaller")))
+        count = ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.count(F.lit(1)).alias("n"))
+        return not count.filter("smaller > 1 OR smaller = 1 AND n > 1").isEmpty()
 
-    e = scratch_table(edges.distinct(), "near-edges")
-    before = mark(e)
-    while before[0]:
-        e = scratch_table(step(step(e, True), False), "near-edges")
-        now = mark(e)
-        if now == before:
-            break
-        before = now
+    def written(e: DataFrame) -> DataFrame:
+        return scratch_table(e.mapInArrow(_joined_up, "a binary, b binary"), "near-edges")
+
+    e = written(edges.distinct())
+    while bent(e):
+        e = written(step(step(e, True), False))
     return e.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(
         e.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
 

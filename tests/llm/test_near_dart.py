@@ -112,6 +112,29 @@ def test_chains_of_copies_in_a_large_group(spark, monkeypatch):
     assert sorted(str(tuple(r)) for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("held", [1 << 17, 3])
+def test_components_of_chains_and_random_links(spark, monkeypatch, held):
+    """Links that one task holds are joined up by it, in one table; those of many tasks by rounds."""
+    written, own = [], D.scratch_table
+    monkeypatch.setattr(D, "scratch_table", lambda df, name: written.append(name) or own(df, name))
+    monkeypatch.setattr(D, "HELD_LINKS", held)
+    rnd = random.Random(3)
+    order = rnd.sample(range(60), 60)
+    pairs = list(zip(order, order[1:])) + [(100 + rnd.randrange(80), 100 + rnd.randrange(80)) for _ in range(50)]
+    pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
+    least = {x: x for p in pairs for x in p}
+    while any(least[a] != least[b] for a, b in pairs):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    edges = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in pairs], "a binary, b binary")
+    if held > 3:
+        edges = edges.coalesce(1)
+        monkeypatch.setattr(type(edges), "distinct", lambda self: self.dropDuplicates().coalesce(1))
+    got = D.components(edges).collect()
+    assert sorted((r.node[0], r.label[0]) for r in got) == sorted(least.items())
+    assert held == 3 or len(written) == 1
+
+
 def test_edges(spark):
     assert sorted(str(tuple(r)) for r in D.near_classes(edge(spark)).collect()) == brute(EDGE)
     assert D.near_classes(empty(spark)).collect() == []
