@@ -17,8 +17,10 @@ lost to every pair, which bounds a node's similarity from above, and rules out c
 The others form the bucket anew, with twice the leaders, until at most REST are left. A node that is similar to a leader is settled
 and leaves the bucket. What the leaders leave undecided is closed exactly: in every large bucket whose nodes are in several components
 by then, nodes outside its largest component are compared with all nodes of other components, except pairs that cannot reach the
-threshold by the triangle inequality (1 - similarity is a metric, and all distances to the first leaders are known) or by the weight
-of the elements that other such nodes have. So the classes are those of all pairs that share a bucket. Every pair is verified on the
+threshold by the triangle inequality (1 - similarity is a metric, and all distances to the first leaders are known), by the weight
+of the elements that other such nodes have, or by parity sketches: SKETCH_WORDS x 64 bits, of which each element turns over one. Bits
+that differ are at most as many as the elements of one text alone, whose weights are 1 or more, and this weight is what a pair's
+similarity leaves. So the classes are those of all pairs that share a bucket. Every pair is verified on the
 texts themselves (similarity >= THRESHOLD), hot partners split by skew joins. Classes are the connected components of the verified
 links, found by alternating star contraction on tables written to the shared folder; each task first joins up the links that it holds.
 
@@ -53,6 +55,8 @@ REST = 1 << 14
 FIRST_BANDS = 4
 #: Rows of the broadcast bitmap that says which nodes' texts are wanted: at most 64 bits each, whatever the input.
 BITMAP_WORDS = 1 << 18
+#: Words of 64 bits of a node's parity sketch.
+SKETCH_WORDS = 1 << 5
 #: Links that a task joins up at once.
 HELD_LINKS = 1 << 17
 #: Documents whose darts are thrown at once.
@@ -200,8 +204,15 @@ def _verify(weights: str):
     return run
 
 
+def parity(text: np.ndarray, element: np.ndarray, texts: int, words: int = SKETCH_WORDS) -> np.ndarray:
+    """[text, word] sketch of each text: every element turns over the bit that its hash names."""
+    spot = mix64(element ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(64 * words)
+    odd = np.bincount(text * (64 * words) + spot.astype(np.int64), minlength=texts * 64 * words) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(texts, -1), axis=1, bitorder="little").view(np.int64)
+
+
 def _elements(weights: str):
-    """node, the weight of its elements, and the elements with their weights."""
+    """node, the weight of its elements, its parity sketch, and the elements with their weights."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in slices(b.column("text")):
@@ -209,9 +220,10 @@ def _elements(weights: str):
                 text, h, uses = elements(Words(*text_bytes(part.column("text"))))
                 w = _weight(uses, weights)
                 off = pa.array(np.searchsorted(text, np.arange(len(part) + 1)), pa.int32())
+                bits = pa.StructArray.from_arrays([pa.array(x) for x in parity(text, h, len(part)).T], [f"w{i}" for i in range(SKETCH_WORDS)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array(np.bincount(text, w, len(part))), pa.ListArray.from_arrays(off, pa.array(h.view(np.int64))),
-                     pa.ListArray.from_arrays(off, pa.array(w))], ["node", "mass", "elements", "weights"])
+                    [part.column("node"), pa.array(np.bincount(text, w, len(part))), bits, pa.ListArray.from_arrays(off, pa.array(h.view(np.int64))),
+                     pa.ListArray.from_arrays(off, pa.array(w))], ["node", "mass", "bits", "elements", "weights"])
     return run
 
 
@@ -285,13 +297,15 @@ def _compared(members: DataFrame, leaders: int, nodes: DataFrame, weights: str)
 
 
 def _masses(wanted: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
-    """(node, mass, c) of the wanted nodes: their weight, and how much of it is on elements that other wanted nodes have too."""
+    """(node, mass, bits, c) of the wanted nodes: their weight, parity sketch, and how much weight is on elements that other wanted nodes have too."""
     texts = _texts_of(wanted, nodes).join(wanted.select("node").distinct(), "node", "left_semi")
-    sets = scratch_table(texts.mapInArrow(_elements(weights), "node binary, mass double, elements array<long>, weights array<double>"), "near-sets")
+    bits = ", ".join(f"w{i}: long" for i in range(SKETCH_WORDS))
+    made = f"node binary, mass double, bits struct<{bits}>, elements array<long>, weights array<double>"
+    sets = scratch_table(texts.mapInArrow(_elements(weights), made), "near-sets")
     own = (sets.select("node", F.explode(F.arrays_zip("elements", "weights")).alias("e"))
            .groupBy("e.elements").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("e.weights").alias("w"))
            .filter("n = 1").groupBy("node").agg(F.sum("w").alias("own")))
-    return sets.select("node", "mass").join(own, "node", "left").select("node", "mass", (F.col("mass") - F.coalesce("own", F.lit(0.0))).alias("c"))
+    return sets.select("node", "mass", "bits").join(own, "node", "left").select("node", "mass", "bits", (F.col("mass") - F.coalesce("own", F.lit(0.0))).alias("c"))
 
 
 def _may_reach(known: DataFrame, threshold: float) -> DataFrame:
@@ -351,7 +365,8 @@ def _open_pairs(members: DataFrame, far: DataFrame | None, labels: DataFrame, no
     """Pairs (a, b) of nodes of a large bucket that are in different components and may reach the threshold; None if there are none.
 
     All nodes of a bucket outside its largest component are paired with all of the bucket. A pair is left out only if its distances
-    to a leader differ by more than 1 - threshold, or if the weight that either has on shared elements is too small for both weights."""
+    to a leader differ by more than 1 - threshold, if the weight that either has on shared elements is too small for both weights, or if
+    their sketches differ in more bits than a pair of the threshold can have elements of one side alone. This needs no texts."""
     label = (members.filter(F.col("n") > SMALL).select("bucket", "node").join(labels, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     main = (label.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
@@ -372,6 +387,8 @@ def _open_pairs(members: DataFrame, far: DataFrame | None, labels: DataFrame, no
         F.least("c", "x_c") * (1 + threshold) >= threshold * (F.col("mass") + F.col("x_mass")) - 1e-9)
     for i in k:  # no distance: the bucket has no such leader, or they were in one component and not compared
         both = both.filter(F.coalesce(F.abs(F.col(f"d{i}") - F.col(f"x_d{i}")) <= 1 - threshold + 1e-9, F.lit(True)))
+    differ = sum((F.bit_count(F.col(f"bits.w{i}").bitwiseXOR(F.col(f"x_bits.w{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+    both = both.filter(differ * (1 + threshold) <= (1 - threshold) * (F.col("mass") + F.col("x_mass")) + 1e-9)
     return scratch_table(both.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct(), "near-pairs")
 
 
@@ -379,9 +396,7 @@ def linked(sketches: DataFrame, weights: str, threshold: float) -> DataFrame:
     """(node, label) of every node that has a link to a node of a shared bucket; the label is the least node of its component."""
     nodes = sketches.filter("node is not null")
     found, members, far = links(nodes, weights, threshold)
-    if found.isEmpty():
-        return sketches.select("node", F.col("node").alias("label")).limit(0)
-    labels = components(found)
+    labels = components(found)  # without any link, those among nodes that do not lead are still to be found
     pairs = _open_pairs(members, far, labels, nodes, weights, threshold)
     if pairs is not None and not pairs.isEmpty():
         more = _verified(pairs, nodes, weights).filter(F.col("sim") >= threshold).select("a", "b")
@@ -431,7 +446,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round points all neighbours of a node that are larger than it to its least neighbour, then a node and its
     smaller neighbours to their least one, until all links are stars; links stay one or two per node. Before, each task
-    puts stars in place of the links that it holds.
+    puts stars in place of the links that it holds, and the links are dealt to as many tasks as hold HELD_LINKS each, not to more.
     """
     def step(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -452,12 +467,13 @@ def components(edges: DataFrame) -> DataFrame:
         count = ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.count(F.lit(1)).alias("n"))
         return not count.filter("smaller > 1 OR smaller = 1 AND n > 1").isEmpty()
 
-    def written(e: DataFrame) -> DataFrame:
-        return scratch_table(e.mapInArrow(_joined_up, "a binary, b binary"), "near-edges")
+    def written(e: DataFrame, tasks: int) -> DataFrame:
+        return scratch_table(e.repartition(tasks).mapInArrow(_joined_up, "a binary, b binary"), "near-edges")
 
-    e = written(edges.distinct())
-    while bent(e):
-        e = written(step(step(e, True), False))
+    tasks = max(1, -(-edges.count() // HELD_LINKS))
+    e = written(edges, tasks)
+    while tasks > 1 and bent(e):  # one task has left stars only
+        e = written(step(step(e, True), False), max(2, -(-e.count() // HELD_LINKS)))
     return e.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(
         e.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
 

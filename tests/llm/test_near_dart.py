@@ -135,6 +135,57 @@ def test_components_of_chains_and_random_links(spark, monkeypatch, held):
     assert held == 3 or len(written) == 1
 
 
+def test_links_that_one_task_can_hold_take_one_table(spark, monkeypatch):
+    """However many partitions they come in; there was a round of star contraction after another."""
+    written, own = [], D.scratch_table
+    monkeypatch.setattr(D, "scratch_table", lambda df, name: written.append(name) or own(df, name))
+    edges = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(60)], "a binary, b binary").repartition(30)
+    got = D.components(edges).collect()
+    assert sorted((r.node[0], r.label[0]) for r in got) == [(i, 0) for i in range(61)]
+    assert len(written) == 1
+
+
+@pytest.mark.parametrize("weights", ["set", "count"])
+def test_bits_that_differ_never_exceed_the_weight_of_one_side(weights):
+    rnd = np.random.default_rng(5)
+    for k in (3, 40, 400, 6000):
+        a = rnd.choice(k, k)
+        b = np.concatenate([a[:k - k // 5], rnd.choice(k, k // 5) + k])
+        t, h, uses = D.elements(Words(*text_bytes(pa.array([" ".join(f"t{x}" for x in s) for s in (a, b)]))), 1)
+        w = D._weight(uses, weights)
+        bits = D.parity(t, h, 2)
+        differ = sum(int(x).bit_count() for x in (bits[0] ^ bits[1]).view(np.uint64))
+        sim, mass = D.similarity((h[t == 0], w[t == 0]), (h[t == 1], w[t == 1])), w.sum()
+        assert differ <= mass - 2 * mass * sim / (1 + sim) + 1e-9
+
+
+@pytest.mark.parametrize("sketched", [True, False])
+def test_unlike_copies_in_a_large_group_are_ruled_out_without_their_texts(spark, monkeypatch, sketched):
+    """Copies with many edits, all shared with some other copy: neither their weights nor leaders rule all of their pairs out."""
+    pairs, own = [], D._open_pairs
+
+    def noted(*a):
+        out = own(*a)
+        pairs.append(0 if out is None else out.count())
+        return out
+    monkeypatch.setattr(D, "_open_pairs", noted)
+    monkeypatch.setattr(D, "_bands", lambda sig: np.where((sig != 0).any(axis=1)[:, None], np.arange(D.BANDS, dtype=np.uint64)[None], 0).astype(np.uint64))
+    if not sketched:
+        monkeypatch.setattr(D, "parity", lambda text, element, texts: np.zeros((texts, D.SKETCH_WORDS), np.int64))
+    rnd = random.Random(4)
+    base, rows = [f"w{i}" for i in range(300)], []
+    edits = [(i, f"e{i}") for i in range(0, 300, 6)]
+    for i in range(60):
+        w = list(base)
+        for j, x in rnd.sample(edits, 18):
+            w[j] = x
+        rows.append((i, " ".join(w)))
+    rows += [(60 + i, " ".join([*base, f"x{i}"])) for i in range(2)]  # a link
+    got = D.near_classes(table(spark, rows).repartition(4))
+    assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows)
+    assert pairs[0] < 60 if sketched else pairs[0] > 600
+
+
 def test_edges(spark):
     assert sorted(str(tuple(r)) for r in D.near_classes(edge(spark)).collect()) == brute(EDGE)
     assert D.near_classes(empty(spark)).collect() == []
