@@ -55,36 +55,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: list[np.ndarray] = []
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**i modulo 2**64 for i < n."""
+    p = np.full(n, base, dtype=np.uint64)
+    p[:1] = 1
+    return np.multiply.accumulate(p)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        made = []
-        for b in (_BASE, _BASE_INV):
-            p = np.full(size, b, dtype=np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        if size > 4 * SLICE_BYTES:  # a very long text: do not keep tables of its size
-            return made[0], made[1]
-        _powers[:] = made
-    return _powers[0][:n], _powers[1][:n]
+#: Powers for the bytes of one part; those of longer texts are products with a power of the part's place, so no table is of a text's size.
+_PART_BITS = 14
+_PART = 1 << _PART_BITS
+_POWERS, _INVERSE = _powers(_BASE, _PART), _powers(_BASE_INV, _PART)
+_PART_BASE, _PART_INV = pow(_BASE, _PART, 1 << 64), pow(_BASE_INV, _PART, 1 << 64)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Prefix sums from which :func:`range_hash` takes the hash of any byte range."""
-    p, _ = powers(len(data))
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p, out=out[1:])
+    for k, scale in enumerate(_powers(_PART_BASE, -(-len(data) // _PART))):
+        lo = k * _PART
+        part = data[lo:lo + _PART].astype(np.uint64)
+        part += np.uint64(1)
+        part *= _POWERS[:len(part)]
+        part *= scale
+        part[:1] += out[lo]
+        np.cumsum(part, out=out[lo + 1:lo + 1 + len(part)])
     return out
 
 
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of data[start:end], the same wherever the bytes stand."""
-    _, inv = powers(len(prefix))
-    return mix64((prefix[end] - prefix[start]) * inv[start])
+    out = prefix[end] - prefix[start]
+    out *= _INVERSE[start & (_PART - 1)]
+    out *= _powers(_PART_INV, len(prefix) // _PART + 1)[start >> _PART_BITS]
+    return mix64(out)
 
 
 def slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -112,14 +116,14 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def _lower_table() -> np.ndarray:
-    t = np.zeros(256, np.uint8)
+def _lower_table() -> bytes:
+    t = bytearray(256)
     for b in range(256):
         if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A:
             t[b] = b
         elif 0x41 <= b <= 0x5A:
             t[b] = b + 32
-    return t
+    return bytes(t)
 
 
 _LOWER = _lower_table()
@@ -133,7 +137,7 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        low = _LOWER[data]
+        low = np.frombuffer(data.tobytes().translate(_LOWER), np.uint8)
         word = low != 0
         edge = np.empty(len(data) + 1, dtype=bool)
         edge[1:-1] = word[1:] != word[:-1]

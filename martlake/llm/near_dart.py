@@ -220,7 +220,7 @@ def _elements(weights: str):
                 text, h, uses = elements(Words(*text_bytes(part.column("text"))))
                 w = _weight(uses, weights)
                 off = pa.array(np.searchsorted(text, np.arange(len(part) + 1)), pa.int32())
-                bits = pa.StructArray.from_arrays([pa.array(x) for x in parity(text, h, len(part)).T], [f"w{i}" for i in range(SKETCH_WORDS)])
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(parity(text, h, len(part)).reshape(-1)), SKETCH_WORDS).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array(np.bincount(text, w, len(part))), bits, pa.ListArray.from_arrays(off, pa.array(h.view(np.int64))),
                      pa.ListArray.from_arrays(off, pa.array(w))], ["node", "mass", "bits", "elements", "weights"])
@@ -299,8 +299,7 @@ def _compared(members: DataFrame, leaders: int, nodes: DataFrame, weights: str)
 def _masses(wanted: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
     """(node, mass, bits, c) of the wanted nodes: their weight, parity sketch, and how much weight is on elements that other wanted nodes have too."""
     texts = _texts_of(wanted, nodes).join(wanted.select("node").distinct(), "node", "left_semi")
-    bits = ", ".join(f"w{i}: long" for i in range(SKETCH_WORDS))
-    made = f"node binary, mass double, bits struct<{bits}>, elements array<long>, weights array<double>"
+    made = "node binary, mass double, bits array<long>, elements array<long>, weights array<double>"
     sets = scratch_table(texts.mapInArrow(_elements(weights), made), "near-sets")
     own = (sets.select("node", F.explode(F.arrays_zip("elements", "weights")).alias("e"))
            .groupBy("e.elements").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("e.weights").alias("w"))
@@ -387,7 +386,8 @@ def _open_pairs(members: DataFrame, far: DataFrame | None, labels: DataFrame, no
         F.least("c", "x_c") * (1 + threshold) >= threshold * (F.col("mass") + F.col("x_mass")) - 1e-9)
     for i in k:  # no distance: the bucket has no such leader, or they were in one component and not compared
         both = both.filter(F.coalesce(F.abs(F.col(f"d{i}") - F.col(f"x_d{i}")) <= 1 - threshold + 1e-9, F.lit(True)))
-    differ = sum((F.bit_count(F.col(f"bits.w{i}").bitwiseXOR(F.col(f"x_bits.w{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+    # A loop, not a term for each word: compiling those took 200 MB of each executor.
+    differ = F.expr(f"aggregate(sequence(0, {SKETCH_WORDS - 1}), 0, (n, i) -> n + bit_count(bits[i] ^ x_bits[i]))")
     both = both.filter(differ * (1 + threshold) <= (1 - threshold) * (F.col("mass") + F.col("x_mass")) + 1e-9)
     return scratch_table(both.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct(), "near-pairs")
 

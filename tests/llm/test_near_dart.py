@@ -223,3 +223,32 @@ def test_fractional_weights():
     share = np.mean([(D.signatures(t, h * np.uint64(k), np.array([0.25, 0.75]), 1, 64) ==
                       D.signatures(t, h * np.uint64(k), np.array([0.25, 0.25]), 1, 64)).mean() for k in range(1, 60)])
     assert abs(share - 0.5) < 0.03  # min 0.5, max 1
+
+
+def test_the_closing_step_compares_sketches_in_a_loop(spark, monkeypatch):
+    r, plans = random.Random(9), []
+    docs = [(i, " ".join(r.choices([f"w{k}" for k in range(40)], k=3) + [f"c{k}" for k in range(60)] + [f"u{i}_{k}" for k in range(i % 8)])) for i in range(60)]
+    kept = D.scratch_table
+    monkeypatch.setattr(D, "scratch_table", lambda df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), kept(df, name))[1])
+    got = D.near_classes(table(spark, docs)).collect()
+    assert sorted(str(tuple(x)) for x in got) == brute(docs)
+    closing = [p for name, p in plans if name == "near-pairs" and "bit_count" in p]
+    assert closing and all(p.count("bit_count") < D.SKETCH_WORDS for p in closing)
+
+
+def test_hashing_words_keeps_no_tables_of_a_texts_size():
+    import tracemalloc
+    from martlake.llm.columns import prefix_hash, range_hash
+    data = np.random.default_rng(1).integers(0, 256, 2 << 20).astype(np.uint8)
+    tracemalloc.start()
+    h = prefix_hash(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20  # the sums themselves are 16 MB
+    data[1_500_000:1_500_040] = data[16_370:16_410]  # across the end of a part
+    h = prefix_hash(data)
+    a, b = range_hash(h, np.array([16_370, 1_500_000, 7]), np.array([16_410, 1_500_040, 47]))[:2]
+    base = 0x9E3779B97F4A7C15
+    want = sum((int(x) + 1) * pow(base, i, 1 << 64) for i, x in enumerate(data[:40_000])) % (1 << 64)
+    assert a == b and int(h[40_000]) == want
+    assert prefix_hash(data[:0]).tolist() == [0]
