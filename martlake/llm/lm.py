@@ -37,6 +37,8 @@ FREQUENT = 768
 EDGE = VOCAB
 SIDE, DIM, HIDDEN = 2, 16, 32
 ROUNDS, BATCH, RATE = 2, 512, 0.05
+#: Words that a task gathers before they are counted, 8 bytes each, and one slice more.
+COUNTED = 1 << 20
 #: Positions that are scored at once, few enough for their arrays to stay in a core's cache.
 CHUNK = 1 << 12
 #: The most frequent words whose uses every scoring task has (16 bytes each); those of the others are joined.
@@ -69,7 +71,7 @@ class Network:
 
     def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Input and hidden layer, a row a position."""
-        x = self.emb[context].reshape(len(context), -1)
+        x = self.emb.take(context, axis=0).reshape(len(context), -1)
         z = x @ self.w1
         z += self.b1
         return x, np.tanh(z, out=z)
@@ -77,23 +79,26 @@ class Network:
     def log_prob(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         """log p(token | context) of each position."""
         _, h = self.hidden(context)
-        cls, own = np.divmod(token, PER_CLASS)
+        cls = token // PER_CLASS
         out = _log_of(self.wc.T @ h.T + self.bc[:, None], cls)
-        for c, i in _by_class(cls):
-            out[i] += _log_of(self.wt[c].T @ h[i].T + self.bt[c][:, None], own[i])
+        order = np.argsort(cls.astype(np.uint16), kind="stable")  # a radix sort
+        hs, dt = h.take(order, axis=0), np.empty((PER_CLASS, len(token)), h.dtype)
+        for c, lo, hi in _runs(cls):
+            np.add(self.wt[c].T @ hs[lo:hi].T, self.bt[c][:, None], out=dt[:, lo:hi])
+        out[order] += _log_of(dt, token[order] % PER_CLASS)
         return out
 
     def gradient(self, context: np.ndarray, token: np.ndarray, into: Network | None = None) -> np.ndarray:
         """Gradient of the mean of -log p(token | context); ``into`` is a network to hold it, whose values are lost."""
-        g = into or Network(np.empty(SIZE, np.float32))
+        g = into or Network(np.empty(SIZE, self.flat.dtype))
         g.flat[:] = 0
         x, h = self.hidden(context)
         n, each = len(token), np.arange(len(token))
         cls, own = np.divmod(token, PER_CLASS)
         order = np.argsort(cls.astype(np.uint16), kind="stable")  # a radix sort
-        hs, cls, own = h[order], cls[order], own[order]
-        first = _firsts(cls)
-        parts = list(zip(cls[first].tolist(), first.tolist(), [*first[1:].tolist(), n], strict=True))
+        hs, cls, own = h.take(order, axis=0), cls[order], own[order]
+        parts = _runs(cls)
+        first = [lo for _, lo, _ in parts]
         # Logits have a column a position: numpy takes long over many short rows.
         dc = _softmax(self.wc.T @ hs.T + self.bc[:, None])
         dc[cls, each] -= 1
@@ -103,16 +108,16 @@ class Network:
         dt = np.empty((n, PER_CLASS), h.dtype)
         for c, lo, hi in parts:
             np.dot(hs[lo:hi], self.wt[c], out=dt[lo:hi])
-        dt += self.bt[cls]
+        dt += self.bt.take(cls, axis=0)
         dt = _softmax(dt.T.copy())
         dt[own, each] -= 1
         dt /= n
-        g.bt[cls[first]] = np.add.reduceat(dt, first, axis=1).T
+        g.bt[[c for c, _, _ in parts]] = np.add.reduceat(dt, first, axis=1).T
         dt = np.ascontiguousarray(dt.T)
         own, ht = np.empty_like(h), hs.T
         for c, lo, hi in parts:
             d = dt[lo:hi]
-            g.wt[c] = np.dot(ht[:, lo:hi], d)
+            np.dot(ht[:, lo:hi], d, out=g.wt[c])
             np.dot(d, self.wt[c].T, out=own[lo:hi])
         back += own
         dz = np.empty_like(h)
@@ -122,14 +127,15 @@ class Network:
         word = context.reshape(-1)
         order = np.argsort(word.astype(np.uint16), kind="stable")
         word = word[order]
-        first = _firsts(word)
-        g.emb[word[first]] = np.add.reduceat((dz @ self.w1.T).reshape(-1, DIM)[order], first, axis=0)
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        g.emb[word[first]] = np.add.reduceat((dz @ self.w1.T).reshape(-1, DIM).take(order, axis=0), first, axis=0)
         return g.flat
 
 
-def _firsts(x: np.ndarray) -> np.ndarray:
-    """Where each run of equal values begins."""
-    return np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+def _runs(cls: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, begin, end) of each class that occurs in ``cls``, when that is in order."""
+    end = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
+    return [(c, lo, hi) for c, (lo, hi) in enumerate(zip([0, *end], end)) if lo < hi]
 
 
 def _log_of(x: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -147,12 +153,6 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls.astype(np.uint16), kind="stable")
-    own, cut = np.unique(cls[order], return_index=True)
-    yield from zip(own.tolist(), np.split(order, cut[1:]), strict=True) if len(own) else ()
-
-
 class Tokens:
     """Words to tokens: frequent words by number, others by hash class."""
 
@@ -192,10 +192,20 @@ class Tokens:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[np.ndarray] = []
+
+    def counted() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+
     for b in batches:
         for lo, hi in slices(b.column("text")):
-            h, n = np.unique(Words(*text_bytes(b.column("text").slice(lo, hi - lo))).hash, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+            held.append(Words(*text_bytes(b.column("text").slice(lo, hi - lo))).hash)
+            if sum(map(len, held)) >= COUNTED:
+                yield counted()
+    if held:
+        yield counted()
 
 
 class Model(NamedTuple):

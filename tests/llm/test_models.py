@@ -282,3 +282,27 @@ def test_scoring_prefers_what_the_corpus_says(spark):
     assert got[0].log_likelihood == pytest.approx(got[0].mean_log_prob * got[0].n_words)
     assert len(lm.score_report(edge(spark)).collect()) == len(EDGE)
     assert lm.score_report(empty(spark)).collect() == []
+
+
+def test_gradient_sums_repeated_words_and_leaves_absent_classes_at_zero():
+    r = np.random.default_rng(5)
+    net = lm.Network(lm.Network.start(r.random(lm.VOCAB)).flat.astype(np.float64))
+    context, token = np.tile([3, 3, lm.EDGE, 3], (600, 1)).astype(np.int16), np.full(600, 70)
+    held = lm.Network(np.full(lm.SIZE, np.nan))
+    g = lm.Network(net.gradient(context, token, held))
+    one = lm.Network(net.gradient(context[:1], token[:1]))
+    assert np.allclose(g.flat, one.flat, rtol=1e-9, atol=1e-15)
+    assert np.flatnonzero(np.abs(g.emb).sum(axis=1)).tolist() == [3, lm.EDGE]
+    assert np.flatnonzero(np.abs(g.wt).sum(axis=(1, 2))).tolist() == [70 // lm.PER_CLASS]
+
+
+def test_words_are_counted_over_several_slices_at_once(monkeypatch):
+    texts = ["one two two"] * 5
+    whole = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    monkeypatch.setattr(lm, "slices", lambda col: ((i, i + 1) for i in range(len(col))))
+    for held, batches in ((100, 1), (6, 3), (1, 5)):  # of 15 words
+        monkeypatch.setattr(lm, "COUNTED", held, raising=False)
+        got = list(lm._count_words(iter([whole.slice(0, 2), whole.slice(2)])))
+        assert len(got) == batches
+        assert sorted(pa.Table.from_batches(got).group_by("word").aggregate([("n", "sum")]).column("n_sum").to_pylist()) == [5, 10]
+    assert list(lm._count_words(iter([]))) == []
